@@ -1,0 +1 @@
+"""Empty on purpose: the job is batch only, so there is no stream operator to offer."""
