@@ -11,8 +11,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer
+from pyspark.ml.feature import Bucketizer, OneHotEncoder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -227,11 +226,9 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    stages = [
-        StringIndexer(inputCol="o_orderpriority", outputCol="idx"),
-        OneHotEncoder(inputCol="idx", outputCol="vec"),
-    ]
-    return Pipeline(stages=stages).fit(orders).transform(orders)
+    (indexer,) = categories.category_indexers(orders, ["o_orderpriority"], ["idx"])
+    indexed = indexer.transform(orders)
+    return OneHotEncoder(inputCol="idx", outputCol="vec").fit(indexed).transform(indexed)
 
 
 def string_index_stage(spark: SparkSession, sf_dir: str) -> DataFrame:

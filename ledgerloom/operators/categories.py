@@ -3,13 +3,15 @@
 These forms hold for any number of categories: ranks come from a range-parted
 sort, and a lookup table too large to broadcast is joined by a shuffle that
 leaves the frequent categories out. The training plan uses Spark ML's indexer
-and encoder, which keep the categories in the model.
+and encoder instead, which keep the categories in the model.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +62,52 @@ def category_frequency(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def category_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Categories of every column in rank order, for a model to hold.
+
+    One pass for all columns: they are unpivoted and counted by (column, value),
+    so counts combine before the shuffle and no task merges whole columns. The
+    result goes to the driver; bound the number of categories first.
+    """
+    counted = (
+        df.unpivot([], [F.col(quote(name)) for name in columns], "field", "value")
+        .where(F.col("value").isNotNull())
+        .groupBy("field", "value")
+        .count()
+        .collect()
+    )
+    ranked = sorted(counted, key=lambda row: (-row["count"], row["value"]))
+    labels: dict[str, list[str]] = {name: [] for name in columns}
+    for row in ranked:
+        labels[row["field"]].append(row["value"])
+    return labels
+
+
+def category_indexers(
+    df: DataFrame,
+    columns: Sequence[str],
+    outputs: Sequence[str],
+    handle_invalid: str = "error",
+) -> list[StringIndexerModel]:
+    """Fitted Spark ML indexer of every column, over ``category_labels``.
+
+    The same models as ``StringIndexer.fit`` gives. That fit sends a map of all
+    categories from every task to a single one, which a large table with many
+    categories would wait for. One model per column, as PySpark pads label lists
+    of unequal length with nulls when one model holds several.
+    """
+    labels = category_labels(df, columns)
+    empty = [name for name in columns if not labels[name]]
+    if empty:
+        raise ValueError(f"no category in {', '.join(empty)}")
+    return [
+        StringIndexerModel.from_labels(
+            labels[name], inputCol=name, outputCol=output, handleInvalid=handle_invalid
+        )
+        for name, output in zip(columns, outputs)
+    ]
+
+
 @dataclass(frozen=True)
 class RankSize:
     """What decides how a rank table is joined: categories, bytes, and rows counted."""

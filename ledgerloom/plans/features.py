@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, Transformer
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.casts import decimals_to_double, to_timestamp
 from ledgerloom.functions.dates import PART_SETS, date_stage, part_columns, quote
+from ledgerloom.operators.categories import category_indexers
 from ledgerloom.operators.ranges import range_column, split_points
 from ledgerloom.sources.dictionary import Field, check_schema, features_of, keys_of
 
@@ -55,7 +56,11 @@ def source_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 
 def feature_columns(fields: Sequence[Field], options: FeatureOptions = FeatureOptions()) -> list[str]:
-    """Columns that make up the feature vector, in declared order."""
+    """Columns that make up the feature vector, in declared order.
+
+    The ``_vec`` column of a text column that holds one category only has no
+    positions and is left out when the stages are built.
+    """
     columns: list[str] = []
     for field in fields:
         if field.role == "DATE":
@@ -77,7 +82,7 @@ def _fit_borders(
     """
     row = statistics.agg(
         *[range_column(name).alias(f"range_{pos}") for pos, name in enumerate(doubles)],
-        *[F.approx_count_distinct(quote(name), 0.02).alias(f"categories_{pos}") for pos, name in enumerate(nominals)],
+        *[F.approx_count_distinct(quote(name)).alias(f"categories_{pos}") for pos, name in enumerate(nominals)],
     ).first()
     ranges, counts = row[: len(doubles)], row[len(doubles) :]
     wide = [f"{name} (about {n})" for name, n in zip(nominals, counts) if n > max_categories]
@@ -89,17 +94,20 @@ def _fit_borders(
 def feature_stages(
     fields: Sequence[Field],
     statistics: DataFrame,
+    train_rows: DataFrame,
     options: FeatureOptions = FeatureOptions(),
 ) -> list[Estimator | Transformer]:
-    """Unfitted stages from source columns to ``features``.
+    """Stages from source columns to ``features``.
 
-    ``statistics`` is the frame that value ranges are taken from. Columns of one
-    role share one stage, so each fit needs one pass however many columns there
-    are. SKIP and TEXT fields add nothing.
+    ``statistics`` is the frame that value ranges are taken from; categories are
+    those of ``train_rows``. It takes one pass for all ranges and one for all
+    categories, however many columns there are. SKIP and TEXT fields add nothing.
     """
     dates = features_of(fields, "DATE")
     doubles = features_of(fields, "DOUBLE")
     nominals = features_of(fields, "NOMINAL")
+    if not (dates or doubles or nominals):
+        raise ValueError("the dictionary declares no field that a feature can be built from")
     stages: list[Estimator | Transformer] = []
     if doubles or nominals:
         points = _fit_borders(statistics, doubles, nominals, options.max_categories)
@@ -115,24 +123,32 @@ def feature_stages(
                 handleInvalid=options.handle_invalid,
             )
         )
+    without_positions: set[str] = set()
     if nominals:
-        indexes = [f"{name}_idx" for name in nominals]
-        stages.append(
-            StringIndexer(inputCols=nominals, outputCols=indexes, handleInvalid=options.handle_invalid)
+        indexers = category_indexers(
+            train_rows, nominals, [f"{name}_idx" for name in nominals], options.handle_invalid
         )
-        stages.append(
-            OneHotEncoder(
-                inputCols=indexes,
-                outputCols=[f"{name}_vec" for name in nominals],
-                handleInvalid="error",
+        stages += indexers
+        # One category less the dropped one leaves a vector of no positions, which
+        # the encoder refuses; "keep" adds a category for what is unknown.
+        encoded = [
+            name
+            for name, indexer in zip(nominals, indexers)
+            if len(indexer.labels) > 1 or options.handle_invalid == "keep"
+        ]
+        without_positions = {f"{name}_vec" for name in nominals if name not in encoded}
+        if encoded:
+            stages.append(
+                OneHotEncoder(
+                    inputCols=[f"{name}_idx" for name in encoded],
+                    outputCols=[f"{name}_vec" for name in encoded],
+                )
             )
-        )
+    columns = [name for name in feature_columns(fields, options) if name not in without_positions]
+    if not columns:
+        raise ValueError("no field gives a feature: every text column holds one category only")
     stages.append(
-        VectorAssembler(
-            inputCols=feature_columns(fields, options),
-            outputCol=FEATURES,
-            handleInvalid=options.handle_invalid,
-        )
+        VectorAssembler(inputCols=columns, outputCol=FEATURES, handleInvalid=options.handle_invalid)
     )
     return stages
 
@@ -144,4 +160,4 @@ def feature_frame(
 ) -> DataFrame:
     """``df``'s used columns plus every feature column and ``features``, fitted on ``df``."""
     source = source_frame(df, fields)
-    return Pipeline(stages=feature_stages(fields, source, options)).fit(source).transform(source)
+    return Pipeline(stages=feature_stages(fields, source, source, options)).fit(source).transform(source)

@@ -24,6 +24,12 @@ METRICS_SCHEMA = T.StructType(
     [T.StructField(name, T.DoubleType()) for name in ("precision", "recall", "f1Score", "accuracy")]
 )
 
+_CHOICES = {
+    "split": ("keyed", "random", None),
+    "stats_from": ("all", "train"),
+    "reuse": ("persist", "table", "none"),
+}
+
 
 @dataclass(frozen=True)
 class TrainOptions:
@@ -44,6 +50,11 @@ class TrainOptions:
     reuse: str = "persist"
     features: FeatureOptions = FeatureOptions()
 
+    def __post_init__(self) -> None:
+        for name, words in _CHOICES.items():
+            if getattr(self, name) not in words:
+                raise ValueError(f"{name} must be one of {words}, not {getattr(self, name)!r}")
+
 
 @dataclass(frozen=True)
 class TrainResult:
@@ -72,6 +83,16 @@ def labelled_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return source.withColumn(target, label_column(source.schema, target))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its source has fewer partitions than there are cores.
+
+    A single-partition table read would leave every later pass to one task. A
+    source with enough partitions is left alone, so large files never shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit(
     labelled: DataFrame,
     train_rows: DataFrame,
@@ -81,7 +102,7 @@ def fit(
     """Fit feature stages and the classifier on the train part."""
     statistics = {"all": labelled, "train": train_rows}[options.stats_from]
     classifier = GBTClassifier(featuresCol=FEATURES, labelCol=target_of(fields), seed=options.seed)
-    stages = [*feature_stages(fields, statistics, options.features), classifier]
+    stages = [*feature_stages(fields, statistics, train_rows, options.features), classifier]
     return Pipeline(stages=stages).fit(train_rows)
 
 
@@ -104,9 +125,9 @@ def train(
     shared_dir(df.sparkSession)
     labelled = labelled_frame(df, fields)
     if options.reuse == "table":
-        labelled = shared_table(labelled)
+        labelled = shared_table(spread(labelled))
     elif options.reuse == "persist":
-        labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+        labelled = spread(labelled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_rows, test_rows = split_frame(labelled, fields, options)
         model = fit(labelled, train_rows, fields, options)

@@ -7,6 +7,7 @@ read, checked and classified as a DataFrame and then collected once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -46,14 +47,18 @@ class Field:
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, name, dataType, valueType, usageType)`` of a dictionary file, in file order."""
     document = spark.read.schema(FILE_SCHEMA).option("mode", "FAILFAST").json(path, multiLine=True)
-    return document.select(F.posexplode("attrs").alias("pos", "attr")).select("pos", "attr.*")
+    return _flat(document.select("attrs"))
 
 
 def dictionary_frame(spark: SparkSession, attrs: Iterable[Mapping[str, str]]) -> DataFrame:
     """The same frame from rows held in the program."""
-    rows = [(pos, *(attr.get(member) for member in _MEMBERS)) for pos, attr in enumerate(attrs)]
-    schema = T.StructType([T.StructField("pos", T.IntegerType(), False), *ATTR_SCHEMA])
-    return spark.createDataFrame(rows, schema)
+    text = F.lit(json.dumps({"attrs": [dict(attr) for attr in attrs]}))
+    document = spark.sql("SELECT 1").select(F.from_json(text, FILE_SCHEMA).alias("document"))
+    return _flat(document.select("document.attrs"))
+
+
+def _flat(document: DataFrame) -> DataFrame:
+    return document.select(F.posexplode("attrs").alias("pos", "attr")).select("pos", "attr.*")
 
 
 def with_roles(attrs: DataFrame) -> DataFrame:
@@ -89,7 +94,7 @@ def with_problems(roles: DataFrame) -> DataFrame:
 
 def load_fields(attrs: DataFrame) -> list[Field]:
     """Classified fields in declared order; ``ValueError`` lists every bad row."""
-    rows = with_problems(with_roles(attrs)).orderBy("pos").collect()
+    rows = sorted(with_problems(with_roles(attrs)).collect(), key=lambda row: row.pos)
     complaints = [f"{row.name or f'field {row.pos}'}: {', '.join(row.problems)}" for row in rows if row.problems]
     names = [row.name for row in rows]
     complaints += sorted({f"{name}: declared twice" for name in names if name and names.count(name) > 1})

@@ -54,9 +54,13 @@ def connection_options(source: JdbcTable) -> dict[str, str]:
 
 
 def bounds_query(source: JdbcTable) -> str:
-    """Query for the smallest and largest value of the partition column."""
+    """Query for the smallest and largest value of the partition column.
+
+    ``table`` stands as Spark itself puts it after FROM, so a parenthesised query
+    brings its own alias.
+    """
     column = source.partition_column
-    return f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {source.table} t) b"
+    return f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {source.table}) bounds"
 
 
 def read_jdbc(spark: SparkSession, source: JdbcTable) -> DataFrame:

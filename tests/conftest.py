@@ -21,3 +21,14 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Session in which Spark broadcasts only what the code asks it to."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield spark
+    for name in names:
+        spark.conf.unset(name)

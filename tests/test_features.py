@@ -1,0 +1,170 @@
+import math
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ledgerloom.plans.features import FeatureOptions, feature_columns, feature_frame, source_frame
+from ledgerloom.sources.dictionary import dictionary_frame, load_fields
+
+
+def _attr(name, data, value, usage="feature"):
+    return {"name": name, "dataType": data, "valueType": value, "usageType": usage}
+
+
+ATTRS = [
+    _attr("id", "integer", "continious", "keyField"),
+    _attr("amount", "double", "continious"),
+    _attr("at", "date-time", "continious"),
+    _attr("cur", "string", "nominal"),
+    _attr("account", "string", "nominal", "skip"),
+    _attr("balance", "double", "continious"),
+    _attr("payer", "string", "text"),
+    _attr("fraud", "boolean", "flag", "targetField"),
+]
+CLOCK = ["at_year", "at_month", "at_day", "at_hour", "at_minute"]
+
+
+@pytest.fixture(scope="module")
+def fields(spark):
+    return load_fields(dictionary_frame(spark, ATTRS))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    start = datetime(2024, 1, 1)
+    return [
+        (
+            i,
+            Decimal(i % 41) / 4,
+            start + timedelta(minutes=977 * i),
+            "EUR" if i % 2 else ("USD" if i % 3 else "CHF"),
+            f"acc{i}",
+            float((i * 7919) % 101),
+            f"name {i}",
+            i % 5 == 0,
+        )
+        for i in range(400)
+    ]
+
+
+SCHEMA = (
+    "id int, amount decimal(12,2), at timestamp_ntz, cur string, account string, "
+    "balance double, payer string, fraud boolean"
+)
+
+
+def _vectors(frame):
+    return [tuple(r[0]) for r in frame.orderBy("id").select(vector_to_array("features")).collect()]
+
+
+def test_columns_keep_the_declared_order(fields):
+    assert feature_columns(fields) == [
+        "amount_bucket", "amount", *CLOCK, "cur_vec", "balance_bucket", "balance",
+    ]
+    assert len(feature_columns(fields, FeatureOptions(date_parts="calendar"))) == 5 + 9
+
+
+def test_vectors_against_brute_force(spark, fields, rows):
+    def bucket(values, value):
+        low, high = min(values), max(values)
+        step = (high - low) / 4
+        borders = [low, low + step, low + 2 * step, low + 3 * step, high]
+        return float(sum(value >= border for border in borders))
+
+    amounts = [float(r[1]) for r in rows]
+    balances = [r[5] for r in rows]
+    currencies = [r[3] for r in rows]
+    ranked = sorted(set(currencies), key=lambda c: (-currencies.count(c), c))
+    want = []
+    for r, amount in zip(rows, amounts):
+        at = r[2]
+        one_hot = [float(ranked.index(r[3]) == i) for i in range(len(ranked) - 1)]
+        want.append(
+            (
+                bucket(amounts, amount), amount, at.year, at.month, at.day, at.hour, at.minute,
+                *one_hot, bucket(balances, r[5]), r[5],
+            )
+        )
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert _vectors(feature_frame(df, fields)) == want
+
+
+def test_source_frame_prunes_and_casts(spark, fields, rows):
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("at", F.col("at").cast("string"))
+    source = source_frame(df, fields)
+    assert source.dtypes == [
+        ("id", "int"), ("amount", "double"), ("at", "timestamp"),
+        ("cur", "string"), ("balance", "double"), ("fraud", "boolean"),
+    ]
+    whole = feature_frame(spark.createDataFrame(rows, SCHEMA), fields)
+    assert _vectors(feature_frame(df, fields)) == _vectors(whole)
+
+
+def test_missing_column_is_named_before_any_job(spark, fields):
+    with pytest.raises(ValueError, match="not in the table: balance, fraud"):
+        source_frame(spark.createDataFrame([], SCHEMA).drop("fraud", "balance"), fields)
+
+
+def test_two_dates_do_not_collide(spark):
+    attrs = [_attr("a", "date-time", "flag"), _attr("b", "date-time", "flag"), ATTRS[-1]]
+    df = spark.createDataFrame(
+        [(datetime(2020, 1, 2, 3, 4), datetime(2021, 5, 6, 7, 8), True)],
+        "a timestamp, b timestamp, fraud boolean",
+    )
+    frame = feature_frame(df, load_fields(dictionary_frame(spark, attrs)))
+    assert list(frame.first()["features"]) == [2020, 1, 2, 3, 4, 2021, 5, 6, 7, 8]
+
+
+def test_calendar_parts_fill_the_vector(spark):
+    attrs = [_attr("a", "date-time", "flag"), ATTRS[-1]]
+    df = spark.createDataFrame([(datetime(2022, 12, 31, 5, 6), True)], "a timestamp, fraud boolean")
+    fields = load_fields(dictionary_frame(spark, attrs))
+    for week_system, week in (("iso", 52), ("us", 53)):
+        options = FeatureOptions(date_parts="calendar", week_system=week_system)
+        vector = list(feature_frame(df, fields, options).first()["features"])
+        assert vector == [2022, 4, 12, week, 6, 365, 5, 6, 306]
+
+
+def _small(spark, rows):
+    return spark.createDataFrame(rows, "amount double, cur string, fraud boolean").coalesce(1)
+
+
+@pytest.fixture(scope="module")
+def small_fields(spark):
+    return load_fields(dictionary_frame(spark, [ATTRS[1], ATTRS[3], ATTRS[-1]]))
+
+
+def test_one_category_adds_no_position(spark, small_fields):
+    df = _small(spark, [(1.0, "x", True), (5.0, "x", False)])
+    assert [list(r.features) for r in feature_frame(df, small_fields).collect()] == [[1.0, 1.0], [5.0, 5.0]]
+
+
+def test_constant_number_is_bucket_one(spark, small_fields):
+    df = _small(spark, [(2.0, "x", True), (2.0, "y", False)])
+    assert [list(r.features)[:2] for r in feature_frame(df, small_fields).collect()] == [[1.0, 2.0]] * 2
+
+
+@pytest.mark.parametrize("bad", [(None, "x", True), (3.0, None, True), (math.nan, "x", True)])
+def test_null_and_nan_raise_skip_or_are_kept(spark, small_fields, bad):
+    df = _small(spark, [(1.0, "x", True), (5.0, "y", False), bad])
+    with pytest.raises(Exception):  # noqa: B017
+        feature_frame(df, small_fields).collect()
+    assert feature_frame(df, small_fields, FeatureOptions(handle_invalid="skip")).count() == 2
+    kept = feature_frame(df, small_fields, FeatureOptions(handle_invalid="keep")).collect()
+    assert len(kept) == 3
+    assert len(kept[-1].features) == 4
+
+
+def test_too_many_categories_are_refused_by_name(spark, small_fields):
+    df = _small(spark, [(float(i), f"c{i}", True) for i in range(50)])
+    with pytest.raises(ValueError, match=r"more than 10 categories: cur \(about"):
+        feature_frame(df, small_fields, FeatureOptions(max_categories=10))
+
+
+def test_a_feature_is_needed(spark):
+    fields = load_fields(dictionary_frame(spark, [ATTRS[6], ATTRS[-1]]))
+    with pytest.raises(ValueError, match="no field that a feature"):
+        feature_frame(spark.createDataFrame([("a", True)], "payer string, fraud boolean"), fields)

@@ -1,0 +1,55 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.splits import key_bucket, keyed_split, random_split, split_label
+
+
+def _ids(df):
+    return [row[0] for row in df.select("id").collect()]
+
+
+def test_keyed_split_is_disjoint_whole_and_stable(spark):
+    df = spark.range(5000).repartition(7)
+    train, test = keyed_split(df, ["id"])
+    assert sorted(_ids(train) + _ids(test)) == list(range(5000))
+    assert 0.77 < train.count() / 5000 < 0.83
+    again, _ = keyed_split(spark.range(5000).coalesce(1), ["id"])
+    assert sorted(_ids(again)) == sorted(_ids(train))
+
+
+def test_key_bucket_is_md5_of_the_text_of_the_key(spark):
+    rows = spark.range(200).select("id", key_bucket(["id"])).collect()
+    for key, bucket in rows:
+        assert bucket == int(hashlib.md5(str(key).encode()).hexdigest()[:8], 16) % 100
+
+
+def test_null_keys_and_several_keys_are_split_too(spark):
+    df = spark.range(300).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), (F.col("id") % 5).alias("b")
+    )
+    for keys in (["a"], ["a", "b"]):
+        train, test = keyed_split(df, keys, 0.5)
+        assert sorted(_ids(train) + _ids(test)) == list(range(300))
+        assert df.select(split_label(keys, 0.5).alias("s")).where("s IS NULL").count() == 0
+
+
+def test_random_split_is_disjoint_whole_and_seeded(spark):
+    df = spark.range(5000).repartition(5)
+    train, test = random_split(df, 0.8, seed=7)
+    assert sorted(_ids(train) + _ids(test)) == list(range(5000))
+    assert 0.77 < train.count() / 5000 < 0.83
+    assert sorted(_ids(random_split(df, 0.8, seed=7)[0])) == sorted(_ids(train))
+    assert sorted(_ids(random_split(df, 0.8, seed=8)[0])) != sorted(_ids(train))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.001, 1.0, 1.5])
+def test_share_must_leave_both_parts_something(spark, share):
+    with pytest.raises(ValueError, match="train_share"):
+        keyed_split(spark.range(1), ["id"], share)
+
+
+def test_keyed_split_needs_a_key(spark):
+    with pytest.raises(ValueError, match="at least one key"):
+        keyed_split(spark.range(1), [])

@@ -1,0 +1,125 @@
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import training
+from ledgerloom.plans.training import METRICS_SCHEMA, TrainOptions, run_job, spread, train
+from ledgerloom.sources.dictionary import dictionary_frame, load_fields
+from ledgerloom.sources.jdbc import JdbcTable
+from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
+
+
+def _attr(name, data, value, usage="feature"):
+    return {"name": name, "dataType": data, "valueType": value, "usageType": usage}
+
+
+ATTRS = [
+    _attr("id", "integer", "continious", "keyField"),
+    _attr("amount", "double", "continious"),
+    _attr("cur", "string", "nominal"),
+    _attr("fraud", "boolean", "flag", "targetField"),
+]
+
+
+def _table(spark, rows=3000):
+    amount = (F.rand(11) * 1000).cast("decimal(10,2)")
+    df = spark.range(rows).select("id", amount.alias("amount"), F.col("id") % 4)
+    cur = F.element_at(F.array(*map(F.lit, ["EUR", "USD", "CHF", "GBP"])), (F.col("id") % 4 + 1).cast("int"))
+    fraud = (F.col("amount") > 600) & (cur != "CHF")
+    return df.select("id", "amount", cur.alias("cur"), fraud.alias("fraud"), F.lit("x").alias("other"))
+
+
+def _brute_metrics(scored):
+    pairs = [(r.prediction, r.fraud) for r in scored.select("prediction", "fraud").collect()]
+    tp, fp, fn = (pairs.count(cell) for cell in ((1.0, 1.0), (1.0, 0.0), (0.0, 1.0)))
+    precision, recall = tp / (tp + fp), tp / (tp + fn)
+    right = sum(p == t for p, t in pairs) / len(pairs)
+    return (precision, recall, 2.0 * precision * recall / (precision + recall), right)
+
+
+@pytest.fixture(scope="module")
+def trained(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("out"))
+    table = _table(spark).repartition(8).cache()
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    return table, fields, train(table, fields, out), out
+
+
+def test_metrics_are_those_of_the_scored_hold_out(trained):
+    table, _, result, _ = trained
+    assert result.metrics.schema == METRICS_SCHEMA
+    assert result.metrics.count() == 1
+    assert tuple(result.metrics.first()) == pytest.approx(_brute_metrics(result.scored), rel=1e-12)
+    assert 0.15 < result.scored.count() / table.count() < 0.25
+    assert result.metrics.first()["accuracy"] > 0.95
+
+
+def test_saved_model_scores_the_same(trained):
+    _, _, result, out = trained
+    inputs = result.scored.select("id", "amount", "cur", F.col("prediction").alias("before"))
+    again = load_model(model_path(out)).transform(inputs)
+    assert again.where("NOT before <=> prediction").count() == 0
+
+
+def test_saved_metrics_are_one_json_object(trained):
+    _, _, result, out = trained
+    lines = [
+        line for file in Path(metrics_path(out)).glob("*.json") for line in file.read_text().splitlines()
+    ]
+    assert [json.loads(line) for line in lines] == [result.metrics.first().asDict()]
+
+
+def test_nothing_stays_cached_after_training(trained, spark):
+    _, fields, _, _ = trained
+    labelled = training.labelled_frame(_table(spark).repartition(8), fields)
+    assert not labelled.is_cached
+
+
+def test_metrics_output_keeps_null_and_replaces(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    save_metrics(spark.createDataFrame([(1.0, 1.0, 1.0, 1.0)], METRICS_SCHEMA), path)
+    save_metrics(spark.createDataFrame([(None, 0.0, None, 0.5)], METRICS_SCHEMA), path)
+    (line,) = [x for f in Path(path).glob("*.json") for x in f.read_text().splitlines()]
+    assert json.loads(line) == {"precision": None, "recall": 0.0, "f1Score": None, "accuracy": 0.5}
+
+
+@pytest.mark.parametrize("out", ["/x/job", "/x/job/", "/x/job.pmml", "/x/job_params.json"])
+def test_model_and_metrics_never_share_a_path(out):
+    assert model_path(out) != metrics_path(out)
+    assert model_path(out).startswith(out.rstrip("/") + "/")
+
+
+def test_whole_job_from_table_and_dictionary_file(spark, tmp_path, monkeypatch):
+    """The table read is replaced by a frame, as no database is run here."""
+    dictionary = tmp_path / "dictionary.json"
+    dictionary.write_text(json.dumps({"name": "tx", "attrs": ATTRS}))
+    asked = []
+
+    def fake_read(session, source):
+        asked.append(source)
+        return _table(session, 1500).withColumn("fraud", F.col("fraud").cast("int"))
+
+    monkeypatch.setattr(training, "read_jdbc", fake_read)
+    source = JdbcTable("jdbc:postgresql://host/db", "tx")
+    options = TrainOptions(split="random", stats_from="train", reuse="table", seed=3)
+    result = run_job(spark, source, str(dictionary), str(tmp_path / "out"), options)
+    assert asked == [source]
+    assert tuple(result.metrics.first()) == pytest.approx(_brute_metrics(result.scored), rel=1e-12)
+    load_model(model_path(str(tmp_path / "out")))
+    # The scored frame reads the written table, not the source.
+    assert any("/table-" in file for file in result.scored.inputFiles())
+
+
+def test_spread_only_widens(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(100).repartition(cores + 3)
+    assert spread(wide) is wide
+
+
+@pytest.mark.parametrize("options", [{"split": "other"}, {"stats_from": "test"}, {"reuse": "cache"}])
+def test_unknown_options_are_refused(options):
+    with pytest.raises(ValueError, match="must be one of"):
+        TrainOptions(**options)
