@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import quote
 
 BUCKETS = 100
+BUCKET = "key_bucket"
 
 
 def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -38,6 +39,17 @@ def split_label(keys: Sequence[str], train_share: float = 0.8) -> Column:
     return F.when(key_bucket(keys) < _train_buckets(train_share), "train").otherwise("test")
 
 
+def with_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` plus its key bucket, to compute it once where a frame is kept for many passes."""
+    return df.withColumn(BUCKET, key_bucket(keys))
+
+
+def bucket_split(df: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """The parts of a frame made by ``with_bucket``, without the bucket."""
+    limit = _train_buckets(train_share)
+    return df.where(F.col(BUCKET) < limit).drop(BUCKET), df.where(F.col(BUCKET) >= limit).drop(BUCKET)
+
+
 def keyed_split(
     df: DataFrame, keys: Sequence[str], train_share: float = 0.8
 ) -> tuple[DataFrame, DataFrame]:
@@ -45,8 +57,7 @@ def keyed_split(
 
     All rows of one key go to one part, so the share is met over keys, not rows.
     """
-    in_train = key_bucket(keys) < _train_buckets(train_share)
-    return df.where(in_train), df.where(~in_train)
+    return bucket_split(with_bucket(df, keys), train_share)
 
 
 def _train_buckets(train_share: float) -> int:

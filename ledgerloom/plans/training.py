@@ -9,20 +9,19 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from ledgerloom.functions.casts import label_column
 from ledgerloom.operators.confusion import classification_metrics
-from ledgerloom.operators.splits import keyed_split, random_split
+from ledgerloom.operators.splits import bucket_split, random_split, with_bucket
 from ledgerloom.plans.features import FEATURES, FeatureOptions, feature_stages, source_frame
 from ledgerloom.session import shared_dir, shared_table
 from ledgerloom.sources.dictionary import Field, keys_of, load_fields, read_dictionary, target_of
 from ledgerloom.sources.jdbc import JdbcTable, read_jdbc
 from ledgerloom.sources.outputs import metrics_path, model_path, save_metrics, save_model
 
-METRICS_SCHEMA = T.StructType(
-    [T.StructField(name, T.DoubleType()) for name in ("precision", "recall", "f1Score", "accuracy")]
-)
+# Names of the metrics, as they are saved.
+METRICS = ("precision", "recall", "f1Score", "accuracy")
 
 _CHOICES = {
     "split": ("keyed", "random", None),
@@ -65,17 +64,6 @@ class TrainResult:
     metrics: DataFrame
 
 
-def split_frame(
-    df: DataFrame, fields: Sequence[Field], options: TrainOptions = TrainOptions()
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test part of a source frame."""
-    keys = keys_of(fields)
-    how = options.split or ("keyed" if keys else "random")
-    if how == "keyed":
-        return keyed_split(df, keys, options.train_share)
-    return random_split(df, options.train_share, options.seed)
-
-
 def labelled_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Source frame whose target is a double label."""
     source = source_frame(df, fields)
@@ -83,6 +71,27 @@ def labelled_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return source.withColumn(target, label_column(source.schema, target))
 
 
+def prepared_frame(
+    df: DataFrame, fields: Sequence[Field], options: TrainOptions = TrainOptions()
+) -> DataFrame:
+    """Labelled frame, with the key bucket of each row where the split goes by key."""
+    labelled = labelled_frame(df, fields)
+    return with_bucket(labelled, keys_of(fields)) if _by_key(fields, options) else labelled
+
+
+def split_frame(
+    prepared: DataFrame, fields: Sequence[Field], options: TrainOptions = TrainOptions()
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test part of a prepared frame."""
+    if _by_key(fields, options):
+        return bucket_split(prepared, options.train_share)
+    return random_split(prepared, options.train_share, options.seed)
+
+
+def _by_key(fields: Sequence[Field], options: TrainOptions) -> bool:
+    return options.split == "keyed" or (options.split is None and bool(keys_of(fields)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where its source has fewer partitions than there are cores.
 
@@ -94,13 +103,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def fit(
-    labelled: DataFrame,
+    prepared: DataFrame,
     train_rows: DataFrame,
     fields: Sequence[Field],
     options: TrainOptions = TrainOptions(),
 ) -> PipelineModel:
-    """Fit feature stages and the classifier on the train part."""
-    statistics = {"all": labelled, "train": train_rows}[options.stats_from]
+    """Fit feature stages and the classifier on the train part of a prepared frame."""
+    statistics = {"all": prepared, "train": train_rows}[options.stats_from]
     classifier = GBTClassifier(featuresCol=FEATURES, labelCol=target_of(fields), seed=options.seed)
     stages = [*feature_stages(fields, statistics, train_rows, options.features), classifier]
     return Pipeline(stages=stages).fit(train_rows)
@@ -108,8 +117,9 @@ def fit(
 
 def evaluate(scored: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """One-row metrics of a scored frame, computed now; only that row is moved."""
-    metrics = classification_metrics(scored, "prediction", target_of(fields))
-    return scored.sparkSession.createDataFrame([metrics.first()], METRICS_SCHEMA)
+    row = classification_metrics(scored, "prediction", target_of(fields)).first()
+    values = [F.lit(row[name]).cast("double").alias(name) for name in METRICS]
+    return scored.sparkSession.sql("SELECT 1").select(*values)
 
 
 def train(
@@ -123,19 +133,19 @@ def train(
     Tree growing keeps its lineage short through the shared checkpoint folder.
     """
     shared_dir(df.sparkSession)
-    labelled = labelled_frame(df, fields)
+    prepared = prepared_frame(df, fields, options)
     if options.reuse == "table":
-        labelled = shared_table(spread(labelled))
+        prepared = shared_table(spread(prepared))
     elif options.reuse == "persist":
-        labelled = spread(labelled).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = spread(prepared).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train_rows, test_rows = split_frame(labelled, fields, options)
-        model = fit(labelled, train_rows, fields, options)
+        train_rows, test_rows = split_frame(prepared, fields, options)
+        model = fit(prepared, train_rows, fields, options)
         scored = model.transform(test_rows)
         metrics = evaluate(scored, fields)
     finally:
         if options.reuse == "persist":
-            labelled.unpersist()
+            prepared.unpersist()
     if out is not None:
         save_model(model, model_path(out))
         save_metrics(metrics, metrics_path(out))

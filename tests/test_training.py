@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import training
-from ledgerloom.plans.training import METRICS_SCHEMA, TrainOptions, run_job, spread, train
+from ledgerloom.plans.training import METRICS, TrainOptions, run_job, spread, train
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 from ledgerloom.sources.jdbc import JdbcTable
 from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
@@ -49,7 +49,7 @@ def trained(spark, tmp_path_factory):
 
 def test_metrics_are_those_of_the_scored_hold_out(trained):
     table, _, result, _ = trained
-    assert result.metrics.schema == METRICS_SCHEMA
+    assert result.metrics.dtypes == [(name, "double") for name in METRICS]
     assert result.metrics.count() == 1
     assert tuple(result.metrics.first()) == pytest.approx(_brute_metrics(result.scored), rel=1e-12)
     assert 0.15 < result.scored.count() / table.count() < 0.25
@@ -78,9 +78,9 @@ def test_nothing_stays_cached_after_training(trained, spark):
 
 
 def test_metrics_output_keeps_null_and_replaces(spark, tmp_path):
-    path = str(tmp_path / "metrics")
-    save_metrics(spark.createDataFrame([(1.0, 1.0, 1.0, 1.0)], METRICS_SCHEMA), path)
-    save_metrics(spark.createDataFrame([(None, 0.0, None, 0.5)], METRICS_SCHEMA), path)
+    path, schema = str(tmp_path / "metrics"), ", ".join(f"{name} double" for name in METRICS)
+    save_metrics(spark.createDataFrame([(1.0, 1.0, 1.0, 1.0)], schema), path)
+    save_metrics(spark.createDataFrame([(None, 0.0, None, 0.5)], schema), path)
     (line,) = [x for f in Path(path).glob("*.json") for x in f.read_text().splitlines()]
     assert json.loads(line) == {"precision": None, "recall": 0.0, "f1Score": None, "accuracy": 0.5}
 
