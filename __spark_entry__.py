@@ -182,8 +182,7 @@ def bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bucketize_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("event_id", "value")
-    low, high = events.agg(ranges.range_column("value")).first()[0]
-    points = ranges.split_points({"value": (low, high)})
+    points = ranges.fit_split_points(events, ["value"])
     stage = Bucketizer(inputCol="value", outputCol="value_bucket", splits=points["value"])
     return stage.transform(events).select("event_id", "value_bucket")
 
@@ -299,10 +298,11 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows, and how many the saved and reloaded model scores differently."""
     fields = _orders_fields(spark)
-    result = training.train(_orders(spark, sf_dir), fields)
+    orders = _orders(spark, sf_dir)
+    result = training.train(orders, fields)
     path = f"{shared_dir(spark)}/model-{uuid.uuid4()}"
     save_model(result.model, path)
-    inputs = features.source_frame(_orders(spark, sf_dir), fields).columns
+    inputs = features.source_frame(orders, fields).columns
     before = result.scored.select(*inputs, F.col("prediction").alias("before"))
     after = load_model(path).transform(before)
     return after.agg(

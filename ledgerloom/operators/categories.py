@@ -8,6 +8,7 @@ and encoder instead, which keep the categories in the model.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,9 @@ HOT_SHARE = 1000
 # Longer values never go into the hot lookup, which bounds its bytes.
 HOT_VALUE_BYTES = 4096
 
+# Most categories of one column that a model is given.
+MODEL_CATEGORIES = 1_000_000
+
 # monotonically_increasing_id keeps the partition above this bit, the row below it.
 _PARTITION_BIT = 33
 
@@ -62,20 +66,29 @@ def category_frequency(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def category_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def category_labels(
+    df: DataFrame, columns: Sequence[str], max_categories: int = MODEL_CATEGORIES
+) -> dict[str, list[str]]:
     """Categories of every column in rank order, for a model to hold.
 
     One pass for all columns: they are unpivoted and counted by (column, value),
     so counts combine before the shuffle and no task merges whole columns. The
-    result goes to the driver; bound the number of categories first.
+    result goes to the driver, so more than ``max_categories`` in a column is a
+    ``ValueError``, and no more than that is fetched per column.
     """
+    fetched = len(columns) * max_categories + 1
     counted = (
         df.unpivot([], [F.col(quote(name)) for name in columns], "field", "value")
         .where(F.col("value").isNotNull())
         .groupBy("field", "value")
         .count()
+        .limit(fetched)
         .collect()
     )
+    sizes = Counter(row["field"] for row in counted)
+    wide = [name for name in columns if sizes[name] > max_categories]
+    if wide:
+        raise ValueError(f"more than {max_categories} categories: {', '.join(wide)}")
     ranked = sorted(counted, key=lambda row: (-row["count"], row["value"]))
     labels: dict[str, list[str]] = {name: [] for name in columns}
     for row in ranked:
@@ -88,6 +101,7 @@ def category_indexers(
     columns: Sequence[str],
     outputs: Sequence[str],
     handle_invalid: str = "error",
+    max_categories: int = MODEL_CATEGORIES,
 ) -> list[StringIndexerModel]:
     """Fitted Spark ML indexer of every column, over ``category_labels``.
 
@@ -96,7 +110,7 @@ def category_indexers(
     categories would wait for. One model per column, as PySpark pads label lists
     of unequal length with nulls when one model holds several.
     """
-    labels = category_labels(df, columns)
+    labels = category_labels(df, columns, max_categories)
     empty = [name for name in columns if not labels[name]]
     if empty:
         raise ValueError(f"no category in {', '.join(empty)}")
@@ -144,6 +158,8 @@ def string_index(
     with no category among them above one row in ``hot_share``.
     """
     output = output or f"{column}_idx"
+    if output in df.columns:
+        raise ValueError(f"column {output} exists already")
     ranks = category_frequency(df, column) if ranks is None else ranks
     size = rank_size(ranks)
     columns = [quote(name) for name in [*df.columns, output]]

@@ -54,6 +54,12 @@ def split_points(ranges: Mapping[str, tuple[float | None, float | None]]) -> dic
     return points
 
 
+def fit_split_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """Bucket borders of every column, from one pass over ``df`` that returns one row."""
+    ranges = df.agg(*[range_column(name).alias(f"range_{pos}") for pos, name in enumerate(columns)]).first()
+    return split_points(dict(zip(columns, ranges)))
+
+
 def bucket_column(column: str, splits: Sequence[float], nan: str = "error") -> Column:
     """Bucket number as double: i where ``splits[i] <= value < splits[i + 1]``.
 
@@ -74,9 +80,7 @@ def bucket_column(column: str, splits: Sequence[float], nan: str = "error") -> C
 def bucketize(df: DataFrame, columns: Sequence[str], nan: str = "error") -> DataFrame:
     """``df`` plus ``<column>_bucket`` for every column.
 
-    One pass finds all ranges and returns one row; the borders are then literals,
-    so the second pass is a plain projection without any join.
+    The borders are literals by then, so this is a plain projection without any join.
     """
-    ranges = df.agg(*[range_column(name).alias(f"range_{pos}") for pos, name in enumerate(columns)]).first()
-    points = split_points(dict(zip(columns, ranges)))
+    points = fit_split_points(df, columns)
     return df.withColumns({f"{name}_bucket": bucket_column(name, points[name], nan) for name in columns})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import quote
 
 BUCKETS = 100
-BUCKET = "key_bucket"
+BUCKET = "__split_bucket"
 
 
 def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -39,13 +39,18 @@ def split_label(keys: Sequence[str], train_share: float = 0.8) -> Column:
     return F.when(key_bucket(keys) < _train_buckets(train_share), "train").otherwise("test")
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_key_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` plus its key bucket, to compute it once where a frame is kept for many passes."""
     return df.withColumn(BUCKET, key_bucket(keys))
 
 
+def with_random_bucket(df: DataFrame, seed: int = 42) -> DataFrame:
+    """``df`` plus a random bucket. Write the frame before splitting it: a draw may not repeat."""
+    return df.withColumn(BUCKET, (F.rand(seed) * BUCKETS).cast("int"))
+
+
 def bucket_split(df: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The parts of a frame made by ``with_bucket``, without the bucket."""
+    """The parts of a frame that has a bucket, to a whole percent and without the bucket."""
     limit = _train_buckets(train_share)
     return df.where(F.col(BUCKET) < limit).drop(BUCKET), df.where(F.col(BUCKET) >= limit).drop(BUCKET)
 
@@ -57,7 +62,7 @@ def keyed_split(
 
     All rows of one key go to one part, so the share is met over keys, not rows.
     """
-    return bucket_split(with_bucket(df, keys), train_share)
+    return bucket_split(with_key_bucket(df, keys), train_share)
 
 
 def _train_buckets(train_share: float) -> int:

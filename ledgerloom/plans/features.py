@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.casts import decimals_to_double, to_timestamp
 from ledgerloom.functions.dates import PART_SETS, date_stage, part_columns, quote
-from ledgerloom.operators.categories import category_indexers
-from ledgerloom.operators.ranges import range_column, split_points
+from ledgerloom.operators.categories import MODEL_CATEGORIES, category_indexers
+from ledgerloom.operators.ranges import fit_split_points
 from ledgerloom.sources.dictionary import Field, check_schema, features_of, keys_of
 
 FEATURES = "features"
@@ -34,7 +34,7 @@ class FeatureOptions:
     week_system: str = "iso"
     quarter: str = "month_div_4"
     handle_invalid: str = "error"
-    max_categories: int = 1_000_000
+    max_categories: int = MODEL_CATEGORIES
 
 
 def source_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -72,25 +72,6 @@ def feature_columns(fields: Sequence[Field], options: FeatureOptions = FeatureOp
     return columns
 
 
-def _fit_borders(
-    statistics: DataFrame, doubles: Sequence[str], nominals: Sequence[str], max_categories: int
-) -> dict[str, list[float]]:
-    """Bucket borders of the numeric columns, from one pass that returns one row.
-
-    The same pass estimates how many categories the text columns have, and
-    refuses those that the model could not hold.
-    """
-    row = statistics.agg(
-        *[range_column(name).alias(f"range_{pos}") for pos, name in enumerate(doubles)],
-        *[F.approx_count_distinct(quote(name)).alias(f"categories_{pos}") for pos, name in enumerate(nominals)],
-    ).first()
-    ranges, counts = row[: len(doubles)], row[len(doubles) :]
-    wide = [f"{name} (about {n})" for name, n in zip(nominals, counts) if n > max_categories]
-    if wide:
-        raise ValueError(f"more than {max_categories} categories: {', '.join(wide)}")
-    return split_points(dict(zip(doubles, ranges)))
-
-
 def feature_stages(
     fields: Sequence[Field],
     statistics: DataFrame,
@@ -109,12 +90,11 @@ def feature_stages(
     if not (dates or doubles or nominals):
         raise ValueError("the dictionary declares no field that a feature can be built from")
     stages: list[Estimator | Transformer] = []
-    if doubles or nominals:
-        points = _fit_borders(statistics, doubles, nominals, options.max_categories)
     if dates:
         parts = PART_SETS[options.date_parts]
         stages.append(date_stage(dates, parts, options.week_system, options.quarter))
     if doubles:
+        points = fit_split_points(statistics, doubles)
         stages.append(
             Bucketizer(
                 inputCols=doubles,
@@ -126,7 +106,11 @@ def feature_stages(
     without_positions: set[str] = set()
     if nominals:
         indexers = category_indexers(
-            train_rows, nominals, [f"{name}_idx" for name in nominals], options.handle_invalid
+            train_rows,
+            nominals,
+            [f"{name}_idx" for name in nominals],
+            options.handle_invalid,
+            options.max_categories,
         )
         stages += indexers
         # One category less the dropped one leaves a vector of no positions, which

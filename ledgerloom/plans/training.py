@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.casts import label_column
 from ledgerloom.operators.confusion import classification_metrics
-from ledgerloom.operators.splits import bucket_split, random_split, with_bucket
+from ledgerloom.operators.splits import (
+    BUCKET,
+    bucket_split,
+    random_split,
+    with_key_bucket,
+    with_random_bucket,
+)
 from ledgerloom.plans.features import FEATURES, FeatureOptions, feature_stages, source_frame
 from ledgerloom.session import shared_dir, shared_table
 from ledgerloom.sources.dictionary import Field, keys_of, load_fields, read_dictionary, target_of
@@ -74,24 +80,25 @@ def labelled_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
 def prepared_frame(
     df: DataFrame, fields: Sequence[Field], options: TrainOptions = TrainOptions()
 ) -> DataFrame:
-    """Labelled frame, with the key bucket of each row where the split goes by key."""
+    """Labelled frame, with the split bucket of each row where one can be kept.
+
+    A key bucket can always be computed again. A random one is drawn once, so it
+    is added only to a frame that is then written as a table.
+    """
     labelled = labelled_frame(df, fields)
-    return with_bucket(labelled, keys_of(fields)) if _by_key(fields, options) else labelled
+    keys = keys_of(fields)
+    if options.split == "keyed" or (options.split is None and keys):
+        return with_key_bucket(labelled, keys)
+    return with_random_bucket(labelled, options.seed) if options.reuse == "table" else labelled
 
 
-def split_frame(
-    prepared: DataFrame, fields: Sequence[Field], options: TrainOptions = TrainOptions()
-) -> tuple[DataFrame, DataFrame]:
+def split_frame(prepared: DataFrame, options: TrainOptions = TrainOptions()) -> tuple[DataFrame, DataFrame]:
     """Train and test part of a prepared frame."""
-    if _by_key(fields, options):
+    if BUCKET in prepared.columns:
         return bucket_split(prepared, options.train_share)
     return random_split(prepared, options.train_share, options.seed)
 
 
-def _by_key(fields: Sequence[Field], options: TrainOptions) -> bool:
-    return options.split == "keyed" or (options.split is None and bool(keys_of(fields)))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where its source has fewer partitions than there are cores.
 
@@ -115,6 +122,15 @@ def fit(
     return Pipeline(stages=stages).fit(train_rows)
 
 
+def score(model: PipelineModel, df: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """Predictions for source rows, with or without the target: keys, features, ``prediction``.
+
+    A projection over the source; nothing is shuffled.
+    """
+    known = [field for field in fields if field.role != "TARGET" or field.name in df.columns]
+    return model.transform(source_frame(df, known))
+
+
 def evaluate(scored: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """One-row metrics of a scored frame, computed now; only that row is moved."""
     row = classification_metrics(scored, "prediction", target_of(fields)).first()
@@ -130,7 +146,8 @@ def train(
 ) -> TrainResult:
     """Train on one part of ``df``, score and measure the other, save under ``out`` if given.
 
-    Tree growing keeps its lineage short through the shared checkpoint folder.
+    Tree growing keeps its lineage short through the shared checkpoint folder. A
+    table written there stays, as the scored frame reads it.
     """
     shared_dir(df.sparkSession)
     prepared = prepared_frame(df, fields, options)
@@ -139,7 +156,7 @@ def train(
     elif options.reuse == "persist":
         prepared = spread(prepared).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train_rows, test_rows = split_frame(prepared, fields, options)
+        train_rows, test_rows = split_frame(prepared, options)
         model = fit(prepared, train_rows, fields, options)
         scored = model.transform(test_rows)
         metrics = evaluate(scored, fields)

@@ -160,8 +160,14 @@ def test_null_and_nan_raise_skip_or_are_kept(spark, small_fields, bad):
 
 def test_too_many_categories_are_refused_by_name(spark, small_fields):
     df = _small(spark, [(float(i), f"c{i}", True) for i in range(50)])
-    with pytest.raises(ValueError, match=r"more than 10 categories: cur \(about"):
-        feature_frame(df, small_fields, FeatureOptions(max_categories=10))
+    with pytest.raises(ValueError, match="more than 49 categories: cur"):
+        feature_frame(df, small_fields, FeatureOptions(max_categories=49))
+
+
+def test_as_many_categories_as_allowed_are_fine(spark, small_fields):
+    df = _small(spark, [(float(i), f"c{i}", True) for i in range(50)])
+    frame = feature_frame(df, small_fields, FeatureOptions(max_categories=50))
+    assert len(frame.first()["features"]) == 2 + 49
 
 
 def test_a_feature_is_needed(spark):

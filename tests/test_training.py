@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import training
-from ledgerloom.plans.training import METRICS, TrainOptions, run_job, spread, train
+from ledgerloom.plans.training import METRICS, TrainOptions, run_job, score, split_frame, spread, train
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 from ledgerloom.sources.jdbc import JdbcTable
 from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
@@ -63,6 +63,36 @@ def test_saved_model_scores_the_same(trained):
     assert again.where("NOT before <=> prediction").count() == 0
 
 
+def test_source_rows_are_scored_with_or_without_a_target(trained):
+    table, fields, result, out = trained
+    want = {row.id: row.prediction for row in result.scored.collect()}
+    for source in (table, table.drop("fraud", "other")):
+        scored = score(load_model(model_path(out)), source, fields)
+        assert scored.count() == table.count()
+        got = {row.id: row.prediction for row in scored.select("id", "prediction").collect()}
+        assert {key: got[key] for key in want} == want
+
+
+@pytest.mark.parametrize("reuse", ["none", "table"])
+def test_random_split_is_whole_and_disjoint_in_every_mode(trained, reuse):
+    table, fields, _, _ = trained
+    options = TrainOptions(split="random", reuse=reuse)
+    prepared = training.prepared_frame(table, fields, options)
+    prepared = training.shared_table(prepared) if reuse == "table" else prepared
+    parts = split_frame(prepared, options)
+    assert parts[0].columns == parts[1].columns == ["id", "amount", "cur", "fraud"]
+    ids = [[row.id for row in part.select("id").collect()] for part in parts]
+    assert sorted(ids[0] + ids[1]) == list(range(3000))
+    assert 0.15 < len(ids[1]) / 3000 < 0.25
+
+
+def test_keyed_split_needs_a_key_in_the_dictionary(spark, trained):
+    fields = load_fields(dictionary_frame(spark, ATTRS[1:]))
+    with pytest.raises(ValueError, match="at least one key"):
+        training.prepared_frame(trained[0], fields, TrainOptions(split="keyed"))
+    assert training.BUCKET not in training.prepared_frame(trained[0], fields).columns
+
+
 def test_saved_metrics_are_one_json_object(trained):
     _, _, result, out = trained
     lines = [
