@@ -399,14 +399,22 @@ def _bucket_sql(table: str, key: str, value: str) -> str:
 
 
 def _one_hot_sql(table: str, key: str, column: str, first: int) -> str:
-    """Long one-hot rows whose positions start at ``first``."""
+    """The 1.0 of each row's one-hot vector, whose positions start at ``first``."""
     return f"""
-    SELECT {key}, CAST(slot + {first} AS INTEGER) AS pos,
-           CAST(CASE WHEN idx = slot THEN 1 ELSE 0 END AS DOUBLE) AS value
+    SELECT {key}, CAST(idx + {first} AS INTEGER) AS pos, CAST(1 AS DOUBLE) AS value
     FROM {table} JOIN (
         SELECT {column} AS v, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS idx
-        FROM {table} GROUP BY {column}) ON v = {column},
-        (SELECT unnest(range((SELECT count(DISTINCT {column}) FROM {table}) - 1)) AS slot)
+        FROM {table} GROUP BY {column}) ON v = {column}
+    WHERE idx < (SELECT count(DISTINCT {column}) FROM {table}) - 1
+    """
+
+
+def _vector_sql(key: str, entries: str, table: str, column: str, others: int) -> str:
+    """Entries that are not zero, with the size: ``others`` positions and a one-hot of ``column``."""
+    return f"""
+    SELECT {key}, CAST((SELECT count(DISTINCT {column}) FROM {table}) - 1 + {others} AS INTEGER) AS size,
+           pos, value
+    FROM ({entries}) WHERE value <> 0
     """
 
 
@@ -461,7 +469,10 @@ def oracle_sql() -> dict[str, str]:
         SELECT o_orderkey, o.o_orderpriority, CAST(idx AS DOUBLE) AS idx
         FROM orders o JOIN ({_ORDER_RANKS}) r ON r.o_orderpriority = o.o_orderpriority"""
     bucketized = f"SELECT event_id, bucket AS value_bucket FROM ({_bucket_sql('events', 'event_id', 'value')})"
-    one_hot_orders = _one_hot_sql("orders", "o_orderkey", "o_orderpriority", 0)
+    one_hot_orders = f"""
+        SELECT o_orderkey, CAST(k - 1 AS INTEGER) AS size, CAST(nullif(idx, k - 1) AS INTEGER) AS pos,
+               CASE WHEN idx < k - 1 THEN CAST(1 AS DOUBLE) END AS value
+        FROM ({indexed_orders}), (SELECT count(DISTINCT o_orderpriority) AS k FROM orders)"""
     price = _number_sql("orders", "o_orderkey", "o_totalprice", 0)
     order_clock = _value_sql(
         "orders", "o_orderkey", [(2 + i, f"{part}(o_orderdate)") for i, part in enumerate(_CLOCK)]
@@ -524,14 +535,29 @@ def oracle_sql() -> dict[str, str]:
         "string_index_stage": indexed_orders,
         "one_hot": one_hot_orders,
         "one_hot_stage": one_hot_orders,
-        "assemble_features": f"""
-            {price} UNION ALL {_one_hot_sql('orders', 'o_orderkey', 'o_orderpriority', 2)}""",
-        "feature_frame": f"""
-            {price} UNION ALL {order_clock}
-            UNION ALL {_one_hot_sql('orders', 'o_orderkey', 'o_orderpriority', 7)}""",
-        "feature_frame_calendar": f"""
-            {event_calendar} UNION ALL {_one_hot_sql('events', 'event_id', 'event_type', 9)}
-            UNION ALL {event_value}""",
+        "assemble_features": _vector_sql(
+            "o_orderkey",
+            f"{price} UNION ALL {_one_hot_sql('orders', 'o_orderkey', 'o_orderpriority', 2)}",
+            "orders",
+            "o_orderpriority",
+            2,
+        ),
+        "feature_frame": _vector_sql(
+            "o_orderkey",
+            f"{price} UNION ALL {order_clock} UNION ALL "
+            + _one_hot_sql("orders", "o_orderkey", "o_orderpriority", 7),
+            "orders",
+            "o_orderpriority",
+            7,
+        ),
+        "feature_frame_calendar": _vector_sql(
+            "event_id",
+            f"{event_calendar} UNION ALL {_one_hot_sql('events', 'event_id', 'event_type', 9)}"
+            f" UNION ALL {event_value}",
+            "events",
+            "event_type",
+            11,
+        ),
         "prediction_target": """
             SELECT CASE WHEN o_totalprice > 250000 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction,
                    CAST(o_totalprice > 200000 AS INTEGER) AS target FROM orders""",

@@ -180,14 +180,16 @@ def string_index(
 
 
 def one_hot_entries(indexed: DataFrame, key: str, index: str, categories: int) -> DataFrame:
-    """``(key, pos, value)`` of the one-hot vector of each row, last category dropped.
+    """``(key, size, pos, value)`` of the one-hot vector of each row, last category dropped.
 
-    ``categories - 1`` positions per row; with one category the vectors are
-    empty. A NULL index has no vector.
+    One row per input row, however many categories there are: ``pos`` is where
+    the 1.0 stands among the ``size`` positions, NULL for the dropped category.
     """
-    positions = F.sequence(F.lit(0), F.lit(categories - 2)) if categories > 1 else F.array().cast("array<int>")
-    return (
-        indexed.where(F.col(quote(index)).isNotNull())
-        .select(quote(key), quote(index), F.explode(positions).alias("pos"))
-        .select(quote(key), "pos", (F.col(quote(index)) == F.col("pos")).cast("double").alias("value"))
+    size = max(categories - 1, 0)
+    rank = F.col(quote(index))
+    return indexed.select(
+        quote(key),
+        F.lit(size).alias("size"),
+        F.when(rank < size, rank.cast("int")).alias("pos"),
+        F.when(rank < size, F.lit(1.0)).alias("value"),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +9,19 @@ from ledgerloom.functions.dates import quote
 
 
 def vector_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """``(key, pos, value)`` for every position of the vector of each row."""
-    return df.select(
-        F.col(quote(key)),
-        F.posexplode(vector_to_array(F.col(quote(vector)))).alias("pos", "value"),
+    """``(key, size, pos, value)`` for every position of a row's vector that is not zero.
+
+    Sparse vectors are not filled up, so a one-hot vector gives one row whatever
+    its size. A vector of zeros only keeps its row, with NULL ``pos`` and ``value``.
+    """
+    raw = F.unwrap_udt(F.col(quote(vector)))
+    values = raw["values"]
+    length = F.coalesce(raw["size"], F.array_size(values))
+    every = F.when(length > 0, F.sequence(F.lit(0), length - 1)).otherwise(F.array().cast("array<int>"))
+    entries = F.zip_with(
+        F.coalesce(raw["indices"], every),
+        values,
+        lambda pos, value: F.struct(pos.alias("pos"), value.alias("value")),
     )
+    filled = F.filter(entries, lambda entry: entry["value"] != 0)
+    return df.select(quote(key), length.alias("size"), F.inline_outer(filled))

@@ -113,11 +113,11 @@ def test_unseen_category_raises_or_is_kept(spark):
         category_indexers(df, ["cat"], ["i"])[0].transform(other).collect()
 
 
-def test_one_category_has_no_one_hot_rows(spark):
+def test_one_category_has_no_position(spark):
     df = spark.createDataFrame([(1, "x"), (2, "x")], "id long, cat string")
     entries = one_hot_entries(string_index(df, "cat", "i"), "id", "i", 1)
-    assert entries.dtypes == [("id", "bigint"), ("pos", "int"), ("value", "double")]
-    assert entries.count() == 0
+    assert entries.dtypes == [("id", "bigint"), ("size", "int"), ("pos", "int"), ("value", "double")]
+    assert sorted(map(tuple, entries.collect())) == [(1, 0, None, None), (2, 0, None, None)]
 
 
 @pytest.mark.parametrize("values", [["c", "c", "a", "b"], ["p", "q"]])
@@ -126,5 +126,17 @@ def test_one_hot_rows_equal_the_encoder(spark, values):
     indexed = category_indexers(df, ["cat"], ["i"])[0].transform(df)
     encoded = OneHotEncoder(inputCol="i", outputCol="v").fit(indexed).transform(indexed)
     ours = one_hot_entries(string_index(df, "cat", "i"), "id", "i", len(set(values)))
-    assert ours.dtypes == [("id", "bigint"), ("pos", "int"), ("value", "double")]
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, vector_entries(encoded, "id", "v").collect()))
+    theirs = vector_entries(encoded, "id", "v")
+    assert ours.dtypes == theirs.dtypes
+    assert {tuple(row) for row in ours.collect()} == {tuple(row) for row in theirs.collect()}
+
+
+def test_one_hot_of_many_categories_keeps_one_row_per_row(spark, skewed):
+    known = skewed.where("cat IS NOT NULL")
+    ranks = category_frequency(known, "cat")
+    count = ranks.count()
+    entries = one_hot_entries(string_index(known, "cat", "i", ranks), "id", "i", count)
+    assert entries.count() == known.count()
+    assert entries.where(f"size <> {count - 1}").count() == 0
+    dropped = known.where(F.col("cat") == ranks.where(F.col("idx") == count - 1).first()["value"])
+    assert entries.where("pos IS NULL").count() == dropped.count()
