@@ -16,12 +16,13 @@ def vector_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
     """
     raw = F.unwrap_udt(F.col(quote(vector)))
     values = raw["values"]
-    length = F.coalesce(raw["size"], F.array_size(values))
-    every = F.when(length > 0, F.sequence(F.lit(0), length - 1)).otherwise(F.array().cast("array<int>"))
-    entries = F.zip_with(
-        F.coalesce(raw["indices"], every),
-        values,
-        lambda pos, value: F.struct(pos.alias("pos"), value.alias("value")),
+    only_zeros = (F.array_max(values) == 0) & (F.array_min(values) == 0)
+    stored = df.select(
+        quote(key),
+        F.coalesce(raw["size"], F.array_size(values)).alias("size"),
+        raw["indices"].alias("indices"),
+        F.posexplode_outer(F.when(only_zeros, F.array().cast("array<double>")).otherwise(values)).alias("at", "value"),
+    )
+    return stored.where("value <> 0 OR value IS NULL").select(
+        quote(key), "size", F.coalesce(F.get("indices", "at"), "at").alias("pos"), "value"
     )
-    filled = F.filter(entries, lambda entry: entry["value"] != 0)
-    return df.select(quote(key), length.alias("size"), F.inline_outer(filled))
