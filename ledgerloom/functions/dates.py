@@ -51,6 +51,9 @@ _WEEK_SQL = {
     "us": "CAST(ceil(dayofyear(date_add(CAST({c} AS DATE), 7 - dayofweek({c}))) / 7) AS INT)",
 }
 
+QUARTERS = tuple(_QUARTER_SQL)
+WEEK_SYSTEMS = tuple(_WEEK_SQL)
+
 
 def quote(name: str) -> str:
     """Column name as a SQL identifier."""

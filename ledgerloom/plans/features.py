@@ -12,13 +12,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.casts import decimals_to_double, to_timestamp
-from ledgerloom.functions.dates import PART_SETS, date_stage, part_columns, quote
+from ledgerloom.functions.dates import (
+    PART_SETS,
+    QUARTERS,
+    WEEK_SYSTEMS,
+    date_stage,
+    part_columns,
+    quote,
+)
 from ledgerloom.operators.categories import MODEL_CATEGORIES, category_indexers
 from ledgerloom.operators.ranges import fit_split_points
 from ledgerloom.sources.dictionary import Field, check_schema, features_of, keys_of
 
 FEATURES = "features"
 
+_CHOICES = {
+    "date_parts": tuple(PART_SETS),
+    "week_system": WEEK_SYSTEMS,
+    "quarter": QUARTERS,
+    "handle_invalid": ("error", "skip", "keep"),
+}
+
 
 @dataclass(frozen=True)
 class FeatureOptions:
@@ -36,6 +50,11 @@ class FeatureOptions:
     handle_invalid: str = "error"
     max_categories: int = MODEL_CATEGORIES
 
+    def __post_init__(self) -> None:
+        for name, words in _CHOICES.items():
+            if getattr(self, name) not in words:
+                raise ValueError(f"{name} must be one of {words}, not {getattr(self, name)!r}")
+
 
 def source_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Only the columns the job uses, in declared order, with decimals and text dates cast."""

@@ -147,6 +147,29 @@ def test_constant_number_is_bucket_one(spark, small_fields):
     assert [list(r.features)[:2] for r in feature_frame(df, small_fields).collect()] == [[1.0, 2.0]] * 2
 
 
+def test_columns_may_differ_in_their_number_of_buckets(spark):
+    attrs = [_attr("a", "double", "flag"), _attr("b", "double", "flag"), ATTRS[-1]]
+    df = spark.createDataFrame([(1.0, 0.0, True), (1.0, 4.0, True)], "a double, b double, fraud boolean")
+    frame = feature_frame(df.coalesce(1), load_fields(dictionary_frame(spark, attrs)))
+    assert [list(r.features) for r in frame.collect()] == [[1.0, 1.0, 1.0, 0.0], [1.0, 1.0, 5.0, 4.0]]
+
+
+def test_trees_see_buckets_as_categories(spark, fields, rows):
+    """Six bucket values, so that a tree may split them in any grouping."""
+    frame = feature_frame(spark.createDataFrame(rows, SCHEMA), fields)
+    nominal = frame.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+    assert {a["name"]: len(a["vals"]) for a in nominal} == {"amount_bucket": 6, "balance_bucket": 6}
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{"date_parts": "all"}, {"week_system": "uk"}, {"quarter": "fiscal"}, {"handle_invalid": "drop"}],
+)
+def test_unknown_options_are_refused(options):
+    with pytest.raises(ValueError, match="must be one of"):
+        FeatureOptions(**options)
+
+
 @pytest.mark.parametrize("bad", [(None, "x", True), (3.0, None, True), (math.nan, "x", True)])
 def test_null_and_nan_raise_skip_or_are_kept(spark, small_fields, bad):
     df = _small(spark, [(1.0, "x", True), (5.0, "y", False), bad])
