@@ -286,23 +286,27 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training ----------------------------------------------------------------
 
 
+def _trained(spark: SparkSession, sf_dir: str) -> training.TrainResult:
+    orders = _orders(spark, sf_dir)
+    options = training.TrainOptions(partitions=training.scan_spread(orders))
+    return training.train(orders, _orders_fields(spark), options=options)
+
+
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = training.train(_orders(spark, sf_dir), _orders_fields(spark))
-    return result.scored.select("o_orderkey", F.col("big").cast("int").alias("target"), "prediction")
+    scored = _trained(spark, sf_dir).scored
+    return scored.select("o_orderkey", F.col("big").cast("int").alias("target"), "prediction")
 
 
 def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.train(_orders(spark, sf_dir), _orders_fields(spark)).metrics
+    return _trained(spark, sf_dir).metrics
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows, and how many the saved and reloaded model scores differently."""
-    fields = _orders_fields(spark)
-    orders = _orders(spark, sf_dir)
-    result = training.train(orders, fields)
+    result = _trained(spark, sf_dir)
     path = f"{shared_dir(spark)}/model-{uuid.uuid4()}"
     save_model(result.model, path)
-    inputs = features.source_frame(orders, fields).columns
+    inputs = features.source_frame(_orders(spark, sf_dir), _orders_fields(spark)).columns
     before = result.scored.select(*inputs, F.col("prediction").alias("before"))
     after = load_model(path).transform(before)
     return after.agg(

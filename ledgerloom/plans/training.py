@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -46,6 +46,8 @@ class TrainOptions:
     used columns in executor memory and disk, "table" writes them once as parquet
     to the shared folder (for sources that must be read only once), "none" reads
     the source each time (good for files that are columnar already).
+    ``partitions``: shuffle the used columns into so many; for sources that come
+    in few (``scan_spread`` tells), None to leave them as they are.
     """
 
     seed: int = 42
@@ -53,6 +55,7 @@ class TrainOptions:
     split: str | None = None
     stats_from: str = "all"
     reuse: str = "persist"
+    partitions: int | None = None
     features: FeatureOptions = FeatureOptions()
 
     def __post_init__(self) -> None:
@@ -83,9 +86,12 @@ def prepared_frame(
     """Labelled frame, with the split bucket of each row where one can be kept.
 
     A key bucket can always be computed again. A random one is drawn once, so it
-    is added only to a frame that is then written as a table.
+    is added only to a frame that is then written as a table, and after any
+    shuffle, so that a row's place in the shuffle depends on its content alone.
     """
     labelled = labelled_frame(df, fields)
+    if options.partitions is not None:
+        labelled = labelled.repartition(options.partitions)
     keys = keys_of(fields)
     if options.split == "keyed" or (options.split is None and keys):
         return with_key_bucket(labelled, keys)
@@ -99,14 +105,15 @@ def split_frame(prepared: DataFrame, options: TrainOptions = TrainOptions()) ->
     return random_split(prepared, options.train_share, options.seed)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores where its source has fewer partitions than there are cores.
+def scan_spread(source: DataFrame) -> int | None:
+    """Partitions to spread a plain read over: all cores, or None where it has as many already.
 
-    A single-partition table read would leave every later pass to one task. A
-    source with enough partitions is left alone, so large files never shuffle.
+    A single-partition table read would leave every later pass to one task; a
+    large set of files need not be shuffled. Only for plain reads, as asking a
+    frame with a shuffle in it would run that shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    return cores if source.rdd.getNumPartitions() < cores else None
 
 
 def fit(
@@ -152,9 +159,9 @@ def train(
     shared_dir(df.sparkSession)
     prepared = prepared_frame(df, fields, options)
     if options.reuse == "table":
-        prepared = shared_table(spread(prepared))
+        prepared = shared_table(prepared)
     elif options.reuse == "persist":
-        prepared = spread(prepared).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_rows, test_rows = split_frame(prepared, options)
         model = fit(prepared, train_rows, fields, options)
@@ -179,7 +186,11 @@ def run_job(
     """The whole job: JDBC table and dictionary file in, model and metrics out.
 
     The table is read once into the shared folder: a live table may change
-    between reads, and the database should not serve every pass.
+    between reads, and the database should not serve every pass. An unpartitioned
+    read is spread over the cores on the way.
     """
     fields = load_fields(read_dictionary(spark, dictionary))
-    return train(read_jdbc(spark, source), fields, out, options)
+    table = read_jdbc(spark, source)
+    if options.partitions is None:
+        options = replace(options, partitions=scan_spread(table))
+    return train(table, fields, out, options)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import training
-from ledgerloom.plans.training import METRICS, TrainOptions, run_job, score, split_frame, spread, train
+from ledgerloom.plans.training import METRICS, TrainOptions, run_job, scan_spread, score, split_frame, train
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 from ledgerloom.sources.jdbc import JdbcTable
 from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
@@ -142,11 +142,10 @@ def test_whole_job_from_table_and_dictionary_file(spark, tmp_path, monkeypatch):
     assert any("/table-" in file for file in result.scored.inputFiles())
 
 
-def test_spread_only_widens(spark):
+def test_only_reads_of_few_partitions_are_spread(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores + 3)
-    assert spread(wide) is wide
+    assert scan_spread(spark.range(100).coalesce(1)) == cores
+    assert scan_spread(spark.range(0, 100, 1, cores)) is None
 
 
 @pytest.mark.parametrize("options", [{"split": "other"}, {"stats_from": "test"}, {"reuse": "cache"}])
