@@ -301,6 +301,28 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(spark, sf_dir).metrics
 
 
+def hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that training never sees, with their label."""
+    prepared = training.prepared_frame(_orders(spark, sf_dir), _orders_fields(spark))
+    _, test_rows = training.split_frame(prepared)
+    return test_rows.select("o_orderkey", F.col("big").alias("label"))
+
+
+def gbt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for a target that is a rule over a bucket border and a category.
+
+    The features tell the two classes apart exactly, so trees learn the rule
+    however the rows are partitioned, and SQL can state every prediction.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    middle = ranges.fit_split_points(orders, ["o_totalprice"])["o_totalprice"][3]
+    rule = (F.col("o_totalprice") >= middle) & F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
+    ruled = orders.withColumn("big", rule)
+    options = training.TrainOptions(partitions=training.scan_spread(orders))
+    result = training.train(ruled, _without(_orders_fields(spark), "DATE"), options=options)
+    return result.scored.select("o_orderkey", F.col("big").alias("label"), "prediction")
+
+
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows, and how many the saved and reloaded model scores differently."""
     result = _trained(spark, sf_dir)
@@ -352,6 +374,8 @@ def queries() -> dict[str, Query]:
         "prediction_target": prediction_target,
         "confusion_counts": confusion_counts,
         "classification_metrics": classification_metrics,
+        "hold_out": hold_out,
+        "gbt_rule": gbt_rule,
         "gbt_predictions": gbt_predictions,
         "gbt_metrics": gbt_metrics,
         "model_roundtrip": model_roundtrip,
@@ -571,6 +595,15 @@ def oracle_sql() -> dict[str, str]:
                    CAST(tp + tn AS DOUBLE) / nullif(n, 0) AS accuracy
             FROM (SELECT *, CAST(tp AS DOUBLE) / nullif(tp + fp, 0) AS p,
                          CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS r FROM ({_RULE_COUNTS}))""",
+        "hold_out": f"""
+            SELECT o_orderkey, CAST({_IS_BIG} AS DOUBLE) AS label FROM orders WHERE {_KEY_BUCKET} >= 80""",
+        "gbt_rule": f"""
+            SELECT o_orderkey, label, label AS prediction
+            FROM (SELECT o_orderkey, CAST(o_orderpriority IN ('1-URGENT', '5-LOW')
+                         AND o_totalprice >= mn + 2 * st AS DOUBLE) AS label
+                  FROM orders, (SELECT min(o_totalprice) AS mn,
+                                       (max(o_totalprice) - min(o_totalprice)) / 4 AS st FROM orders))
+            WHERE {_KEY_BUCKET} >= 80""",
         "model_roundtrip": f"""
             SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM orders WHERE {_KEY_BUCKET} >= 80""",
     }

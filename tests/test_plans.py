@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry_module  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-TRAINING = {"gbt_predictions", "gbt_metrics", "model_roundtrip"}
+TRAINING = {"gbt_rule", "gbt_predictions", "gbt_metrics", "model_roundtrip"}
 QUERIES = {name: query for name, query in entry_module.queries().items() if name not in TRAINING}
 
 
@@ -51,7 +51,7 @@ def test_only_the_needed_columns_are_read(plans, name, read):
         "decimal_to_double", "label_cast", "string_to_timestamp", "date_parts_basic", "date_parts_extended",
         "date_parts_all", "quarter_variants", "week_number_iso", "week_number_us", "split_keyed", "bucketize",
         "bucketize_stage", "string_index_stage", "one_hot_stage", "assemble_features", "feature_frame",
-        "feature_frame_calendar", "prediction_target",
+        "feature_frame_calendar", "prediction_target", "hold_out",
     ],
 )
 def test_row_by_row_operators_do_not_shuffle(plans, name):
