@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import quote
@@ -131,12 +131,16 @@ class RankSize:
     rows: int
 
 
+def _value_bytes() -> Column:
+    return F.octet_length(F.col("value").cast("string"))
+
+
 def rank_size(ranks: DataFrame) -> RankSize:
     """Measure a rank table; one row comes back."""
     return RankSize(
         *ranks.agg(
             F.count("*"),
-            F.coalesce(F.sum(F.octet_length("value") + 16), F.lit(0)),
+            F.coalesce(F.sum(_value_bytes() + 16), F.lit(0)),
             F.coalesce(F.sum("n"), F.lit(0)),
         ).first()
     )
@@ -172,7 +176,7 @@ def string_index(
 
     if size.bytes <= broadcast_bytes:
         return looked_up(df, F.broadcast(lookup(ranks)))
-    is_hot = (F.col("n") * hot_share >= size.rows) & (F.octet_length("value") <= HOT_VALUE_BYTES)
+    is_hot = (F.col("n") * hot_share >= size.rows) & (_value_bytes() <= HOT_VALUE_BYTES)
     first = looked_up(df, F.broadcast(lookup(ranks.where(is_hot))))
     settled = F.col(quote(output)).isNotNull() | F.col(quote(column)).isNull()
     rest = looked_up(first.where(~settled).drop(output), lookup(ranks.where(~is_hot)))

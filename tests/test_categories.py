@@ -64,6 +64,23 @@ def test_index_is_whole_and_right_on_every_join_path(no_auto_broadcast, skewed,
     assert dict(got) == want
 
 
+def test_very_long_hot_values_are_shuffled_and_still_right(no_auto_broadcast):
+    """They would break the bound on the broadcast, so they take the other way."""
+    long = "x" * 5000
+    df = no_auto_broadcast.createDataFrame([(i, long if i % 2 else f"c{i}") for i in range(40)], "id int, cat string")
+    got = {row.id: row.i for row in string_index(df, "cat", "i", broadcast_bytes=0).collect()}
+    ranked = _brute_ranks(row.cat for row in df.collect())
+    assert got == {row.id: float(ranked[row.cat][1]) for row in df.collect()}
+
+
+def test_numbers_can_be_categories(spark):
+    df = spark.range(100).selectExpr("id", "id % 7 AS cat")
+    for limit in (1 << 20, 0):
+        got = string_index(df, "cat", "i", broadcast_bytes=limit).collect()
+        assert {(row.cat, row.i) for row in got} == {(c, float(c)) for c in range(7)}
+        assert len(got) == 100
+
+
 def test_hot_rows_are_not_shuffled(spark, skewed):
     """Only rows of rare categories reach the shuffled join."""
     ranks = category_frequency(skewed, "cat")
