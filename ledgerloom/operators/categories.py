@@ -159,7 +159,8 @@ def string_index(
     A small rank table is broadcast. Beyond ``broadcast_bytes`` only the hot
     categories are, of which ``hot_share`` bounds the number; their rows, and
     NULLs, stay where they are, and the others are shuffled to the rank table
-    with no category among them above one row in ``hot_share``.
+    with no category among them above one row in ``hot_share``. Given ``ranks``
+    of another frame, a frequent category they lack is left to Spark's skew join.
     """
     output = output or f"{column}_idx"
     if output in df.columns:
