@@ -6,6 +6,7 @@ Every query reads its whole table. Keys of ``queries()`` without an entry in
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -26,6 +27,13 @@ from ledgerloom.session import shared_dir  # noqa: E402
 from ledgerloom.sources.dictionary import Field, dictionary_frame, load_fields, with_roles  # noqa: E402
 from ledgerloom.sources.outputs import load_model, save_model  # noqa: E402
 
+# The operators for training data may be left out as a whole; what fails inside them is not hidden.
+LLM = None
+if importlib.util.find_spec("ledgerloom.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from ledgerloom.llm import queries as LLM  # noqa: E402, N812
+
+    import corpus_pipeline  # noqa: E402
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -342,6 +350,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return gbt_metrics(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Query]:
+    return LLM.queries() | {"pipeline": corpus_pipeline.run} if LLM else {}
+
+
+def _llm_oracles() -> dict[str, str]:
+    if not LLM:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return LLM.oracle_sql() | pipeline
+
+
 def queries() -> dict[str, Query]:
     """One callable per operator; each reads its whole table under ``sf_dir``."""
     return {
@@ -379,6 +398,7 @@ def queries() -> dict[str, Query]:
         "gbt_predictions": gbt_predictions,
         "gbt_metrics": gbt_metrics,
         "model_roundtrip": model_roundtrip,
+        **_llm_queries(),
     }
 
 
@@ -606,4 +626,5 @@ def oracle_sql() -> dict[str, str]:
             WHERE {_KEY_BUCKET} >= 80""",
         "model_roundtrip": f"""
             SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM orders WHERE {_KEY_BUCKET} >= 80""",
+        **_llm_oracles(),
     }

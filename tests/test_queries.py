@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, on whole tables."""
 
 import math
+import re
 import sys
 from pathlib import Path
 
@@ -41,7 +42,8 @@ def _sorted_rows(rows, order):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"gbt_predictions", "gbt_metrics"}
+    own = {name for name in QUERIES if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert own - set(ORACLES) == {"gbt_predictions", "gbt_metrics"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
