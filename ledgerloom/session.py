@@ -61,3 +61,12 @@ def shared_table(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a frame that ``shared_table`` gave, once nothing reads it any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if "/table-" in folder:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
