@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from ledgerloom.llm import language, mixing, packing  # noqa: E402
+from ledgerloom.llm import jaccard, language, mixing, packing, substrings  # noqa: E402
 from ledgerloom.session import shared_dir  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +22,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.in_known_language(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of least id, of each group of near duplicates."""
+    return jaccard.one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the words of repeated windows."""
+    return substrings.without_repeats(docs)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.repeated(docs)
@@ -34,6 +44,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES: list[tuple[str, Stage]] = [
     ("language ID", language_id),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("substring dedup", substring_dedup),
     ("mixing sources", source_mixing),
     ("best-fit packing", best_fit_packing),
 ]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, mixing, packing, shards
+from ledgerloom.llm import jaccard, language, mixing, packing, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,11 @@ def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write_and_read(_table(spark, sf_dir, "documents"), shards.new_folder(spark))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,12 +38,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_language": op2_language,
         "op3_token_shards": op3_token_shards,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_mixing": op5_mixing,
         "op7_packing": op7_packing,
+        "op9_near_duplicates": op9_near_duplicates,
     }
 
 
