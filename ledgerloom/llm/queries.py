@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, language, mixing, packing, shards, substrings
+from ledgerloom.llm import (
+    counting,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    pages,
+    quality,
+    shards,
+    substrings,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_languages(_table(spark, sf_dir, "documents"))
 
@@ -34,24 +49,91 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after edits that follow from its id and text."""
+    documents = _table(spark, sf_dir, "documents")
+    edits = counting.derived_edits(F.col("doc_id"), F.col("text"))
+    return counting.edited_counts(documents.select("doc_id", "text", edits.alias("edits")))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_language": op2_language,
         "op3_token_shards": op3_token_shards,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_mixing": op5_mixing,
+        "op6_exact_top": op6_exact_top,
         "op7_packing": op7_packing,
+        "op8_edited_counts": op8_edited_counts,
         "op9_near_duplicates": op9_near_duplicates,
+        "op10_main_text": op10_main_text,
     }
 
 
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SUBSTRINGS = f"""
+    WITH d AS (SELECT doc_id, coalesce({_WORDS.format(text="text")}, []) AS w FROM documents),
+         p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+         x AS (SELECT doc_id, i, w[i] AS word,
+                      CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS win FROM p),
+         c AS (SELECT *, CASE WHEN win IS NOT NULL THEN count(*) OVER (PARTITION BY win) END AS n FROM x),
+         r AS (SELECT *, coalesce(max(n) OVER (PARTITION BY doc_id ORDER BY i
+                      ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) > 1 AS gone FROM c),
+         s AS (SELECT doc_id, count_if(gone) AS n_removed,
+                      string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM r GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN s USING (doc_id)
+"""
+
+_TOP = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+               FROM embeddings
+               WHERE embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                      CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+               FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s QUALIFY rank <= 5
+"""
+
+_NEAR = f"""
+    WITH RECURSIVE d AS (SELECT doc_id, coalesce({_WORDS.format(text=_LOWER)}, []) AS w FROM documents),
+         s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+                      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+         p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS met
+               FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+         l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+               WHERE 100 * met >= 75 * (na.n + nb.n - met)),
+         r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+    SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+    FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL; the other operators learn a model, encode tokens, draw hashes or parse HTML."""
+    return {"op4_substring_dedup": _SUBSTRINGS, "op6_exact_top": _TOP, "op9_near_duplicates": _NEAR}
