@@ -22,10 +22,16 @@ from ledgerloom.functions.casts import decimals_to_double, label_column, to_time
 from ledgerloom.functions.dates import CLOCK_PARTS, date_part, date_parts, enrich_dates  # noqa: E402
 from ledgerloom.operators import categories, confusion, ranges, splits  # noqa: E402
 from ledgerloom.operators.vectors import vector_entries  # noqa: E402
-from ledgerloom.plans import features, training  # noqa: E402
+from ledgerloom.plans import features, stages, training  # noqa: E402
 from ledgerloom.session import shared_dir  # noqa: E402
-from ledgerloom.sources.dictionary import Field, dictionary_frame, load_fields, with_roles  # noqa: E402
-from ledgerloom.sources.outputs import load_model, save_model  # noqa: E402
+from ledgerloom.sources.dictionary import (  # noqa: E402
+    Field,
+    dictionary_frame,
+    load_fields,
+    read_dictionary,
+    with_roles,
+)
+from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_model  # noqa: E402
 
 # The operators for training data may be left out as a whole; what fails inside them is not hidden.
 LLM = None
@@ -59,8 +65,17 @@ EVENTS_ATTRS = [
     _attr("props", "string", "text", "feature"),
     _attr("high", "boolean", "flag", "targetField"),
 ]
+LINES_ATTRS = [
+    _attr("line", "integer", "continious", "keyField"),
+    _attr("quantity", "double", "continious", "feature"),
+    _attr("part", "string", "nominal", "feature"),
+    _attr("many", "boolean", "flag", "targetField"),
+]
 LINEITEM_DOUBLES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
+# So many partitions on any cluster, as trees depend on them.
+TRAINING = training.TrainOptions(partitions=8)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -211,14 +226,12 @@ def category_frequency_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.withColumnRenamed("value", "part")
 
 
-def _indexed_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    ranks = categories.category_frequency(orders, "o_orderpriority")
-    return categories.string_index(orders, "o_orderpriority", "idx", ranks), ranks.count()
+def _priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
 
 
 def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _indexed_orders(spark, sf_dir)[0]
+    return categories.string_index(_priorities(spark, sf_dir), "o_orderpriority", "idx")
 
 
 def string_index_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,15 +239,25 @@ def string_index_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.string_index(_line_parts(spark, sf_dir), "part", "idx", broadcast_bytes=0)
 
 
+def string_index_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few categories, each of many rows and of a long text, by the join for large rank tables."""
+    flag = F.repeat("l_returnflag", F.lit(5000)).alias("flag")
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", flag)
+    return categories.string_index(lines, "flag", "idx", broadcast_bytes=0).drop("flag")
+
+
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    indexed, count = _indexed_orders(spark, sf_dir)
-    return categories.one_hot_entries(indexed, "o_orderkey", "idx", count)
+    orders = _priorities(spark, sf_dir)
+    ranks = categories.category_frequency(orders, "o_orderpriority")
+    size = categories.rank_size(ranks)
+    indexed = categories.string_index(orders, "o_orderpriority", "idx", ranks, size=size)
+    return categories.one_hot_entries(indexed, "o_orderkey", "idx", size.categories)
 
 
 def _encoded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    (indexer,) = categories.category_indexers(orders, ["o_orderpriority"], ["idx"])
-    indexed = indexer.transform(orders)
+    indexer = stages.CategoryModel.fit_on(orders, ["o_orderpriority"])
+    indexed = indexer.transform(orders).withColumnRenamed("o_orderpriority_idx", "idx")
     return OneHotEncoder(inputCol="idx", outputCol="vec").fit(indexed).transform(indexed)
 
 
@@ -260,6 +283,27 @@ def feature_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_entries(frame, "o_orderkey", features.FEATURES)
 
 
+def feature_frame_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which every seventh has no price, kept."""
+    price = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    orders = _orders(spark, sf_dir).withColumn("o_totalprice", price)
+    options = features.FeatureOptions(handle_invalid="keep")
+    frame = features.feature_frame(orders, _without(_orders_fields(spark), "DATE"), options)
+    return vector_entries(frame, "o_orderkey", features.FEATURES)
+
+
+def feature_frame_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their part, of which there are many, as a category."""
+    lines = _table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"),
+        F.col("l_quantity").cast("double").alias("quantity"),
+        F.col("l_partkey").cast("string").alias("part"),
+        (F.col("l_quantity") > 25).alias("many"),
+    )
+    frame = features.feature_frame(lines, load_fields(dictionary_frame(spark, LINES_ATTRS)))
+    return vector_entries(frame, "line", features.FEATURES)
+
+
 def feature_frame_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, whose dictionary order is date, category, number, with all nine date parts."""
     fields = load_fields(dictionary_frame(spark, EVENTS_ATTRS))
@@ -296,17 +340,7 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trained(spark: SparkSession, sf_dir: str) -> training.TrainResult:
     orders = _orders(spark, sf_dir)
-    options = training.TrainOptions(partitions=training.scan_spread(orders))
-    return training.train(orders, _orders_fields(spark), options=options)
-
-
-def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _trained(spark, sf_dir).scored
-    return scored.select("o_orderkey", F.col("big").cast("int").alias("target"), "prediction")
-
-
-def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trained(spark, sf_dir).metrics
+    return training.train(orders, _orders_fields(spark), options=TRAINING)
 
 
 def hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,8 +350,8 @@ def hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return test_rows.select("o_orderkey", F.col("big").alias("label"))
 
 
-def gbt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions for a target that is a rule over a bucket border and a category.
+def _ruled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose target is a rule over a bucket border and a category.
 
     The features tell the two classes apart exactly, so trees learn the rule
     however the rows are partitioned, and SQL can state every prediction.
@@ -325,15 +359,31 @@ def gbt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     middle = ranges.fit_split_points(orders, ["o_totalprice"])["o_totalprice"][3]
     rule = (F.col("o_totalprice") >= middle) & F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
-    ruled = orders.withColumn("big", rule)
-    options = training.TrainOptions(partitions=training.scan_spread(orders))
-    result = training.train(ruled, _without(_orders_fields(spark), "DATE"), options=options)
+    return orders.withColumn("big", rule)
+
+
+def gbt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the ruled target from price and priority."""
+    fields = _without(_orders_fields(spark), "DATE")
+    result = training.train(_ruled_orders(spark, sf_dir), fields, options=TRAINING)
     return result.scored.select("o_orderkey", F.col("big").alias("label"), "prediction")
 
 
+def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the date, of which the rule knows nothing, among the features."""
+    result = training.train(_ruled_orders(spark, sf_dir), _orders_fields(spark), options=TRAINING)
+    return result.scored.select("o_orderkey", F.col("big").cast("int").alias("target"), "prediction")
+
+
+def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = _without(_orders_fields(spark), "DATE")
+    with training.train(_ruled_orders(spark, sf_dir), fields, options=TRAINING) as result:
+        return result.metrics
+
+
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows, and how many the saved and reloaded model scores differently."""
-    result = _trained(spark, sf_dir)
+    result = training.train(_orders(spark, sf_dir), _orders_fields(spark), options=TRAINING)
     path = f"{shared_dir(spark)}/model-{uuid.uuid4()}"
     save_model(result.model, path)
     inputs = features.source_frame(_orders(spark, sf_dir), _orders_fields(spark)).columns
@@ -345,6 +395,24 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job leaves behind: a dictionary file in, metrics and model out, both read back."""
+    folder = f"{shared_dir(spark)}/job-{uuid.uuid4()}"
+    attrs = [attr for attr in ORDERS_ATTRS if attr["dataType"] != "date-time"]
+    members = "struct<name:string,dataType:string,valueType:string,usageType:string>"
+    document = spark.createDataFrame([("orders", attrs)], f"name string, attrs array<{members}>")
+    document.coalesce(1).write.json(f"{folder}/dictionary")
+    fields = load_fields(read_dictionary(spark, f"{folder}/dictionary"))
+    orders = _ruled_orders(spark, sf_dir)
+    training.train(orders, fields, folder, TRAINING).close()
+    _, test_rows = training.split_frame(training.prepared_frame(orders, fields))
+    scored = load_model(model_path(folder)).transform(test_rows)
+    wrong = F.count_if(~F.col("prediction").eqNullSafe(F.col("big")))
+    saved = spark.read.schema("accuracy double, f1Score double").json(metrics_path(folder))
+    # One row each.
+    return scored.agg(F.count("*").alias("n"), wrong.alias("n_wrong")).join(F.broadcast(saved))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Train on the small orders table: metrics of the hold-out."""
     return gbt_metrics(spark, SMOKE_DIR)
@@ -384,12 +452,15 @@ def queries() -> dict[str, Query]:
         "category_frequency_wide": category_frequency_wide,
         "string_index": string_index,
         "string_index_shuffled": string_index_shuffled,
+        "string_index_skewed": string_index_skewed,
         "string_index_stage": string_index_stage,
         "one_hot": one_hot,
         "one_hot_stage": one_hot_stage,
         "assemble_features": assemble_features,
         "feature_frame": feature_frame,
         "feature_frame_calendar": feature_frame_calendar,
+        "feature_frame_missing": feature_frame_missing,
+        "feature_frame_wide": feature_frame_wide,
         "prediction_target": prediction_target,
         "confusion_counts": confusion_counts,
         "classification_metrics": classification_metrics,
@@ -398,6 +469,7 @@ def queries() -> dict[str, Query]:
         "gbt_predictions": gbt_predictions,
         "gbt_metrics": gbt_metrics,
         "model_roundtrip": model_roundtrip,
+        "job_outputs": job_outputs,
         **_llm_queries(),
     }
 
@@ -532,6 +604,13 @@ def oracle_sql() -> dict[str, str]:
     event_value = f"""
         SELECT event_id, CAST(pos + 9 + {event_kinds} - 1 AS INTEGER) AS pos, value
         FROM ({_number_sql('events', 'event_id', 'value', 0)})"""
+    ruled = f"""
+        SELECT o_orderkey, CAST(o_orderpriority IN ('1-URGENT', '5-LOW') AND o_totalprice >= mn + 2 * st AS DOUBLE) AS label
+        FROM orders, (SELECT min(o_totalprice) AS mn, (max(o_totalprice) - min(o_totalprice)) / 4 AS st FROM orders)
+        WHERE {_KEY_BUCKET} >= 80"""
+    lines = """(SELECT l_orderkey * 10 + l_linenumber AS line, CAST(l_quantity AS DOUBLE) AS quantity,
+                       CAST(l_partkey AS VARCHAR) AS part FROM lineitem)"""
+    unpriced = "(SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price FROM orders)"
     return {
         "decimal_to_double": """
             SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amt FROM orders""",
@@ -580,6 +659,10 @@ def oracle_sql() -> dict[str, str]:
         "string_index_shuffled": f"""
             SELECT l_orderkey, l_linenumber, part, CAST(idx AS DOUBLE) AS idx
             FROM lineitem JOIN ({_PART_RANKS}) ON part = CAST(l_partkey AS VARCHAR)""",
+        "string_index_skewed": """
+            SELECT l_orderkey, l_linenumber, CAST(idx AS DOUBLE) AS idx
+            FROM lineitem l JOIN (SELECT l_returnflag AS f, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS idx
+                                  FROM lineitem GROUP BY l_returnflag) ON f = l.l_returnflag""",
         "string_index_stage": indexed_orders,
         "one_hot": one_hot_orders,
         "one_hot_stage": one_hot_orders,
@@ -606,6 +689,20 @@ def oracle_sql() -> dict[str, str]:
             "event_type",
             11,
         ),
+        "feature_frame_missing": f"""
+            SELECT o_orderkey, CAST((SELECT count(DISTINCT o_orderpriority) FROM orders) + 2 AS INTEGER) AS size, pos, value
+            FROM (SELECT o_orderkey, CAST(0 AS INTEGER) AS pos, CASE WHEN v IS NULL THEN CAST(6 AS DOUBLE) ELSE bucket END AS value
+                  FROM ({_bucket_sql(unpriced, "o_orderkey", "price")})
+                  UNION ALL SELECT o_orderkey, CAST(1 AS INTEGER) AS pos, price AS value FROM {unpriced} WHERE price IS NOT NULL
+                  UNION ALL SELECT o_orderkey, CAST(idx + 2 AS INTEGER) AS pos, CAST(1 AS DOUBLE) AS value FROM ({indexed_orders}))
+            WHERE value <> 0""",
+        "feature_frame_wide": _vector_sql(
+            "line",
+            f"{_number_sql(lines, 'line', 'quantity', 0)} UNION ALL {_one_hot_sql(lines, 'line', 'part', 2)}",
+            lines,
+            "part",
+            2,
+        ),
         "prediction_target": """
             SELECT CASE WHEN o_totalprice > 250000 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction,
                    CAST(o_totalprice > 200000 AS INTEGER) AS target FROM orders""",
@@ -617,13 +714,16 @@ def oracle_sql() -> dict[str, str]:
                          CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS r FROM ({_RULE_COUNTS}))""",
         "hold_out": f"""
             SELECT o_orderkey, CAST({_IS_BIG} AS DOUBLE) AS label FROM orders WHERE {_KEY_BUCKET} >= 80""",
-        "gbt_rule": f"""
-            SELECT o_orderkey, label, label AS prediction
-            FROM (SELECT o_orderkey, CAST(o_orderpriority IN ('1-URGENT', '5-LOW')
-                         AND o_totalprice >= mn + 2 * st AS DOUBLE) AS label
-                  FROM orders, (SELECT min(o_totalprice) AS mn,
-                                       (max(o_totalprice) - min(o_totalprice)) / 4 AS st FROM orders))
-            WHERE {_KEY_BUCKET} >= 80""",
+        "gbt_rule": f"SELECT o_orderkey, label, label AS prediction FROM ({ruled})",
+        "gbt_predictions": f"""
+            SELECT o_orderkey, CAST(label AS INTEGER) AS target, label AS prediction FROM ({ruled})""",
+        "gbt_metrics": f"""
+            SELECT tp / nullif(tp, 0) AS precision, tp / nullif(tp, 0) AS recall,
+                   tp / nullif(tp, 0) AS "f1Score", CAST(1 AS DOUBLE) AS accuracy
+            FROM (SELECT sum(label) AS tp FROM ({ruled}))""",
+        "job_outputs": f"""
+            SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_wrong, CAST(1 AS DOUBLE) AS accuracy,
+                   sum(label) / nullif(sum(label), 0) AS "f1Score" FROM ({ruled})""",
         "model_roundtrip": f"""
             SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM orders WHERE {_KEY_BUCKET} >= 80""",
         **_llm_oracles(),

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Output suffixes of the date features, in output order.
 CLOCK_PARTS = ("year", "month", "day", "hour", "minute")
@@ -103,9 +104,16 @@ def enrich_dates(
     week_system: str = "iso",
     quarter: str = "month_div_4",
 ) -> DataFrame:
-    """``df`` plus ``<column>_timestamp`` and the nine calendar parts of it."""
+    """``df`` plus ``<column>_timestamp`` and the nine calendar parts of it.
+
+    A timestamp of either kind stays as it is; strings and dates have no time
+    zone, and become timestamps without one.
+    """
     stamp = f"{column}_timestamp"
-    stamped = df.withColumn(stamp, F.col(quote(column)).cast("timestamp"))
+    source = F.col(quote(column))
+    if not isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+        source = source.cast("timestamp_ntz")
+    stamped = df.withColumn(stamp, source)
     return stamped.withColumns(
         {
             name: date_part(stamp, part, week_system, quarter)
@@ -119,10 +127,18 @@ def date_stage(
     parts: Sequence[str] = CLOCK_PARTS,
     week_system: str = "iso",
     quarter: str = "month_div_4",
+    missing: int | None = None,
 ) -> SQLTransformer:
-    """Pipeline stage that adds the parts of every column; it saves with the model."""
+    """Pipeline stage that adds the parts of every column; it saves with the model.
+
+    The parts of a NULL are NULL, or ``missing`` if that is given.
+    """
+
+    def whole(text: str) -> str:
+        return text if missing is None else f"coalesce({text}, {missing})"
+
     added = [
-        f"{part_sql(column, part, week_system, quarter)} AS {quote(name)}"
+        f"{whole(part_sql(column, part, week_system, quarter))} AS {quote(name)}"
         for column in columns
         for name, part in zip(part_columns(column, parts), parts)
     ]

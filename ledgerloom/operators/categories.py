@@ -1,125 +1,73 @@
-"""Frequency ranks of a text column, and the index and one-hot forms built on them.
+"""Frequency ranks of text columns, and the index and one-hot forms built on them.
 
-These forms hold for any number of categories: ranks come from a range-parted
-sort, and a lookup table too large to broadcast is joined by a shuffle that
-leaves the frequent categories out. The training plan uses Spark ML's indexer
-and encoder instead, which keep the categories in the model.
+Nothing here depends on how many categories there are: ranks come from a
+range-parted sort, categories never reach the driver, and a lookup table too
+large to broadcast is joined by a shuffle that spreads the frequent categories.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import quote
-from ledgerloom.session import shared_dir
+from ledgerloom.session import drop_table, shared_table
 
 # A lookup table up to this many bytes is broadcast.
 BROADCAST_BYTES = 8 * 1024 * 1024
-# A category is hot from one row in this many on, so there are at most this many hot ones.
-HOT_SHARE = 1000
-# Longer values never go into the hot lookup, which bounds its bytes.
-HOT_VALUE_BYTES = 4096
-
-# Most categories of one column that a model is given.
-MODEL_CATEGORIES = 1_000_000
 
 # monotonically_increasing_id keeps the partition above this bit, the row below it.
 _PARTITION_BIT = 33
 
 
-def category_frequency(df: DataFrame, column: str) -> DataFrame:
-    """``(value, n, idx)``: every category, its rows, and its rank, 0 for the most frequent.
+def _ranked(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``counted`` (``value``, ``n`` and the columns ``by``) plus ``idx``, the rank within ``by``.
 
-    Ties rank alphabetically; NULL is no category. Counts combine before the
-    shuffle. The ranks come from a global sort, range-parted on (count, value)
-    so that no task holds an unbounded run, plus the start of every part. The
-    sorted counts are checkpointed, as both uses must see the same parts.
+    The ranks come from a global sort, range-parted on (count, value) so that no
+    task holds an unbounded run, plus the start of every part. The sorted counts
+    are written once, as both uses must see the same parts.
     """
-    shared_dir(df.sparkSession)
-    values = df.select(F.col(quote(column)).alias("value")).where(F.col("value").isNotNull())
-    ordered = (
-        values.groupBy("value")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), F.asc("value"))
-        .withColumn("slot", F.monotonically_increasing_id())
-        .checkpoint()
+    ordered = shared_table(
+        counted.orderBy(*by, F.desc("n"), F.asc("value")).withColumn("slot", F.monotonically_increasing_id())
     )
     part = F.shiftright("slot", _PARTITION_BIT)
-    # One row per sorted part: at most spark.sql.shuffle.partitions rows.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per sorted part: at most spark.sql.shuffle.partitions rows, and one for each column.
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ordered.groupBy(part.alias("part"))
-        .agg(F.count("*").alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+        ordered.groupBy(*by, part.alias("part"))
+        .agg(F.count("*").alias("size"), F.min("slot").alias("first"))
+        .select(*by, "part", "first", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
     )
-    in_part = F.col("slot").bitwiseAND((1 << _PARTITION_BIT) - 1)
-    return (
+    ranks = shared_table(
         ordered.withColumn("part", part)
-        .join(F.broadcast(starts), "part")
-        .select("value", "n", (F.col("start") + in_part).alias("idx"))
+        .join(F.broadcast(starts), [*by, "part"])
+        .select(*by, "value", "n", (F.col("start") + F.col("slot") - F.col("first")).alias("idx"))
     )
+    drop_table(ordered)
+    return ranks
 
 
-def category_labels(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MODEL_CATEGORIES
-) -> dict[str, list[str]]:
-    """Categories of every column in rank order, for a model to hold.
+def category_frequency(df: DataFrame, column: str) -> DataFrame:
+    """``(value, n, idx)``: every category, its rows, and its rank, 0 for the most frequent.
 
-    One pass for all columns: they are unpivoted and counted by (column, value),
-    so counts combine before the shuffle and no task merges whole columns. The
-    result goes to the driver, so more than ``max_categories`` in a column is a
-    ``ValueError``, and no more than that is fetched per column.
+    Ties rank alphabetically; NULL is no category. Counts combine before the shuffle.
     """
-    fetched = len(columns) * max_categories + 1
-    counted = (
-        df.unpivot([], [F.col(quote(name)) for name in columns], "field", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("field", "value")
-        .count()
-        .limit(fetched)
-        .collect()
-    )
-    sizes = Counter(row["field"] for row in counted)
-    wide = [name for name in columns if sizes[name] > max_categories]
-    if wide:
-        raise ValueError(f"more than {max_categories} categories: {', '.join(wide)}")
-    ranked = sorted(counted, key=lambda row: (-row["count"], row["value"]))
-    labels: dict[str, list[str]] = {name: [] for name in columns}
-    for row in ranked:
-        labels[row["field"]].append(row["value"])
-    return labels
-
-
-def category_indexers(
-    df: DataFrame,
-    columns: Sequence[str],
-    outputs: Sequence[str],
-    handle_invalid: str = "error",
-    max_categories: int = MODEL_CATEGORIES,
-) -> list[StringIndexerModel]:
-    """Fitted Spark ML indexer of every column, over ``category_labels``.
-
-    The same models as ``StringIndexer.fit`` gives. That fit sends a map of all
-    categories from every task to a single one, which a large table with many
-    categories would wait for. One model per column, as PySpark pads label lists
-    of unequal length with nulls when one model holds several.
+    values = df.select(F.col(quote(column)).alias("value")).where(F.col("value").isNotNull())
+    return _ranked(values.groupBy("value").agg(F.count("*").alias("n")))
+
+
+def category_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(field, value, n, idx)``: ``category_frequency`` of several text columns from one pass.
+
+    The columns are unpivoted and counted by (field, value), so counts combine
+    before the shuffle.
     """
-    labels = category_labels(df, columns, max_categories)
-    empty = [name for name in columns if not labels[name]]
-    if empty:
-        raise ValueError(f"no category in {', '.join(empty)}")
-    return [
-        StringIndexerModel.from_labels(
-            labels[name], inputCol=name, outputCol=output, handleInvalid=handle_invalid
-        )
-        for name, output in zip(columns, outputs)
-    ]
+    values = df.unpivot([], [F.col(quote(name)) for name in columns], "field", "value")
+    counted = values.where(F.col("value").isNotNull()).groupBy("field", "value").agg(F.count("*").alias("n"))
+    return _ranked(counted, ["field"])
 
 
 @dataclass(frozen=True)
@@ -131,19 +79,29 @@ class RankSize:
     rows: int
 
 
-def _value_bytes() -> Column:
-    return F.octet_length(F.col("value").cast("string"))
+def _size_columns() -> list[Column]:
+    length = F.octet_length(F.col("value").cast("string"))
+    return [
+        F.count("*").alias("categories"),
+        F.coalesce(F.sum(length + 16), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+    ]
 
 
 def rank_size(ranks: DataFrame) -> RankSize:
     """Measure a rank table; one row comes back."""
-    return RankSize(
-        *ranks.agg(
-            F.count("*"),
-            F.coalesce(F.sum(_value_bytes() + 16), F.lit(0)),
-            F.coalesce(F.sum("n"), F.lit(0)),
-        ).first()
-    )
+    return RankSize(*ranks.agg(*_size_columns()).first())
+
+
+def field_size(ranks: DataFrame, field: str) -> RankSize:
+    """Measure one column's part of ``category_ranks``; one row comes back."""
+    return rank_size(ranks.where(F.col("field") == field))
+
+
+def _digest(column: str) -> list[Column]:
+    """128 bits of a value, so that a lookup is as narrow for long values as for short ones."""
+    value = F.col(column).cast("string")
+    return [F.xxhash64(value), F.xxhash64(F.lit(1), value)]
 
 
 def string_index(
@@ -152,36 +110,61 @@ def string_index(
     output: str | None = None,
     ranks: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: int = HOT_SHARE,
+    size: RankSize | None = None,
 ) -> DataFrame:
     """``df`` plus the category's rank as double; NULL for NULL or for an unranked category.
 
-    A small rank table is broadcast. Beyond ``broadcast_bytes`` only the hot
-    categories are, of which ``hot_share`` bounds the number; their rows, and
-    NULLs, stay where they are, and the others are shuffled to the rank table
-    with no category among them above one row in ``hot_share``. Given ``ranks``
-    of another frame, a frequent category they lack is left to Spark's skew join.
+    A small rank table is broadcast. Beyond ``broadcast_bytes`` the rows are
+    shuffled to the ranks, once and from one scan. Categories that alone would
+    fill a shuffle partition are counted on ``df`` itself, so there are fewer of
+    them than partitions; they, ranked or not, are looked up by digest in a
+    broadcast and, like NULLs, spread over all partitions.
     """
     output = output or f"{column}_idx"
     if output in df.columns:
         raise ValueError(f"column {output} exists already")
     ranks = category_frequency(df, column) if ranks is None else ranks
-    size = rank_size(ranks)
-    columns = [quote(name) for name in [*df.columns, output]]
-
-    def looked_up(rows: DataFrame, table: DataFrame) -> DataFrame:
-        return rows.join(table, column, "left").select(*columns)
+    size = size or rank_size(ranks)
+    columns = [F.col(quote(name)) for name in df.columns]
+    lookup = ranks.select(F.col("value").alias("_rank_value"), F.col("idx").cast("double").alias("_rank_idx"))
+    if size.bytes <= broadcast_bytes:
+        same = F.col(quote(column)) == F.col("_rank_value")
+        joined = df.join(F.broadcast(lookup), same, "left")
+        return joined.select(*columns, F.col("_rank_idx").alias(output))
+    first, second = _digest(quote(column))
+    keyed = df.withColumns({"_rank_first": first, "_rank_second": second})
+    hot = _hot_values(df, column).join(lookup, F.col("value") == F.col("_rank_value"), "left")
+    first, second = _digest("value")
+    hot = hot.select(
+        first.alias("_rank_first"), second.alias("_rank_second"),
+        F.lit(True).alias("_rank_hot"), F.col("_rank_idx").alias("_rank_hot_idx"),
+    )
+    marked = keyed.join(F.broadcast(hot), ["_rank_first", "_rank_second"], "left")
+    settled = F.col("_rank_hot").isNotNull() | F.col(quote(column)).isNull()
+    # Settled rows get no value to join on, and a number of their own, which spreads them.
+    ready = marked.withColumns(
+        {
+            "_rank_key": F.when(~settled, F.col(quote(column))),
+            "_rank_spread": F.when(settled, F.monotonically_increasing_id()).otherwise(F.col("_rank_first")),
+        }
+    )
+    table = lookup.withColumn("_rank_at", _digest("_rank_value")[0])
+    same = (F.col("_rank_key") == F.col("_rank_value")) & (F.col("_rank_spread") == F.col("_rank_at"))
+    joined = ready.join(table, same, "left")
+    return joined.select(*columns, F.coalesce("_rank_hot_idx", "_rank_idx").alias(output))
 
-    def lookup(part: DataFrame) -> DataFrame:
-        return part.select(F.col("value").alias(column), F.col("idx").cast("double").alias(output))
 
-    if size.bytes <= broadcast_bytes:
-        return looked_up(df, F.broadcast(lookup(ranks)))
-    is_hot = (F.col("n") * hot_share >= size.rows) & (_value_bytes() <= HOT_VALUE_BYTES)
-    first = looked_up(df, F.broadcast(lookup(ranks.where(is_hot))))
-    settled = F.col(quote(output)).isNotNull() | F.col(quote(column)).isNull()
-    rest = looked_up(first.where(~settled).drop(output), lookup(ranks.where(~is_hot)))
-    return first.where(settled).unionByName(rest)
+def _hot_values(df: DataFrame, column: str) -> DataFrame:
+    """``value`` of the categories with more rows than a shuffle partition holds on average."""
+    counted = (
+        df.select(F.col(quote(column)).alias("value"))
+        .where(F.col("value").isNotNull())
+        .groupBy("value")
+        .agg(F.count("*").alias("n"))
+    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.where(F.col("n") * parts > total).select("value")
 
 
 def one_hot_entries(indexed: DataFrame, key: str, index: str, categories: int) -> DataFrame:

@@ -11,6 +11,8 @@ from ledgerloom.functions.dates import quote
 
 BUCKETS = 100
 BUCKET = "__split_bucket"
+# Numbers that eight hexadecimal digits can write.
+_DIGESTS = 1 << 32
 
 
 def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -24,34 +26,46 @@ def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tup
     return train, test
 
 
-def key_bucket(keys: Sequence[str]) -> Column:
-    """Bucket 0..99 of a row, from the md5 of its key: the same on every read and partitioning."""
+def key_bucket(keys: Sequence[str], null_by: Sequence[str] = ()) -> Column:
+    """Place of a row in 0 to 100, from the md5 of its key: the same on every read and partitioning.
+
+    Rows whose key is NULL throughout are placed by the columns ``null_by``
+    instead, so that they do not all go to one part.
+    """
     if not keys:
         raise ValueError("a keyed split needs at least one key column")
     texts = [F.col(quote(key)).cast("string") for key in keys]
     text = texts[0] if len(texts) == 1 else F.to_json(F.struct(*texts))
+    if null_by:
+        no_key = F.coalesce(*texts).isNull()
+        text = F.when(no_key, F.to_json(F.struct(*[F.col(quote(name)) for name in null_by]))).otherwise(text)
     digest = F.md5(F.coalesce(text, F.lit("")))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % BUCKETS).cast("int")
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    # The remainder is the whole percent, and the quotient what is finer than that.
+    return number % BUCKETS + F.floor(number / BUCKETS) / (_DIGESTS // BUCKETS + 1)
 
 
-def split_label(keys: Sequence[str], train_share: float = 0.8) -> Column:
+def split_label(keys: Sequence[str], train_share: float = 0.8, null_by: Sequence[str] = ()) -> Column:
     """'train' or 'test' by key."""
-    return F.when(key_bucket(keys) < _train_buckets(train_share), "train").otherwise("test")
+    return F.when(key_bucket(keys, null_by) < _train_limit(train_share), "train").otherwise("test")
 
 
 def with_key_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` plus its key bucket, to compute it once where a frame is kept for many passes."""
-    return df.withColumn(BUCKET, key_bucket(keys))
+    """``df`` plus its key bucket, to compute it once where a frame is kept for many passes.
+
+    Rows without a key are placed by all columns of ``df``.
+    """
+    return df.withColumn(BUCKET, key_bucket(keys, df.columns))
 
 
 def with_random_bucket(df: DataFrame, seed: int = 42) -> DataFrame:
     """``df`` plus a random bucket. Write the frame before splitting it: a draw may not repeat."""
-    return df.withColumn(BUCKET, (F.rand(seed) * BUCKETS).cast("int"))
+    return df.withColumn(BUCKET, F.rand(seed) * BUCKETS)
 
 
 def bucket_split(df: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The parts of a frame that has a bucket, to a whole percent and without the bucket."""
-    limit = _train_buckets(train_share)
+    """The parts of a frame that has a bucket, without the bucket."""
+    limit = _train_limit(train_share)
     return df.where(F.col(BUCKET) < limit).drop(BUCKET), df.where(F.col(BUCKET) >= limit).drop(BUCKET)
 
 
@@ -65,8 +79,7 @@ def keyed_split(
     return bucket_split(with_key_bucket(df, keys), train_share)
 
 
-def _train_buckets(train_share: float) -> int:
-    buckets = round(train_share * BUCKETS)
-    if not 0 < buckets < BUCKETS:
-        raise ValueError("train_share must leave both parts at least one of 100 buckets")
-    return buckets
+def _train_limit(train_share: float) -> float:
+    if not 0 < train_share < 1:
+        raise ValueError("train_share must be above 0 and below 1")
+    return round(train_share * BUCKETS, 9)

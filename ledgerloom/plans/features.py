@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, Transformer
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +20,13 @@ from ledgerloom.functions.dates import (
     part_columns,
     quote,
 )
-from ledgerloom.operators.categories import MODEL_CATEGORIES, category_indexers
 from ledgerloom.operators.ranges import fit_split_points
+from ledgerloom.plans.stages import MISSING, BucketModel, CategoryModel, MissingModel
 from ledgerloom.sources.dictionary import Field, check_schema, features_of, keys_of
 
 FEATURES = "features"
+# Date part of a missing date where rows with missing values are kept.
+MISSING_PART = -1
 
 _CHOICES = {
     "date_parts": tuple(PART_SETS),
@@ -40,15 +42,15 @@ class FeatureOptions:
 
     ``date_parts``: "clock" (year, month, day, hour, minute) or "calendar" (nine
     parts). ``handle_invalid``: what NaN, NULL and unseen categories do; "error",
-    "skip" (drop the row) or "keep". ``max_categories`` guards the driver, which
-    holds the categories of a model; wider columns belong under usage "skip".
+    "skip" (not trained on, and scored as NULL) or "keep". Kept, a number has a
+    bucket of its own and counts as 0, the parts of a date are ``MISSING_PART``,
+    and a category has an index of its own.
     """
 
     date_parts: str = "clock"
     week_system: str = "iso"
     quarter: str = "month_div_4"
     handle_invalid: str = "error"
-    max_categories: int = MODEL_CATEGORIES
 
     def __post_init__(self) -> None:
         for name, words in _CHOICES.items():
@@ -85,7 +87,8 @@ def feature_columns(fields: Sequence[Field], options: FeatureOptions = FeatureOp
         if field.role == "DATE":
             columns += part_columns(field.name, PART_SETS[options.date_parts])
         elif field.role == "DOUBLE":
-            columns += [f"{field.name}_bucket", field.name]
+            known = field.name if options.handle_invalid == "error" else f"{field.name}_known"
+            columns += [f"{field.name}_bucket", known]
         elif field.role == "NOMINAL":
             columns.append(f"{field.name}_vec")
     return columns
@@ -108,37 +111,24 @@ def feature_stages(
     nominals = features_of(fields, "NOMINAL")
     if not (dates or doubles or nominals):
         raise ValueError("the dictionary declares no field that a feature can be built from")
+    check_names(fields, train_rows.columns, options)
+    keep = options.handle_invalid != "error"
     stages: list[Estimator | Transformer] = []
     if dates:
+        missing = MISSING_PART if keep else None
         parts = PART_SETS[options.date_parts]
-        stages.append(date_stage(dates, parts, options.week_system, options.quarter))
+        stages.append(date_stage(dates, parts, options.week_system, options.quarter, missing))
     if doubles:
-        points = fit_split_points(statistics, doubles)
-        stages.append(
-            Bucketizer(
-                inputCols=doubles,
-                outputCols=[f"{name}_bucket" for name in doubles],
-                splitsArray=[points[name] for name in doubles],
-                handleInvalid=options.handle_invalid,
-            )
-        )
+        stages.append(BucketModel(fit_split_points(statistics, doubles), keep))
     without_positions: set[str] = set()
+    known: dict[str, int] = {}
     if nominals:
-        indexers = category_indexers(
-            train_rows,
-            nominals,
-            [f"{name}_idx" for name in nominals],
-            options.handle_invalid,
-            options.max_categories,
-        )
-        stages += indexers
+        categories = CategoryModel.fit_on(train_rows, nominals, keep)
+        known = {name: size.categories for name, size in categories.sizes.items()}
+        stages.append(categories)
         # One category less the dropped one leaves a vector of no positions, which
-        # the encoder refuses; "keep" adds a category for what is unknown.
-        encoded = [
-            name
-            for name, indexer in zip(nominals, indexers)
-            if len(indexer.labels) > 1 or options.handle_invalid == "keep"
-        ]
+        # the encoder refuses; a kept row adds a category for what is unknown.
+        encoded = [name for name in nominals if categories.values_of(name) > 1]
         without_positions = {f"{name}_vec" for name in nominals if name not in encoded}
         if encoded:
             stages.append(
@@ -147,15 +137,31 @@ def feature_stages(
                     outputCols=[f"{name}_vec" for name in encoded],
                 )
             )
+    if options.handle_invalid == "skip":
+        stages.append(MissingModel(doubles, dates, known))
     columns = [name for name in feature_columns(fields, options) if name not in without_positions]
     if not columns:
         raise ValueError("no field gives a feature: every text column holds one category only")
-    stages.append(
-        VectorAssembler(inputCols=columns, outputCol=FEATURES, handleInvalid=options.handle_invalid)
-    )
+    stages.append(VectorAssembler(inputCols=columns, outputCol=FEATURES))
     return stages
 
 
+def check_names(fields: Sequence[Field], columns: Sequence[str], options: FeatureOptions) -> None:
+    """``ValueError`` if a feature column would be named as another one, or as a source column."""
+    made = [FEATURES, MISSING]
+    for field in fields:
+        made += [name for name in feature_columns([field], options) if name != field.name]
+        made += [f"{field.name}_idx"] if field.role == "NOMINAL" else []
+    twice = sorted({name for name in made if made.count(name) > 1 or name in columns})
+    if twice:
+        raise ValueError(f"feature columns that would have the name of another column: {', '.join(twice)}")
+
+
+def complete_rows(frame: DataFrame) -> DataFrame:
+    """The rows of a transformed frame that miss no value, where those are to be skipped."""
+    return frame.where(~F.col(MISSING)).drop(MISSING) if MISSING in frame.columns else frame
+
+
 def feature_frame(
     df: DataFrame,
     fields: Sequence[Field],
@@ -163,4 +169,5 @@ def feature_frame(
 ) -> DataFrame:
     """``df``'s used columns plus every feature column and ``features``, fitted on ``df``."""
     source = source_frame(df, fields)
-    return Pipeline(stages=feature_stages(fields, source, source, options)).fit(source).transform(source)
+    model = Pipeline(stages=feature_stages(fields, source, source, options)).fit(source)
+    return complete_rows(model.transform(source))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import cached_property
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,9 @@ from ledgerloom.operators.splits import (
     with_key_bucket,
     with_random_bucket,
 )
-from ledgerloom.plans.features import FEATURES, FeatureOptions, feature_stages, source_frame
-from ledgerloom.session import shared_dir, shared_table
+from ledgerloom.plans.features import FEATURES, FeatureOptions, complete_rows, feature_stages, source_frame
+from ledgerloom.plans.stages import MISSING, CategoryModel
+from ledgerloom.session import drop_table, shared_dir, shared_table
 from ledgerloom.sources.dictionary import Field, keys_of, load_fields, read_dictionary, target_of
 from ledgerloom.sources.jdbc import JdbcTable, read_jdbc
 from ledgerloom.sources.outputs import metrics_path, model_path, save_metrics, save_model
@@ -46,8 +50,9 @@ class TrainOptions:
     used columns in executor memory and disk, "table" writes them once as parquet
     to the shared folder (for sources that must be read only once), "none" reads
     the source each time (good for files that are columnar already).
-    ``partitions``: shuffle the used columns into so many; for sources that come
-    in few (``scan_spread`` tells), None to leave them as they are.
+    ``partitions``: shuffle the used columns into so many, None to leave them as
+    they are. Trees depend on how rows are parted, so give a number to have the
+    same model on every cluster. ``classifier``: parameters of ``GBTClassifier``.
     """
 
     seed: int = 42
@@ -57,6 +62,7 @@ class TrainOptions:
     reuse: str = "persist"
     partitions: int | None = None
     features: FeatureOptions = FeatureOptions()
+    classifier: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         for name, words in _CHOICES.items():
@@ -64,13 +70,35 @@ class TrainOptions:
                 raise ValueError(f"{name} must be one of {words}, not {getattr(self, name)!r}")
 
 
-@dataclass(frozen=True)
 class TrainResult:
-    """Fitted model, lazily scored hold-out, and the finished one-row metrics frame."""
+    """Fitted model and scored hold-out; the metrics are computed when they are first asked for.
+
+    ``scored`` and the metrics read the same kept rows. ``close``, or leaving a
+    ``with`` block, gives those up and deletes what the job wrote to the shared
+    folder; after it only what was saved can be used.
+    """
+
+    def __init__(
+        self, model: PipelineModel, scored: DataFrame, fields: Sequence[Field], release: Callable[[], None]
+    ) -> None:
+        self.model = model
+        self.scored = scored
+        self._fields = fields
+        self._release = release
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """One row, computed once."""
+        return evaluate(self.scored, self._fields)
 
-    model: PipelineModel
-    scored: DataFrame
-    metrics: DataFrame
+    def close(self) -> None:
+        self._release()
+
+    def __enter__(self) -> TrainResult:
+        return self
+
+    def __exit__(self, *problem: object) -> None:
+        self.close()
 
 
 def labelled_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -105,28 +133,27 @@ def split_frame(prepared: DataFrame, options: TrainOptions = TrainOptions()) ->
     return random_split(prepared, options.train_share, options.seed)
 
 
-def scan_spread(source: DataFrame) -> int | None:
-    """Partitions to spread a plain read over: all cores, or None where it has as many already.
-
-    A single-partition table read would leave every later pass to one task; a
-    large set of files need not be shuffled. Only for plain reads, as asking a
-    frame with a shuffle in it would run that shuffle.
-    """
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    return cores if source.rdd.getNumPartitions() < cores else None
-
-
 def fit(
     prepared: DataFrame,
     train_rows: DataFrame,
     fields: Sequence[Field],
     options: TrainOptions = TrainOptions(),
 ) -> PipelineModel:
-    """Fit feature stages and the classifier on the train part of a prepared frame."""
+    """Fit feature stages and the classifier on the train part of a prepared frame.
+
+    Rows with missing values are left out of the training if they are to be
+    skipped, and the model gives them a NULL prediction.
+    """
     statistics = {"all": prepared, "train": train_rows}[options.stats_from]
-    classifier = GBTClassifier(featuresCol=FEATURES, labelCol=target_of(fields), seed=options.seed)
-    stages = [*feature_stages(fields, statistics, train_rows, options.features), classifier]
-    return Pipeline(stages=stages).fit(train_rows)
+    built = Pipeline(stages=feature_stages(fields, statistics, train_rows, options.features)).fit(train_rows)
+    parameters = {"seed": options.seed, **options.classifier}
+    classifier = GBTClassifier(featuresCol=FEATURES, labelCol=target_of(fields), **parameters)
+    trees = classifier.fit(complete_rows(built.transform(train_rows)))
+    stages = [*built.stages, trees]
+    if options.features.handle_invalid == "skip":
+        kept = f"SELECT * EXCEPT (prediction, {MISSING}), IF({MISSING}, NULL, prediction) AS prediction FROM __THIS__"
+        stages.append(SQLTransformer(statement=kept))
+    return PipelineModel(stages)
 
 
 def score(model: PipelineModel, df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -151,29 +178,38 @@ def train(
     out: str | None = None,
     options: TrainOptions = TrainOptions(),
 ) -> TrainResult:
-    """Train on one part of ``df``, score and measure the other, save under ``out`` if given.
+    """Train on one part of ``df``, score the other, measure and save under ``out`` if given.
 
-    Tree growing keeps its lineage short through the shared checkpoint folder. A
-    table written there stays, as the scored frame reads it.
+    Tree growing keeps its lineage short through the shared checkpoint folder.
+    Close the result when it is no longer needed.
     """
     shared_dir(df.sparkSession)
     prepared = prepared_frame(df, fields, options)
+    written: list[DataFrame] = []
     if options.reuse == "table":
         prepared = shared_table(prepared)
+        written.append(prepared)
     elif options.reuse == "persist":
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def release() -> None:
+        if options.reuse == "persist":
+            prepared.unpersist()
+        while written:
+            drop_table(written.pop())
+
     try:
         train_rows, test_rows = split_frame(prepared, options)
         model = fit(prepared, train_rows, fields, options)
-        scored = model.transform(test_rows)
-        metrics = evaluate(scored, fields)
-    finally:
-        if options.reuse == "persist":
-            prepared.unpersist()
-    if out is not None:
-        save_model(model, model_path(out))
-        save_metrics(metrics, metrics_path(out))
-    return TrainResult(model, scored, metrics)
+        written += [stage.ranks for stage in model.stages if isinstance(stage, CategoryModel)]
+        result = TrainResult(model, model.transform(test_rows), fields, release)
+        if out is not None:
+            save_model(model, model_path(out))
+            save_metrics(result.metrics, metrics_path(out))
+    except BaseException:
+        release()
+        raise
+    return result
 
 
 def run_job(
@@ -186,11 +222,7 @@ def run_job(
     """The whole job: JDBC table and dictionary file in, model and metrics out.
 
     The table is read once into the shared folder: a live table may change
-    between reads, and the database should not serve every pass. An unpartitioned
-    read is spread over the cores on the way.
+    between reads, and the database should not serve every pass.
     """
     fields = load_fields(read_dictionary(spark, dictionary))
-    table = read_jdbc(spark, source)
-    if options.partitions is None:
-        options = replace(options, partitions=scan_spread(table))
-    return train(table, fields, out, options)
+    return train(read_jdbc(spark, source), fields, out, options)

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 class JdbcTable:
     """Where the table is and how to split its read.
 
-    Without ``partition_column`` or ``predicates`` Spark reads the table in one
-    task. ``partition_column`` splits the range of a number, date or timestamp
-    evenly. Where that column is unevenly filled, give ``predicates``: one
-    WHERE condition per task, together covering every row exactly once.
+    ``partition_column`` splits the range of a number, date or timestamp evenly.
+    Where that column is unevenly filled, give ``predicates``: one WHERE
+    condition per task, together covering every row exactly once. A small table
+    may be read by one task if ``single_task`` says so.
     """
 
     url: str
@@ -29,10 +29,13 @@ class JdbcTable:
     upper_bound: str | int | None = None
     predicates: Sequence[str] | None = None
     fetch_size: int = 10_000
+    single_task: bool = False
 
     def __post_init__(self) -> None:
         if self.predicates is not None and self.partition_column is not None:
             raise ValueError("give either predicates or partition_column, not both")
+        if self.single_task == (self.predicates is not None or self.partition_column is not None):
+            raise ValueError("give partition_column or predicates, or single_task=True without them")
         if self.predicates is not None and not self.predicates:
             raise ValueError("predicates must hold at least one condition")
         if (self.partition_column is None) != (self.num_partitions is None):

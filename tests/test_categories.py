@@ -1,19 +1,18 @@
 from collections import Counter
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.categories import (
     category_frequency,
-    category_indexers,
-    category_labels,
+    category_ranks,
     one_hot_entries,
     rank_size,
     string_index,
 )
 from ledgerloom.operators.vectors import vector_entries
+from ledgerloom.plans.stages import CategoryModel
 
 
 def _brute_ranks(values):
@@ -52,9 +51,9 @@ def test_any_column_name_can_be_ranked(spark, name):
     assert {row.value: row.idx for row in category_frequency(df, name).collect()} == {"x": 0, "y": 1}
 
 
-@pytest.mark.parametrize(("limit", "hot_share"), [(1 << 20, 1000), (0, 1000), (0, 2), (0, 10**9)])
-def test_index_is_whole_and_right_on_every_join_path(no_auto_broadcast, skewed, limit, hot_share):
-    out = string_index(skewed, "cat", broadcast_bytes=limit, hot_share=hot_share)
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_index_is_whole_and_right_on_every_join_path(no_auto_broadcast, skewed, limit):
+    out = string_index(skewed, "cat", broadcast_bytes=limit)
     assert out.columns == ["id", "cat", "cat_idx"]
     rows = skewed.collect()
     expected = _brute_ranks(row.cat for row in rows)
@@ -64,13 +63,27 @@ def test_index_is_whole_and_right_on_every_join_path(no_auto_broadcast, skewed,
     assert dict(got) == want
 
 
-def test_very_long_hot_values_are_shuffled_and_still_right(no_auto_broadcast):
-    """They would break the bound on the broadcast, so they take the other way."""
-    long = "x" * 5000
-    df = no_auto_broadcast.createDataFrame([(i, long if i % 2 else f"c{i}") for i in range(40)], "id int, cat string")
-    got = {row.id: row.i for row in string_index(df, "cat", "i", broadcast_bytes=0).collect()}
-    ranked = _brute_ranks(row.cat for row in df.collect())
-    assert got == {row.id: float(ranked[row.cat][1]) for row in df.collect()}
+def _rows_per_task(spark, frame):
+    """Rows that each task holds after the join with the ranks."""
+    return [row["count"] for row in frame.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("hot", ["long", "unseen"])
+def test_hot_values_are_spread_whatever_their_length(no_auto_broadcast, hot):
+    spark = no_auto_broadcast
+    value = "x" * 5000 if hot == "long" else "unseen"
+    cat = F.when(F.col("id") % 2 == 0, F.lit(value)).otherwise(F.concat(F.lit("c"), (F.col("id") % 997).cast("string")))
+    df = spark.range(8000).select("id", cat.alias("cat"))
+    ranks = category_frequency(df if hot == "long" else df.where("id % 2 = 1"), "cat")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = string_index(df, "cat", "i", ranks, broadcast_bytes=0)
+        tasks = _rows_per_task(spark, found)
+        assert max(tasks) <= 2 * sum(tasks) / 8
+        want = {row.value: float(row.idx) for row in ranks.collect()}
+        assert all(row.i == want.get(row.cat) for row in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_numbers_can_be_categories(spark):
@@ -81,14 +94,11 @@ def test_numbers_can_be_categories(spark):
         assert len(got) == 100
 
 
-def test_hot_rows_are_not_shuffled(spark, skewed):
-    """Only rows of rare categories reach the shuffled join."""
+def test_rank_tables_are_measured(spark, skewed):
     ranks = category_frequency(skewed, "cat")
     size = rank_size(ranks)
     assert size.categories == ranks.count()
     assert size.rows == skewed.where("cat IS NOT NULL").count()
-    hot = ranks.where(F.col("n") * 1000 >= size.rows).collect()
-    assert [row.value for row in hot] == ["hot"]
 
 
 def test_unranked_category_has_no_index(spark):
@@ -100,34 +110,36 @@ def test_unranked_category_has_no_index(spark):
         assert sorted((row.cat or "", row.i) for row in got) == [("", None), ("x", 0.0), ("zz", None)]
 
 
-def test_indexer_is_the_model_spark_fits(spark, skewed):
+def _indexed(df, columns, other=None, keep=False):
+    return CategoryModel.fit_on(df, columns, keep).transform(df if other is None else other)
+
+
+def test_indexes_are_those_spark_fits(spark, skewed):
     df = skewed.where("cat IS NOT NULL").withColumn("b", F.substring("cat", -1, 1))
-    ours = category_indexers(df, ["cat", "b"], ["i", "j"])
-    theirs = StringIndexer(inputCols=["cat", "b"], outputCols=["i", "j"]).fit(df)
-    assert [list(model.labels) for model in ours] == [list(labels) for labels in theirs.labelsArray]
-    assert {model.getHandleInvalid() for model in ours} == {theirs.getHandleInvalid()}
-    found = PipelineModel(ours).transform(df)
-    assert found.exceptAll(theirs.transform(df)).count() == 0
+    theirs = StringIndexer(inputCols=["cat", "b"], outputCols=["cat_idx", "b_idx"]).fit(df).transform(df)
+    assert _indexed(df, ["cat", "b"]).exceptAll(theirs).count() == 0
 
 
-def test_labels_of_several_columns(spark):
+def test_ranks_of_several_columns(spark):
     df = spark.createDataFrame([("x", "q"), ("y", None), ("y", "p")], "a string, `b c` string")
-    assert category_labels(df, ["a", "b c"]) == {"a": ["y", "x"], "b c": ["p", "q"]}
+    found = {(row.field, row.value): row.idx for row in category_ranks(df, ["a", "b c"]).collect()}
+    assert found == {("a", "y"): 0, ("a", "x"): 1, ("b c", "p"): 0, ("b c", "q"): 1}
 
 
 def test_column_without_category_is_named(spark):
     df = spark.createDataFrame([("x", None)], "a string, b string")
     with pytest.raises(ValueError, match="no category in b"):
-        category_indexers(df, ["a", "b"], ["i", "j"])
+        CategoryModel.fit_on(df, ["a", "b"])
 
 
 def test_unseen_category_raises_or_is_kept(spark):
     df = spark.createDataFrame([("x",), ("x",), ("y",)], "cat string")
     other = spark.createDataFrame([("zz",), (None,), ("y",)], "cat string").coalesce(1)
-    kept = category_indexers(df, ["cat"], ["i"], "keep")[0].transform(other)
-    assert [row.i for row in kept.collect()] == [2.0, 2.0, 1.0]
+    kept = _indexed(df, ["cat"], other, keep=True)
+    assert sorted((row.cat or "", row.cat_idx) for row in kept.collect()) == [("", 2.0), ("y", 1.0), ("zz", 2.0)]
+    assert kept.schema["cat_idx"].metadata["ml_attr"]["num_vals"] == 3
     with pytest.raises(Exception, match="zz|NULL|null"):
-        category_indexers(df, ["cat"], ["i"])[0].transform(other).collect()
+        _indexed(df, ["cat"], other).collect()
 
 
 def test_one_category_has_no_position(spark):
@@ -140,8 +152,8 @@ def test_one_category_has_no_position(spark):
 @pytest.mark.parametrize("values", [["c", "c", "a", "b"], ["p", "q"]])
 def test_one_hot_rows_equal_the_encoder(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "id long, cat string")
-    indexed = category_indexers(df, ["cat"], ["i"])[0].transform(df)
-    encoded = OneHotEncoder(inputCol="i", outputCol="v").fit(indexed).transform(indexed)
+    indexed = _indexed(df, ["cat"])
+    encoded = OneHotEncoder(inputCol="cat_idx", outputCol="v").fit(indexed).transform(indexed)
     ours = one_hot_entries(string_index(df, "cat", "i"), "id", "i", len(set(values)))
     theirs = vector_entries(encoded, "id", "v")
     assert ours.dtypes == theirs.dtypes

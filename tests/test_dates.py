@@ -79,7 +79,7 @@ def test_enrich_keeps_the_timestamp_of_a_text_column(spark):
     df = spark.createDataFrame([("2024-03-10 13:45:00",)], "`when ` string")
     out = enrich_dates(df, "when ")
     assert out.columns == ["when ", "when _timestamp", *part_columns("when ", CALENDAR_PARTS)]
-    assert out.schema["when _timestamp"].dataType.simpleString() == "timestamp"
+    assert out.schema["when _timestamp"].dataType.simpleString() == "timestamp_ntz"
     assert tuple(out.first()[2:]) == _expected(datetime(2024, 3, 10, 13, 45))
 
 
@@ -97,3 +97,17 @@ def test_stage_equals_projection_and_survives_saving(spark, tmp_path, week_syste
     assert stage.transform(df).first() == projected.first()
     PipelineModel([stage]).write().save(str(tmp_path / "m"))
     assert PipelineModel.load(str(tmp_path / "m")).transform(df).first() == projected.first()
+
+
+def test_times_without_a_zone_are_not_shifted_by_summer_time(spark):
+    """02:30 does not exist in Berlin on that day, but in a column without a zone it does."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-31 02:30:00' AS ts, '2024-03-31 02:30:00' AS t, date'2024-03-31' AS d")
+        for column, minute in (("ts", 150), ("t", 150), ("d", 0)):
+            row = enrich_dates(df, column).first()
+            assert row[f"{column}_minuteFromDayBeginning"] == minute
+            assert row[f"{column}_hour"] == minute // 60
+        assert dict(enrich_dates(df, "ts").dtypes)["ts_timestamp"] == "timestamp_ntz"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -181,16 +181,18 @@ def test_null_and_nan_raise_skip_or_are_kept(spark, small_fields, bad):
     assert len(kept[-1].features) == 4
 
 
-def test_too_many_categories_are_refused_by_name(spark, small_fields):
-    df = _small(spark, [(float(i), f"c{i}", True) for i in range(50)])
-    with pytest.raises(ValueError, match="more than 49 categories: cur"):
-        feature_frame(df, small_fields, FeatureOptions(max_categories=49))
-
-
-def test_as_many_categories_as_allowed_are_fine(spark, small_fields):
-    df = _small(spark, [(float(i), f"c{i}", True) for i in range(50)])
-    frame = feature_frame(df, small_fields, FeatureOptions(max_categories=50))
-    assert len(frame.first()["features"]) == 2 + 49
+def test_many_categories_are_indexed_without_the_driver(spark, small_fields):
+    df = spark.range(60_000).selectExpr("double(id) AS amount", "concat('c', id % 50000) AS cur", "id % 2 = 0 AS fraud")
+    frame = feature_frame(df, small_fields)
+    assert frame.schema["cur_idx"].metadata["ml_attr"]["num_vals"] == 50_000
+    assert frame.select("cur_idx").distinct().count() == 50_000
+
+
+def test_names_that_would_collide_are_refused(spark):
+    attrs = [_attr("d", "date-time", "flag"), _attr("d_year", "double", "flag"), ATTRS[-1]]
+    df = spark.createDataFrame([(datetime(2020, 1, 2), 1.0, True)], "d timestamp, d_year double, fraud boolean")
+    with pytest.raises(ValueError, match="name of another column: d_year"):
+        feature_frame(df, load_fields(dictionary_frame(spark, attrs)))
 
 
 def test_a_feature_is_needed(spark):

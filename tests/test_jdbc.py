@@ -40,7 +40,7 @@ URL = "jdbc:postgresql://host/db"
 
 def test_credentials_are_options_and_not_in_the_url():
     spark = FakeReader()
-    read_jdbc(spark, JdbcTable(URL, "tx", "me", "secret"))
+    read_jdbc(spark, JdbcTable(URL, "tx", "me", "secret", single_task=True))
     assert spark.loads == [
         {
             "url": URL,
@@ -54,7 +54,7 @@ def test_credentials_are_options_and_not_in_the_url():
 
 
 def test_password_is_not_shown():
-    assert "secret" not in repr(JdbcTable(URL, "tx", "me", "secret"))
+    assert "secret" not in repr(JdbcTable(URL, "tx", "me", "secret", single_task=True))
 
 
 def test_given_bounds_split_the_read():
@@ -94,6 +94,8 @@ def test_predicates_give_one_task_each():
 @pytest.mark.parametrize(
     "options",
     [
+        {},
+        {"single_task": True, "predicates": ["a"]},
         {"partition_column": "id"},
         {"num_partitions": 3},
         {"lower_bound": 1, "upper_bound": 2},

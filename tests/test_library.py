@@ -8,8 +8,8 @@ PACKAGE = Path(__file__).resolve().parents[1] / "ledgerloom"
 SOURCES = {path.relative_to(PACKAGE).as_posix(): path.read_text() for path in PACKAGE.rglob("*.py")}
 SOURCES = {name: text for name, text in SOURCES.items() if not name.startswith("llm/")}
 
-# Dictionary rows and the categories of a model: bounded by columns and by max_categories.
-MAY_COLLECT = {"sources/dictionary.py": 1, "operators/categories.py": 1}
+# Dictionary rows: bounded by the number of columns.
+MAY_COLLECT = {"sources/dictionary.py": 1}
 
 
 def _calls(text, name):
@@ -20,6 +20,7 @@ def _calls(text, name):
 def test_rows_stay_on_executors(name):
     text = SOURCES[name]
     assert _calls(text, "collect") == MAY_COLLECT.get(name, 0)
+    assert "defaultParallelism" not in text
     for method in ("toPandas", "toLocalIterator", "take", "head", "tail", "localCheckpoint", "crossJoin"):
         assert _calls(text, method) == 0
 

@@ -43,7 +43,7 @@ def _sorted_rows(rows, order):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     own = {name for name in QUERIES if name != "pipeline" and not re.match(r"op\d+_", name)}
-    assert own - set(ORACLES) == {"gbt_predictions", "gbt_metrics"}
+    assert own <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -59,14 +59,6 @@ def test_query_matches_sql(spark, duck, name):
     assert _sorted_rows(found.collect(), got_order) == _sorted_rows(expected, want_order)
 
 
-def test_training_queries_score_the_hold_out(spark, duck):
-    hold_out = duck.execute(ORACLES["model_roundtrip"]).fetchall()[0][0]
-    predictions = QUERIES["gbt_predictions"](spark, SF_DIR)
-    assert predictions.count() == hold_out
-    metrics = QUERIES["gbt_metrics"](spark, SF_DIR).first().asDict()
-    assert all(0.9 < value <= 1.0 for value in metrics.values())
-
-
 def test_entry_gives_one_row_of_metrics(spark):
     metrics = entry_module.entry(spark)
     assert metrics.columns == ["precision", "recall", "f1Score", "accuracy"]

@@ -22,7 +22,9 @@ def test_keyed_split_is_disjoint_whole_and_stable(spark):
 def test_key_bucket_is_md5_of_the_text_of_the_key(spark):
     rows = spark.range(200).select("id", key_bucket(["id"])).collect()
     for key, bucket in rows:
-        assert bucket == int(hashlib.md5(str(key).encode()).hexdigest()[:8], 16) % 100
+        number = int(hashlib.md5(str(key).encode()).hexdigest()[:8], 16)
+        assert bucket == pytest.approx(number % 100 + number // 100 / (2**32 // 100 + 1))
+        assert int(bucket) == number % 100
 
 
 def test_null_keys_and_several_keys_are_split_too(spark):
@@ -44,7 +46,7 @@ def test_random_split_is_disjoint_whole_and_seeded(spark):
     assert sorted(_ids(random_split(df, 0.8, seed=8)[0])) != sorted(_ids(train))
 
 
-@pytest.mark.parametrize("share", [0.0, 0.001, 1.0, 1.5])
+@pytest.mark.parametrize("share", [0.0, -0.1, 1.0, 1.5])
 def test_share_must_leave_both_parts_something(spark, share):
     with pytest.raises(ValueError, match="train_share"):
         keyed_split(spark.range(1), ["id"], share)
@@ -53,3 +55,20 @@ def test_share_must_leave_both_parts_something(spark, share):
 def test_keyed_split_needs_a_key(spark):
     with pytest.raises(ValueError, match="at least one key"):
         keyed_split(spark.range(1), [])
+
+
+@pytest.mark.parametrize("share", [0.805, 0.999, 0.004])
+def test_share_is_met_finer_than_a_percent(spark, share):
+    train, test = keyed_split(spark.range(100_000), ["id"], share)
+    count = train.count()
+    assert count + test.count() == 100_000
+    assert abs(count / 100_000 - share) < 0.004
+    assert 0 < count < 100_000
+
+
+def test_rows_without_a_key_are_spread(spark):
+    df = spark.range(4000).select("id", F.lit(None).cast("string").alias("k"))
+    train, test = keyed_split(df, ["k"])
+    assert 0.77 < train.count() / 4000 < 0.83
+    assert train.count() + test.count() == 4000
+    assert train.columns == ["id", "k"]

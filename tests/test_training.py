@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import training
-from ledgerloom.plans.training import METRICS, TrainOptions, run_job, scan_spread, score, split_frame, train
+from ledgerloom.plans.features import FeatureOptions
+from ledgerloom.plans.training import METRICS, TrainOptions, run_job, score, split_frame, train
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 from ledgerloom.sources.jdbc import JdbcTable
 from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
@@ -132,7 +133,7 @@ def test_whole_job_from_table_and_dictionary_file(spark, tmp_path, monkeypatch):
         return _table(session, 1500).withColumn("fraud", F.col("fraud").cast("int"))
 
     monkeypatch.setattr(training, "read_jdbc", fake_read)
-    source = JdbcTable("jdbc:postgresql://host/db", "tx")
+    source = JdbcTable("jdbc:postgresql://host/db", "tx", single_task=True)
     options = TrainOptions(split="random", stats_from="train", reuse="table", seed=3)
     result = run_job(spark, source, str(dictionary), str(tmp_path / "out"), options)
     assert asked == [source]
@@ -142,10 +143,86 @@ def test_whole_job_from_table_and_dictionary_file(spark, tmp_path, monkeypatch):
     assert any("/table-" in file for file in result.scored.inputFiles())
 
 
-def test_only_reads_of_few_partitions_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert scan_spread(spark.range(100).coalesce(1)) == cores
-    assert scan_spread(spark.range(0, 100, 1, cores)) is None
+def test_partitions_are_those_asked_for(spark):
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    for partitions in (3, 5):
+        prepared = training.prepared_frame(_table(spark), fields, TrainOptions(partitions=partitions))
+        assert prepared.rdd.getNumPartitions() == partitions
+
+
+def test_classifier_parameters_reach_the_saved_model(spark, tmp_path):
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    options = TrainOptions(classifier={"maxDepth": 2, "maxIter": 3, "seed": 9})
+    train(_table(spark, 600), fields, str(tmp_path), options).close()
+    trees = load_model(model_path(str(tmp_path))).stages[-1]
+    assert trees.getNumTrees == 3 and trees.getMaxDepth() == 2 and trees.getSeed() == 9
+
+
+def _with_missing(spark, rows=1400):
+    """One row in seven without an amount (NULL or NaN), one in eleven without a date or currency."""
+    table = _table(spark, rows)
+    amount = F.col("amount").cast("double")
+    amount = F.when(F.col("id") % 14 == 0, F.lit(float("nan"))).when(F.col("id") % 14 != 7, amount)
+    at = F.when(F.col("id") % 11 != 0, F.timestamp_seconds(F.col("id") * 86400))
+    cur = F.when(F.col("id") % 11 != 1, F.col("cur"))
+    return table.withColumns({"amount": amount, "at": at, "cur": cur}).repartition(4)
+
+
+DATED = [*ATTRS[:2], _attr("at", "date-time", "continious"), *ATTRS[2:]]
+
+
+def test_missing_values_are_kept(spark, tmp_path):
+    fields = load_fields(dictionary_frame(spark, DATED))
+    options = TrainOptions(features=FeatureOptions(handle_invalid="keep"), classifier={"maxIter": 4})
+    with train(_with_missing(spark), fields, str(tmp_path), options) as result:
+        assert result.scored.where("prediction IS NULL").count() == 0
+        bucket = next(
+            a for a in result.scored.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+            if a["name"] == "amount_bucket"
+        )
+        assert len(bucket["vals"]) == 7
+        scored = result.scored.select("id", F.col("prediction").alias("before")).toPandas()
+    again = score(load_model(model_path(str(tmp_path))), _with_missing(spark), fields).select("id", "prediction").toPandas()
+    both = scored.merge(again, on="id")
+    assert len(both) == len(scored) and (both.before == both.prediction).all()
+
+
+def test_skipped_rows_are_not_trained_on_but_counted(spark, tmp_path):
+    fields = load_fields(dictionary_frame(spark, DATED))
+    options = TrainOptions(features=FeatureOptions(handle_invalid="skip"), classifier={"maxIter": 4})
+    table = _with_missing(spark)
+    missing = "amount IS NULL OR isnan(amount) OR at IS NULL OR cur IS NULL"
+    with train(table, fields, str(tmp_path), options) as result:
+        _, test_rows = split_frame(training.prepared_frame(table, fields, options), options)
+        assert result.scored.count() == test_rows.count()
+        assert result.scored.where(f"({missing}) <> (prediction IS NULL)").count() == 0
+        right = result.scored.where("prediction = fraud").count()
+        assert result.metrics.first()["accuracy"] == pytest.approx(right / test_rows.count())
+    again = score(load_model(model_path(str(tmp_path))), table, fields)
+    assert again.count() == 1400 and again.where("prediction IS NULL").count() == table.where(missing).count()
+
+
+def test_the_source_is_not_scanned_for_scored_rows(spark, tmp_path):
+    path = str(tmp_path / "source")
+    _table(spark).write.parquet(path)
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    for reuse in ("persist", "table"):
+        with train(spark.read.parquet(path), fields, options=TrainOptions(reuse=reuse)) as result:
+            assert reuse == "persist" or all("/table-" in file for file in result.scored.inputFiles())
+            plan = result.scored._jdf.queryExecution().withCachedData().toString()
+            assert ("InMemoryRelation" in plan) == (reuse == "persist")
+
+
+def test_a_closed_job_leaves_nothing_in_the_shared_folder(spark):
+    def tables():
+        return set(Path(training.shared_dir(spark)).glob("table-*"))
+
+    before = tables()
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    result = train(_table(spark, 600), fields, options=TrainOptions(reuse="table"))
+    assert len(tables() - before) > 1
+    result.close()
+    assert tables() == before
 
 
 @pytest.mark.parametrize("options", [{"split": "other"}, {"stats_from": "test"}, {"reuse": "cache"}])
