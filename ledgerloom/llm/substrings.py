@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import (
-    covered,
     list_array,
     map_rows,
     mixed,
@@ -38,6 +37,8 @@ WINDOW = 35
 ANCHOR = 11
 #: A run has at most ``WINDOW - ANCHOR + 1`` windows, a bit for each.
 MASK_BITS = WINDOW - ANCHOR + 1
+#: Marks a span that is a whole stretch of starts.
+WHOLE = 1 << 62
 #: Source coordinates that may be broadcast to the texts.
 BROADCAST_ROWS = 1_000_000
 _ROW = ("doc_id", "row_key")
@@ -49,10 +50,14 @@ def row_key() -> Column:
 
 
 def anchor_runs(hashes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Runs of successive windows with one anchor: anchor hash, hash of the run, start, number of windows."""
+    """Runs of successive windows with one anchor: anchor hash, hash of the run, start, windows, times.
+
+    Equal runs that follow each other, as in a text that repeats a phrase, are
+    one row with the number of times.
+    """
     windows = window_hashes(hashes, window)
     if not len(windows):
-        return (windows, windows, windows, windows)
+        return (windows, windows, windows, windows, windows)
     kmers = window_hashes(hashes, anchor)
     width = window - anchor + 1
     at = np.lib.stride_tricks.sliding_window_view(kmers, width).argmin(1) + np.arange(len(windows))
@@ -60,12 +65,15 @@ def anchor_runs(hashes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR)
     counts = np.diff(np.concatenate([starts, [len(windows)]]))
     # The first and the last window of a run overlap, so together they are all of its words.
     runs = mixed(windows[starts] * np.uint64(3) + windows[starts + counts - 1]) + counts.astype(np.uint64)
-    return kmers[at[starts]], runs, starts.astype(np.uint64), counts.astype(np.uint64)
+    anchors = kmers[at[starts]]
+    new = np.concatenate([[True], (np.diff(runs) != 0) | (np.diff(anchors) != 0)])
+    times = np.diff(np.concatenate([np.flatnonzero(new), [len(new)]]))
+    return anchors[new], runs[new], starts[new].astype(np.uint64), counts[new].astype(np.uint64), times.astype(np.uint64)
 
 
 def document_runs(documents: DataFrame) -> DataFrame:
-    """``doc_id, row_key`` and the runs of each document, as arrays ``anchor, run, start, windows``."""
-    names = ("anchor", "run", "start", "windows")
+    """``doc_id, row_key`` and the runs of each document, as arrays ``anchor, run, start, windows, times``."""
+    names = ("anchor", "run", "start", "windows", "times")
 
     def rows(batch: dict[str, list]):
         found = [anchor_runs(word_hashes(text.split())) for text in batch["text"]]
@@ -112,59 +120,69 @@ def spelled_windows(places: DataFrame, documents: DataFrame) -> DataFrame:
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """``doc_id, row_key, spans``: where repeated windows start, for the rows that have any.
 
-    An entry of ``spans`` is ``start << MASK_BITS | mask``, and bit ``i`` of the
-    mask says that a repeated window starts at word ``start + i``.
+    A span is a whole stretch of starts, ``WHOLE | start << 31 | number``, or
+    part of a run, ``start << MASK_BITS | mask``, where bit ``i`` of the mask
+    says that a repeated window starts at word ``start + i``.
     """
     by_row = shared_table(document_runs(documents))
-    runs = by_row.select(*_ROW, F.inline(F.arrays_zip("anchor", "run", "start", "windows")))
-    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    runs = by_row.select(*_ROW, F.inline(F.arrays_zip("anchor", "run", "start", "windows", "times")))
+    # Written first, so that Spark can split the rows of a frequent anchor when they are joined.
+    again = shared_table(runs.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor"))
     found = shared_table(runs.join(again, "anchor"))
     drop_table(by_row)
     at = F.min(F.struct(*_ROW, "start", "windows")).alias("at")
-    kinds = shared_table(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), at).select("anchor", "run", "n", "at.*"))
+    counted = found.groupBy("anchor", "run").agg(F.sum("times").alias("n"), at)
+    kinds = shared_table(counted.select("anchor", "run", "n", "at.*"))
     branching = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-    places = shared_table(kinds.join(branching.where("kinds > 1 and least = 1").select("anchor"), "anchor"))
+    branching = shared_table(branching.where("kinds > 1 and least = 1").select("anchor"))
+    places = shared_table(kinds.join(branching, "anchor"))
     spelled = shared_table(spelled_windows(places, documents))
     twice = spelled.groupBy("anchor", "window").agg(F.sum("n").alias("total")).where("total > 1")
     bits = F.bit_or(F.expr("shiftleft(1L, offset)")).alias("mask")
     masks = spelled.where("n = 1").join(twice, ["anchor", "window"]).groupBy("anchor", "run").agg(bits)
     in_part = places.where("n = 1").join(masks, ["anchor", "run"])
+    mask = F.shiftleft("start", MASK_BITS).bitwiseOR(F.col("mask"))
     whole = found.join(kinds.where("n > 1").select("anchor", "run"), ["anchor", "run"])
-    whole = whole.withColumn("mask", F.expr("shiftleft(1L, cast(windows as int)) - 1"))
-    span = F.shiftleft("start", MASK_BITS).bitwiseOR(F.col("mask")).alias("span")
-    spans = whole.select(*_ROW, span).unionByName(in_part.select(*_ROW, span))
+    stretch = F.lit(WHOLE).bitwiseOR(F.shiftleft("start", 31)).bitwiseOR(F.col("windows") * F.col("times"))
+    spans = whole.select(*_ROW, stretch.alias("span")).unionByName(in_part.select(*_ROW, mask.alias("span")))
     return spans.groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
 
 
 def repeated_words(spans: list[int] | None, n_words: int) -> np.ndarray:
     """Which words of a text are covered by its repeated windows."""
     entries = np.array(spans or [], np.int64)
-    starts = [
-        (entries >> MASK_BITS)[(entries >> bit) & 1 == 1] + bit for bit in range(MASK_BITS)
-    ]
-    return covered(np.concatenate(starts), WINDOW, n_words)
+    whole = entries & WHOLE != 0
+    stretches, parts = entries[whole] & ~WHOLE, entries[~whole]
+    starts = [(parts >> MASK_BITS)[(parts >> bit) & 1 == 1] + bit for bit in range(MASK_BITS)]
+    alone = np.concatenate(starts)
+    begin = np.concatenate([stretches >> 31, alone])
+    number = np.concatenate([stretches & ((1 << 31) - 1), np.ones(len(alone), np.int64)])
+    steps = np.zeros(n_words + 1, np.int32)
+    np.add.at(steps, begin, 1)
+    np.add.at(steps, begin + number + WINDOW - 1, -1)
+    return np.cumsum(steps[:n_words]) > 0
 
 
 def removed(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every row, with ``_n_words, _n_removed, _kept``: the words left, joined by one space."""
+    """Columns ``keep`` of every row, with counts of words and removed words, and the words left, joined by one space."""
     spans = repeated_spans(documents).select(
-        F.col("doc_id").alias("_at_id"), F.col("row_key").alias("_at_key"), F.col("spans").alias("_spans")
+        F.col("doc_id").alias("_substrings_id"), F.col("row_key").alias("_substrings_key"), F.col("spans").alias("_substrings_spans")
     )
-    here = F.col("doc_id").eqNullSafe(F.col("_at_id")) & (row_key() == F.col("_at_key"))
-    joined = documents.join(spans, here, "left").select(*keep, text_bytes().alias("_text"), "_spans")
+    here = F.col("doc_id").eqNullSafe(F.col("_substrings_id")) & (row_key() == F.col("_substrings_key"))
+    joined = documents.join(spans, here, "left").select(*keep, text_bytes().alias("_substrings_text"), "_substrings_spans")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
 
     def rows(batch: dict[str, list]):
         sizes, gone, left = [], [], []
-        for text, spans in zip(batch["_text"], batch["_spans"], strict=True):
+        for text, spans in zip(batch["_substrings_text"], batch["_substrings_spans"], strict=True):
             words = (text or b"").split()
             repeated = repeated_words(spans, len(words))
             sizes.append(len(words))
             gone.append(int(repeated.sum()))
             left.append(b" ".join([word for word, drop in zip(words, repeated.tolist(), strict=True) if not drop]))
-        yield {name: batch[name] for name in keep} | {"_n_words": sizes, "_n_removed": gone, "_kept": left}
+        yield {name: batch[name] for name in keep} | {"_substrings_words": sizes, "_substrings_removed": gone, "_substrings_kept": left}
 
-    return map_rows(joined, rows, f"{kept}, _n_words bigint, _n_removed bigint, _kept binary")
+    return map_rows(joined, rows, f"{kept}, _substrings_words bigint, _substrings_removed bigint, _substrings_kept binary")
 
 
 def dedup_substrings(documents: DataFrame) -> DataFrame:
@@ -179,9 +197,9 @@ def dedup_substrings(documents: DataFrame) -> DataFrame:
     found = removed(documents, ["doc_id"])
     return found.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        F.col("_n_removed").alias("n_removed"),
-        F.col("_kept").cast("string").alias("text"),
+        F.col("_substrings_words").alias("n_words"),
+        F.col("_substrings_removed").alias("n_removed"),
+        F.col("_substrings_kept").cast("string").alias("text"),
     )
 
 
@@ -191,9 +209,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     ``n_chars``, if there is such a column, is the length of the new text.
     """
     found = removed(documents, documents.columns)
-    text = F.when(F.col("_n_removed") > 0, F.col("_kept").cast("string")).otherwise(F.col("text"))
+    text = F.when(F.col("_substrings_removed") > 0, F.col("_substrings_kept").cast("string")).otherwise(F.col("text"))
     result = found.withColumn("text", text)
     if "n_chars" in documents.columns:
-        length = F.when(F.col("_n_removed") > 0, F.length("text").cast(documents.schema["n_chars"].dataType))
+        length = F.when(F.col("_substrings_removed") > 0, F.length("text").cast(documents.schema["n_chars"].dataType))
         result = result.withColumn("n_chars", F.coalesce(length, "n_chars"))
     return result.select(*documents.columns)
