@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import shared_table
+from ledgerloom.session import drop_table, shared_table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each neighbour above a node is tied to the node's least neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    tied = both.join(least, "a").where(F.col("b") > F.col("a"))
+    # Written first, so that Spark can split the edges of a node that has many.
+    tied = both.join(shared_table(least), "a").where(F.col("b") > F.col("a"))
     return tied.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
 
 
@@ -37,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     current = shared_table(nodes)
     seen = None
     while True:
-        current = shared_table(_small_star(_large_star(current)))
+        before, current = current, shared_table(_small_star(_large_star(current)))
+        drop_table(before)
         found = current.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")
         ).first()

@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
@@ -45,10 +45,15 @@ SLOTS = 1 << 20
 STANDS_OUT = 4
 #: Meetings expected of a prefix for which it is lengthened by one; doubled for each further one.
 COSTLY = 64
-#: Members that meet a copy of their head's text.
-BLOCK = 500
-#: Pairs of three numbers that may be broadcast to the texts.
-BROADCAST_ROWS = 1_000_000
+#: Early matches asked of a pair: so many, and one more for each ``EARLY_SHARE`` shingles, or all that are sure if fewer.
+EARLY_MATCHES = 4
+EARLY_SHARE = 20
+#: Allowed for the rounding of distances.
+ROUNDING = 1e-9
+#: Documents of a cluster that are verified together, about, with as many others.
+BLOCK = 256
+#: Rows of four numbers that may be broadcast to the texts.
+BROADCAST_ROWS = 500_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -108,8 +113,7 @@ def prefix(sorted_set: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]
 
 
 def signatures(documents: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, set_id, matches, prefix`` of every document; ``set_id`` is 128 bits of the whole set.
-    """
+    """``doc_id, n, set_id, matches, prefix`` of every document; ``set_id`` is 128 bits of the whole set."""
     shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def rows(batch: dict[str, list]):
@@ -139,101 +143,126 @@ def postings(classes: DataFrame) -> DataFrame:
     """``shingle, id, n, matches, place`` for the prefix of each class, where the shingle is in several.
 
     Counts are summed before they are shuffled, and rows of a frequent shingle
-    are joined to one row of it, so no task must take all of them.
+    are joined to one row of it, so no task must take all of them. As everywhere
+    here, sums are written before they are joined, so that Spark can split the
+    rows of a frequent key.
     """
     exploded = classes.select("id", "n", "matches", F.posexplode("prefix").alias("place", "shingle"))
     several = exploded.groupBy("shingle").agg(F.count("*").alias("met")).where("met > 1")
-    return exploded.join(several.select("shingle"), "shingle")
+    return exploded.join(shared_table(several.select("shingle")), "shingle")
 
 
 def hub_pairs(found: DataFrame) -> DataFrame:
-    """For each class the hub that most of its prefix agrees on, as ``head, member``.
+    """For each class the hub that most of its prefix agrees on, as ``cluster, a, b``.
 
     The hub of a shingle is the class in which it comes first, which is one with
     few shingles of its own.
     """
     first = found.groupBy("shingle").agg(F.min(F.struct("place", "id", "n")).alias("first"))
     hubs = first.select("shingle", F.col("first.id").alias("hub"), F.col("first.n").alias("hub_n"))
-    met = found.join(hubs, "shingle").where("id <> hub and " + linkable("n", "hub_n"))
+    met = found.join(shared_table(hubs), "shingle").where("id <> hub and " + linkable("n", "hub_n"))
     votes = met.groupBy("id", "hub").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("head"))
-    return best.select("head", F.col("id").alias("member"))
+    best = votes.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub"))
+    return best.select(F.col("hub").alias("cluster"), F.col("hub").alias("a"), F.col("id").alias("b"))
 
 
-def open_pairs(found: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs ``head, member`` of classes in different groups that pass all filters.
+def open_pairs(found: DataFrame, groups: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs ``cluster, a, b`` of classes in different groups that pass all filters.
 
     For each shingle, classes outside the group that most of its classes are in
-    meet all classes of other groups; classes within a group never meet.
+    meet all classes of other groups; classes within a group never meet. The
+    cluster of a pair is a group in its neighbourhood, most often the same for
+    all that resemble it. ``hubs`` is what ``verified`` found for each class and its
+    hub: two classes whose distances from the same hub differ by more than a link
+    allows are not linked, as the Jaccard distance obeys the triangle inequality.
     """
     labels = groups.select("id", F.col("component").alias("group_id"))
-    labelled = found.join(labels, "id", "left").withColumn("group_id", F.coalesce("group_id", "id"))
+    known = hubs.select(F.col("b").alias("id"), F.col("a").alias("hub"), "far")
+    labelled = found.join(labels, "id", "left").join(known, "id", "left")
+    labelled = labelled.withColumn("group_id", F.coalesce("group_id", "id"))
     sums = labelled.groupBy("shingle", "group_id").agg(F.count("*").alias("n_own"))
     several = sums.groupBy("shingle").agg(
         F.count("*").alias("n_groups"), F.max_by("group_id", F.struct("n_own", "group_id")).alias("main")
     )
-    open_ = labelled.join(several.where("n_groups > 1").select("shingle", "main"), "shingle")
-    names = ("id", "n", "matches", "place", "group_id", "main")
+    open_ = labelled.join(shared_table(several.where("n_groups > 1").select("shingle", "main")), "shingle")
+    names = ("id", "n", "matches", "place", "group_id", "main", "hub", "far")
     x = open_.where("group_id <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in names])
     y = open_.select("shingle", *[F.col(c).alias(f"y_{c}") for c in names])
-    asked = F.least("x_matches", "y_matches")
+    both = F.col("x_n") + F.col("y_n")
+    # Linked sets share so many; what a prefix leaves out of its set is the most that they share beyond it.
+    overlap = F.ceil(NUMERATOR * both / (NUMERATOR + DENOMINATOR))
+    beyond = F.greatest(*[F.ceil(NUMERATOR * F.col(f"{s}_n") / DENOMINATOR) - F.col(f"{s}_matches") for s in "xy"])
+    asked = F.greatest(F.least("x_matches", "y_matches"), overlap - beyond)
+    # Fewer are asked for where many would let late matches count, which large groups have many of.
+    asked = F.least(asked, EARLY_MATCHES + F.floor(F.least("x_n", "y_n") / EARLY_SHARE))
     # The k-th match leaves at most this many shingles and the k - 1 before it.
     still = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) + asked - 1
-    enough = (NUMERATOR + DENOMINATOR) * still >= NUMERATOR * (F.col("x_n") + F.col("y_n"))
     once = (F.col("y_group_id") == F.col("y_main")) | (F.col("x_id") < F.col("y_id"))
+    close = F.abs(F.col("x_far") - F.col("y_far")) <= 1 - NUMERATOR / DENOMINATOR + ROUNDING
+    close = F.coalesce((F.col("x_hub") != F.col("y_hub")) | close, F.lit(True))
+    new = ~F.col("x_hub").eqNullSafe(F.col("y_id")) & ~F.col("y_hub").eqNullSafe(F.col("x_id"))
     met = x.join(y, "shingle").where(
-        (F.col("x_group_id") != F.col("y_group_id")) & once & F.expr(linkable("x_n", "y_n")) & enough
-    )
+        (F.col("x_group_id") != F.col("y_group_id"))
+        & once & close & new & F.expr(linkable("x_n", "y_n")) & (still >= overlap)
+    )
     pairs = met.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
-        F.count("*").alias("shared"), F.min(asked).alias("asked")
+        F.count("*").alias("shared"), F.min(asked).alias("asked"), F.min("x_main").alias("cluster")
     )
-    return pairs.where("shared >= asked").select(F.col("a").alias("head"), F.col("b").alias("member"))
-
-
-def sized_join(texts: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
-    """``texts`` joined by ``id``; the pairs are broadcast if they are counted to be few."""
-    return texts.join(F.broadcast(pairs) if count <= BROADCAST_ROWS else pairs, "id")
+    return pairs.where("shared >= asked").select("cluster", "a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs`` whose sets reach the threshold, from whole texts (``id``, ``text``), as ``a, b``.
+    """``a, b, linked, far`` of each pair, from whole texts (``id``, ``text``).
 
-    Members come to their head in blocks of about ``BLOCK`` rows, each with the
-    head's text, so that a head of many members is spread over tasks.
+    ``linked`` says that the sets reach the threshold, and ``far`` is their Jaccard
+    distance, NULL where an id has several texts.
+
+    ``pairs`` has ``cluster, a, b``. A cluster is dealt into blocks of about
+    ``BLOCK`` documents, and the pairs of two blocks are verified together, so a
+    text is shuffled once for each block it meets and not for each pair.
     """
-    blocks = pairs.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
-    dealt = shared_table(pairs.join(blocks, "head").select("head", "member", block.alias("block")))
-    count = dealt.count()
-    members = sized_join(texts, dealt.withColumnRenamed("member", "id"), count).withColumn("role", F.lit(1))
-    heads = dealt.select(F.col("head").alias("id"), "block").distinct().withColumn("head", F.col("id"))
-    both = sized_join(texts, heads, count).withColumn("role", F.lit(0)).unionByName(members)
-    near = (
-        both.select("head", "block", "role", "id", text_bytes().alias("text"))
-        .repartition("head", "block")
-        .sortWithinPartitions("head", "block", "role", "id")
+    ends = F.explode(F.array("a", "b")).alias("id")
+    sizes = shared_table(pairs.select("cluster", ends).distinct().groupBy("cluster").agg(F.count("*").alias("n")))
+
+    def block(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.ceil(F.col("n") / BLOCK)).cast("int")
+
+    cell = ["cluster", "low", "high"]
+    low, high = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
+    dealt = shared_table(
+        pairs.join(sizes, "cluster").select("cluster", low.alias("low"), high.alias("high"), "a", "b")
     )
+    members = dealt.select(*cell, ends).distinct()
+    if dealt.count() <= BROADCAST_ROWS:
+        members = F.broadcast(members)
+    whole = texts.join(members, "id").select(*cell, "id", F.lit(None).cast("long").alias("other"), text_bytes().alias("text"))
+    asked = dealt.select(*cell, F.col("a").alias("id"), F.col("b").alias("other"), F.lit(None).cast("binary").alias("text"))
+    # Texts have no other document, and so come before the pairs of their cell.
+    near = whole.unionByName(asked).repartition(*cell).sortWithinPartitions(*cell, F.col("other").asc_nulls_first())
     held: dict = {}
 
     def rows(batch: dict[str, list]):
         found = []
-        for head, block, role, doc, text in zip(*batch.values(), strict=True):
-            if held.get("key") != (head, block):
-                held.update(key=(head, block), sets=[])
-            own = shingles(text)
-            if not role:
-                held["sets"].append(own)
-            elif any(similar(own, other) for other in held["sets"]):
-                found.append((head, doc))
-        yield {"a": [a for a, _ in found], "b": [b for _, b in found]}
+        for cluster, low, high, doc, other, text in zip(*batch.values(), strict=True):
+            if held.get("cell") != (cluster, low, high):
+                held.update(cell=(cluster, low, high), sets={})
+            sets = held["sets"]
+            if other is None:
+                sets.setdefault(doc, []).append(shingles(text))
+            else:
+                met = [overlap(x, y) for x in sets[doc] for y in sets[other]]
+                linked = any(DENOMINATOR * both >= NUMERATOR * either for both, either in met)
+                found.append((doc, other, linked, 1 - met[0][0] / met[0][1] if len(met) == 1 else None))
+        names = ("a", "b", "linked", "far")
+        yield {name: [row[place] for row in found] for place, name in enumerate(names)}
 
-    return map_rows(near, rows, "a bigint, b bigint")
+    return map_rows(near, rows, "a bigint, b bigint, linked boolean, far double")
 
 
-def similar(first: np.ndarray, second: np.ndarray) -> bool:
-    """Whether two sorted sets reach the threshold."""
-    overlap = len(np.intersect1d(first, second, assume_unique=True))
-    return DENOMINATOR * overlap >= NUMERATOR * (len(first) + len(second) - overlap)
+def overlap(first: np.ndarray, second: np.ndarray) -> tuple[int, int]:
+    """Sizes of the intersection and of the union of two sorted sets."""
+    both = len(np.intersect1d(first, second, assume_unique=True))
+    return both, len(first) + len(second) - both
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -262,10 +291,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     drop_table(full)
     texts = documents.select(F.col("doc_id").alias("id"), "text")
     found = shared_table(postings(classes))
-    linked = shared_table(verified(hub_pairs(found), texts))
+    hubs = shared_table(verified(hub_pairs(found), texts))
+    linked = hubs.where("linked").select("a", "b")
     groups = components(linked)
-    more = verified(open_pairs(found, groups), texts)
-    final = components(shared_table(linked.unionByName(more)))
+    more = verified(open_pairs(found, groups, hubs), texts).where("linked").select("a", "b")
+    final = components(linked.unionByName(more))
+    for table in (classes, found, hubs):
+        drop_table(table)
     component = F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
     return (
         signed.join(classes_of, "set_id", "left")
