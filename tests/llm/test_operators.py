@@ -288,7 +288,7 @@ def test_rounds_use_as_many_sequences_as_best_fit_decreasing():
         lengths = [draw.randrange(1, 41) for _ in range(draw.randrange(1, 120))]
         places = packing.best_fit_rounds(Counter(lengths), 40)
         used = Counter()
-        for length, count in Counter(lengths).items():
+        for length, count in sorted(Counter(lengths).items(), reverse=True):
             own = sorted(place for place in places if place[0] == length)
             for (_, rank, first, offset), stop in zip(own, [p[1] for p in own[1:]] + [count], strict=True):
                 for sequence in range(first, first + stop - rank):
