@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +50,27 @@ _BLOCKS = frozenset(
     " figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option"
     " p pre section summary table tbody tfoot thead tr ul".split()
 )
+_CELLS = frozenset(["td", "th", "tr"])
+_TABLE = _CELLS | {"table", "caption", "thead", "tbody", "tfoot"}
 #: Elements that are white space within a block.
 _SPACES = frozenset(["br", "td", "th", "wbr", "img", "input", "embed"])
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that another block ends, whether they are closed or not.
-_OPEN_ENDED = frozenset(["p", "li", "dt", "dd", "option"])
+#: Elements that the start of others ends, and the elements that they are looked for within.
+_GROUPS = (frozenset(["thead", "tbody", "tfoot"]), frozenset(["table"]))
+_LISTS = frozenset(["ul", "ol", "menu", "table"])
+_ENDED_BY = {
+    "li": (frozenset(["li"]), _LISTS),
+    "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "option": (frozenset(["option"]), frozenset(["datalist"])),
+    "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
+    "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
+    "tr": (frozenset(["tr"]), frozenset(["table"])),
+    "tbody": _GROUPS,
+    "tfoot": _GROUPS,
+    "body": (frozenset(["head"]), frozenset()),
+}
+_PARAGRAPH = (frozenset(["p"]), frozenset(["button", "caption", "td", "th", "table"]))
 _CHROME = frozenset(["head", "nav", "footer", "aside", "form", "dialog", "menu", "button", "fieldset", "label"])
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split()
@@ -68,8 +85,18 @@ _MARKS = frozenset(
     " signup signin login register search"
     " comment comments commentlist commentary disqus respond replies reply discussion hidden".split()
 )
+#: Parts of a name that make it tell how an element looks, and not what it is, as in has-sidebar.
+_LOOKS = frozenset(["has", "no", "with", "without", "layout", "overflow"])
+#: Marks that count only as a whole name: hidden-xs and overflow-hidden hide no text.
+_WHOLE = frozenset(["hidden"])
+_HIDDEN = frozenset(["is-hidden", "visually-hidden"])
+#: Elements whose ids are marks within an article; ids of others are there for links to headings and passages.
+_CONTAINERS = frozenset(["div", "ul", "ol", "dl", "table"])
+_HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _HEADER = frozenset(["header"])
 _COMMENT = frozenset(["comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion"])
+#: Names of what holds articles other than that of the page, if one came before.
+_OTHERS = _COMMENT | {"related", "recommended", "recommendations", "trending"}
 _ROOTS = frozenset(["html", "body"])
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -77,20 +104,39 @@ _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE
 PLAIN, CHROME, MAIN, ARTICLE = range(4)
 
 
-def _left_out(tag: str, rest: str, inside: bool) -> bool:
-    """Whether an element is not the article; ``inside`` says that it is within one."""
+def _words(names: list[str]) -> set[str]:
+    """Words in names of a class or id that may be marks."""
+    words: set[str] = set()
+    for name in names:
+        parts = {part.lower() for part in _NAME.findall(name)}
+        if not parts & _LOOKS:
+            words |= parts - _WHOLE
+        if name.lower() in _WHOLE | _HIDDEN:
+            words.add("hidden")
+    return words
+
+
+def _left_out(tag: str, rest: str, inside: bool, holds: bool = False, later: bool = False) -> bool:
+    """Whether an element is not the article; ``inside`` says that it is within one.
+
+    One that ``holds`` an article or main element is not left out for its class
+    or id, unless that names other articles, and one came before (``later``).
+    """
     if tag in _ROOTS:
         return False
-    if tag in _CHROME or tag == "header" and not inside:
+    if tag in _CHROME and not (holds and tag == "form") or tag == "header" and not inside:
         return True
     if not rest or rest.isspace():
         return False
-    words: set[str] = set()
+    classes: list[str] = []
+    ids: list[str] = []
     for found in _ATTRIBUTE.finditer(rest):
         name = found[1].lower()
         value = found[2] or found[3] or found[4] or ""
-        if name in ("class", "id"):
-            words.update(word.lower() for word in _NAME.findall(value))
+        if name == "class":
+            classes += value.split()
+        elif name == "id":
+            ids += value.split()
         elif name == "role" and value.lower() in _ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -98,16 +144,37 @@ def _left_out(tag: str, rest: str, inside: bool) -> bool:
         elif name == "style" and _HIDES.search(value):
             return True
     if tag in ("article", "main"):
-        return bool(words & _COMMENT)
+        # The id of an article is most often made from its title.
+        return bool(_words(classes) & _COMMENT) or any(name.lower() in _COMMENT for name in ids)
+    if holds:
+        return later and any(name.lower() in _OTHERS for name in classes + ids)
+    if tag in _HEADINGS or inside and (tag not in _CONTAINERS or "section" in classes):
+        ids = []
+    words = _words(classes + ids)
     return bool(words & _MARKS or not inside and words & _HEADER)
 
 
 def page_lines(page: str) -> list[tuple[str, int]]:
     """Blocks of text in page order, each with where it stands."""
+    tokens = list(_TOKEN.finditer(page))
+    holding: set[int] = set()
+    while True:
+        lines, wrong = _lines(tokens, holding)
+        if not wrong:
+            return lines
+        holding |= wrong
+
+
+def _lines(tokens: list[re.Match], holding: set[int]) -> tuple[list[tuple[str, int]], set[int]]:
+    """Lines, and elements that were left out by a mark and hold an article or main, which ``holding`` does not tell."""
     lines: list[tuple[str, int]] = []
     pieces: list[str] = []
+    stack: list[tuple[str, bool, int]] = []  # open elements: tag, whether left out, place of the token
+    opened: Counter[str] = Counter()
     within = {"article": 0, "main": 0}
-    out: list[tuple[str, int]] = []  # left-out elements that are open, with the depth of their tag
+    out: list[int] = []  # places of those that are left out
+    met = False  # an article or main
+    wrong: set[int] = set()
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
@@ -116,7 +183,30 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             where = CHROME if out else ARTICLE if within["article"] else MAIN if within["main"] else PLAIN
             lines.append((text, where))
 
-    for token in _TOKEN.finditer(page):
+    def close(depth: int) -> None:
+        if any(left or tag in _BLOCKS for tag, left, _ in stack[depth:]):
+            flush()
+        while len(stack) > depth:
+            tag, left, _ = stack.pop()
+            opened[tag] -= 1
+            if left:
+                out.pop()
+            elif tag in within:
+                within[tag] -= 1
+
+    def ended(names: frozenset[str], barriers: frozenset[str]) -> None:
+        """Ends the innermost open element of ``names`` that is not outside a barrier."""
+        if not any(opened[name] for name in names):
+            return
+        for depth in range(len(stack) - 1, -1, -1):
+            tag, left, _ = stack[depth]
+            if tag in names:
+                close(depth)
+                return
+            if tag in barriers or tag in within and not left:
+                return
+
+    for place, token in enumerate(tokens):
         text = token["text"]
         if text is not None:
             pieces.append(html.unescape(text))
@@ -125,36 +215,55 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
-        ends = bool(token["end"])
         if tag in _SPACES:
             pieces.append(" ")
         block = tag in _BLOCKS
         if block:
             flush()
-        if out:
-            top, depth = out[-1]
-            if top in _OPEN_ENDED and block and not (ends and tag != top):
-                out.pop()
-                if ends:
-                    continue
-            elif tag == top:
-                depth += -1 if ends else 1
-                if depth:
-                    out[-1] = (top, depth)
-                else:
-                    flush()
-                    out.pop()
+        if token["end"]:
+            if not opened[tag]:
                 continue
-        if tag in within and not out:
-            if not ends and _left_out(tag, token["rest"], True):
-                out.append((tag, 1))
-            else:
-                within[tag] = max(0, within[tag] + (-1 if ends else 1))
-        elif not ends and tag not in _VOID and _left_out(tag, token["rest"], bool(within["article"] or within["main"])):
+            for depth in range(len(stack) - 1, -1, -1):
+                above, left, _ = stack[depth]
+                if above == tag:
+                    close(depth)
+                    break
+                # An article is ended by nothing else, nor what is around a table by what is in a cell.
+                if tag not in within and tag not in _ROOTS and (
+                    above in within and not left
+                    or tag in _CELLS and above == "table"
+                    or above in ("td", "th", "caption") and tag not in _TABLE
+                    or not block and tag not in _CELLS and above in _BLOCKS
+                ):
+                    break
+            continue
+        if tag in _ENDED_BY:
+            ended(*_ENDED_BY[tag])
+        if block:
+            ended(*_PARAGRAPH)
+        if tag in _VOID:
+            continue
+        rest = token["rest"]
+        inside = bool(within["article"] or within["main"])
+        if tag in within:
+            left = _left_out(tag, rest, True)
+            if not left and out:
+                # What holds this one is judged anew. If it stays left out, so does this one.
+                wrong.update(at for at in out if at not in holding)
+                left = True
+            elif not left:
+                met = True
+        else:
+            left = _left_out(tag, rest, inside, place in holding, met)
+        if left:
             flush()
-            out.append((tag, 1))
+            out.append(place)
+        elif tag in within:
+            within[tag] += 1
+        stack.append((tag, left, place))
+        opened[tag] += 1
     flush()
-    return lines
+    return lines, wrong
 
 
 def common_lines(first: list[int], second: list[int]) -> list[int]:

@@ -511,6 +511,40 @@ def test_marks_decide_what_the_article_is():
     assert pages.main_text(pages.page_lines(PAGE), []) == "T & x\nOne two three\na\nb\n1 2\nEnd ok é&unknown;"
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<div class="has-sidebar"><article><p>Text</article></div>',
+        '<div id="page" class="layout-sidebar"><main><p>Text</main></div>',
+        '<div class="hidden-xs content"><article><p>Text</article></div>',
+        '<div class="search"><div class="widget"><div class="ad">buy</div><article><p>Text</article></div></div>',
+        '<form id="aspnetForm"><main><p>Text</main></form>',
+        '<aside><article>teaser</aside><article><p>Text</article>',
+        '<div><span class="ad">buy</div><article><p>Text</article>',
+        '<article><div class="overflow-hidden hidden-print"><p>Text</div></article>',
+        '<article><p>Text</article><div class="related"><article>other</article></div>',
+        '<article><p>Text</p><div><div class="comments"><article>so</article></div></div></article>',
+        '<article><p>Text</p><ul><li class="ad"><p>buy</p><p>now</p></ul></article>',
+    ],
+)
+def test_what_holds_the_article_is_not_left_out(html):
+    assert pages.main_text(pages.page_lines(html), []) == "Text"
+
+
+def test_ids_that_links_lead_to_are_no_marks():
+    html = """<article id="how-to-search"><section id="discussion"><h2 id="related-work">a</h2><h2 id="how-to-search">b</h2>
+<p id="follow-up">c</p><h3><span id="Comments">d</span></h3></section><div class="section" id="notices">e</div>
+<section class="comments">f</section><div id="comments">g</div><div class="ad"><p>h<section id="menu">i</section></div>j</article>"""
+    assert pages.main_text(pages.page_lines(html), []) == "a\nb\nc\nd\ne\nj"
+    assert pages.main_text(pages.page_lines('<h1 id="search">a</h1><div id="search">b</div>c'), []) == "a\nc"
+
+
+def test_left_out_elements_end_with_their_parent():
+    html = """<article><div><span class="share">x</div><p>a</p><section><div class="ad">y</section><p>b</p>
+<table><tr><td class="ad">z<td>1<td>2<tr><td>3</div>4</table><section><article class="comment">q</section>c</article>"""
+    assert pages.main_text(pages.page_lines(html), []) == "a\nb\n1 2\n3\n4\nc"
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     draw = random.Random(0)
     for _ in range(500):
