@@ -5,10 +5,13 @@ whose path has the longer prefix in common. The lines of both, one for each bloc
 text, are aligned by their longest common subsequence, and what they share is
 what the host puts on its pages: it is deleted. Pages may also share what they
 are about, as mirrors do, and a page may have navigation of its own. So the
-page's own marks decide first: lines inside an ``article`` or ``main`` element
-are never deleted for being shared, if a page has one then all of its text is
-there, and menus, footers, adverts and the like are left out by their element,
-role, class or id wherever they are.
+page's own marks decide first: if a page has an ``article`` or ``main`` element,
+its text is in these, and menus, footers, adverts and the like are left out by
+their element, role, class or id wherever they are. Where a page has both, the
+difference tells what belongs to the text: lines of ``main`` that are shared are
+not, and articles that are shared as a whole are teasers if ``main`` has more text
+of its own. If most of the article is shared otherwise, the nearest page is a
+mirror, which tells nothing.
 
 Pairing shuffles hashes of lines; the pages themselves are read twice instead.
 """
@@ -101,7 +104,7 @@ _ROOTS = frozenset(["html", "body"])
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 #: Where a line stands.
-PLAIN, CHROME, MAIN, ARTICLE = range(4)
+PLAIN, CHROME, MAIN, ARTICLE, TAIL = range(5)  # TAIL: in main, after an article in it
 
 
 def _words(names: list[str]) -> set[str]:
@@ -174,16 +177,19 @@ def _lines(tokens: list[re.Match], holding: set[int]) -> tuple[list[tuple[str, i
     within = {"article": 0, "main": 0}
     out: list[int] = []  # places of those that are left out
     met = False  # an article or main
+    after = False  # whether the open main has had an article
     wrong: set[int] = set()
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            where = CHROME if out else ARTICLE if within["article"] else MAIN if within["main"] else PLAIN
+            main = TAIL if after else MAIN
+            where = CHROME if out else ARTICLE if within["article"] else main if within["main"] else PLAIN
             lines.append((text, where))
 
     def close(depth: int) -> None:
+        nonlocal after
         if any(left or tag in _BLOCKS for tag, left, _ in stack[depth:]):
             flush()
         while len(stack) > depth:
@@ -193,6 +199,7 @@ def _lines(tokens: list[re.Match], holding: set[int]) -> tuple[list[tuple[str, i
                 out.pop()
             elif tag in within:
                 within[tag] -= 1
+                after = after and within["main"] > 0
 
     def ended(names: frozenset[str], barriers: frozenset[str]) -> None:
         """Ends the innermost open element of ``names`` that is not outside a barrier."""
@@ -260,6 +267,7 @@ def _lines(tokens: list[re.Match], holding: set[int]) -> tuple[list[tuple[str, i
             out.append(place)
         elif tag in within:
             within[tag] += 1
+            after = after or tag == "article" and within["main"] > 0
         stack.append((tag, left, place))
         opened[tag] += 1
     flush()
@@ -293,14 +301,37 @@ def common_lines(first: list[int], second: list[int]) -> list[int]:
     return shared[::-1]
 
 
-def main_text(lines: list[tuple[str, int]], shared: list[int]) -> str:
-    """The lines of the article: not left out, and not ``shared`` unless the page marks them as its article."""
-    for where in (ARTICLE, MAIN):
-        own = [text for text, place in lines if place == where]
-        if own:
-            return "\n".join(own)
+def main_text(lines: list[tuple[str, int]], shared: list[int], compared: bool = False) -> str:
+    """The lines of the article: not left out, and not ``shared`` unless the page marks them as its article.
+
+    ``compared`` says that there is a nearest page. Of a page with articles, lines
+    of main are kept too, unless the nearest page, if it is no mirror, has them.
+    Where it tells nothing, lines of main after its last article are
+    kept only if they are more text than all articles.
+    """
     gone = set(shared)
-    return "\n".join(text for at, (text, place) in enumerate(lines) if place == PLAIN and at not in gone)
+
+    def chars(places: list[int]) -> int:
+        return sum(len(lines[at][0]) for at in places)
+
+    articles = [at for at, (_, place) in enumerate(lines) if place == ARTICLE]
+    main = [at for at, (_, place) in enumerate(lines) if place in (MAIN, TAIL)]
+    kept = articles + main
+    if articles and main:
+        both = [at for at in articles if at in gone]
+        own = [at for at in main if at not in gone]
+        if compared and len(both) == len(articles) and chars(own) > chars(articles):
+            kept = own
+        elif compared and 2 * chars(both) < chars(articles):
+            kept = articles + own
+        else:
+            tail = [at for at in main if lines[at][1] == TAIL and at > articles[-1]]
+            if chars(tail) <= chars(articles):
+                after = set(tail)
+                kept = [at for at in kept if at not in after]
+    elif not kept:
+        kept = [at for at, (_, place) in enumerate(lines) if place == PLAIN and at not in gone]
+    return "\n".join(lines[at][0] for at in sorted(kept))
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -381,7 +412,7 @@ def _in_common(first: str, second: str) -> int:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """``page_id, row_key, shared``: places of the lines that a page shares with its nearest neighbour, if any."""
+    """``page_id, row_key, shared``: places of the lines that a page shares with its nearest neighbour, if it has one."""
 
     def rows(batch: dict[str, list]):
         found = {"page_id": [], "row_key": [], "shared": []}
@@ -390,11 +421,9 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             if not beside or not lines:
                 continue
             nearest = max(beside, key=lambda page: _in_common(path, page["path"]))
-            shared = common_lines(lines, nearest["lines"])
-            if shared:
-                found["page_id"].append(batch["page_id"][at])
-                found["row_key"].append(batch["row_key"][at])
-                found["shared"].append(shared)
+            found["page_id"].append(batch["page_id"][at])
+            found["row_key"].append(batch["row_key"][at])
+            found["shared"].append(common_lines(lines, nearest["lines"]))
         yield found
 
     near = with_neighbours(line_hashes(pages))
@@ -423,7 +452,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def rows(batch: dict[str, list]):
         texts = [
-            main_text(page_lines(page or ""), shared or [])
+            main_text(page_lines(page or ""), shared or [], shared is not None)
             for page, shared in zip(batch["html"], batch["shared"], strict=True)
         ]
         yield {

@@ -545,6 +545,33 @@ def test_left_out_elements_end_with_their_parent():
     assert pages.main_text(pages.page_lines(html), []) == "a\nb\n1 2\n3\n4\nc"
 
 
+def test_main_around_an_article_is_kept():
+    def text(page, shared=(), compared=False):
+        return pages.main_text(pages.page_lines(page), list(shared), compared)
+
+    page = "<p>Site<main><h1>Title</h1><p>lead</p><article><p>long text</p></article><p>tail</p></main><p>foot"
+    assert text(page) == "Title\nlead\nlong text"
+    assert text(page, [0, 5], True) == "Title\nlead\nlong text\ntail"
+    assert text(page, [0, 2, 4, 5], True) == "Title\nlong text"
+    assert text(page, range(6), True) == "Title\nlead\nlong text"  # a mirror
+    cards = "<main><article>card a</article><p>The first part of it</p><article>card b</article><p>The second part</main>"
+    assert text(cards, [0, 2], True) == "The first part of it\nThe second part"
+    assert text(cards) == text(cards, range(4), True) == "card a\nThe first part of it\ncard b\nThe second part"
+    assert text("<main><p>Text</main><article>card</article>") == "Text\ncard"
+
+
+def test_difference_tells_main_and_teasers_apart(spark):
+    def page(n):
+        cards = "<article><p>Card one</article><article><p>Card two</article>"
+        return f"<main><p>Newest</p><h1>Title {n}</h1><p>The story {n} is long enough</p>{cards}</main>"
+
+    rows = [(n, f"http://a.example/{n}", page(n)) for n in range(3)] + [(9, "http://b.example/", page(9))]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {row["page_id"]: row for row in pages.extract(frame).collect()}
+    assert [found[n]["text"] for n in range(3)] == [f"Title {n}\nThe story {n} is long enough" for n in range(3)]
+    assert found[9]["text"] == "Newest\nTitle 9\nThe story 9 is long enough\nCard one\nCard two"
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     draw = random.Random(0)
     for _ in range(500):
