@@ -18,6 +18,7 @@ pairs of classes that are not yet in one group are verified, all of them.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import xxhash
@@ -112,8 +113,8 @@ def prefix(sorted_set: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]
     return sorted_set[ordered[: short + matches - 1]], matches
 
 
-def signatures(documents: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, set_id, matches, prefix`` of every document; ``set_id`` is 128 bits of the whole set."""
+def signatures(documents: DataFrame, counts: np.ndarray, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``keep`` and ``n, set_id, matches, prefix`` of every document; ``set_id`` is 128 bits of the whole set."""
     shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def rows(batch: dict[str, list]):
@@ -121,16 +122,16 @@ def signatures(documents: DataFrame, counts: np.ndarray) -> DataFrame:
         prefixes = [prefix(own, shared.value) if len(own) else (own, 0) for own in sets]
         lengths = [len(own) for own, _ in prefixes]
         flat = np.concatenate([own for own, _ in prefixes]) if prefixes else np.empty(0, np.uint64)
-        yield {
-            "doc_id": batch["doc_id"],
+        yield {name: batch[name] for name in ("doc_id", *keep)} | {
             "n": [len(own) for own in sets],
             "set_id": [xxhash.xxh3_128_digest(own.tobytes()) for own in sets],
             "matches": [matches for _, matches in prefixes],
             "prefix": list_array(flat, lengths),
         }
 
-    frame = documents.select("doc_id", text_bytes().alias("text"))
-    return map_rows(frame, rows, "doc_id bigint, n bigint, set_id binary, matches int, prefix array<bigint>")
+    frame = documents.select("doc_id", *keep, text_bytes().alias("text"))
+    kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
+    return map_rows(frame, rows, f"doc_id bigint{kept}, n bigint, set_id binary, matches int, prefix array<bigint>")
 
 
 def linkable(a: str, b: str) -> str:
@@ -211,7 +212,7 @@ def open_pairs(found: DataFrame, groups: DataFrame, hubs: DataFrame) -> DataFram
     return pairs.where("shared >= asked").select("cluster", "a", "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, repeated: bool = False) -> DataFrame:
     """``a, b, linked, far`` of each pair, from whole texts (``id``, ``text``).
 
     ``linked`` says that the sets reach the threshold, and ``far`` is their Jaccard
@@ -219,7 +220,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``pairs`` has ``cluster, a, b``. A cluster is dealt into blocks of about
     ``BLOCK`` documents, and the pairs of two blocks are verified together, so a
-    text is shuffled once for each block it meets and not for each pair.
+    text is shuffled once for each block it meets and not for each pair. With
+    ``repeated``, rows alike in id and text are shuffled once for each task.
     """
     ends = F.explode(F.array("a", "b")).alias("id")
     sizes = shared_table(pairs.select("cluster", ends).distinct().groupBy("cluster").agg(F.count("*").alias("n")))
@@ -236,6 +238,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     if dealt.count() <= BROADCAST_ROWS:
         members = F.broadcast(members)
     whole = texts.join(members, "id").select(*cell, "id", F.lit(None).cast("long").alias("other"), text_bytes().alias("text"))
+    if repeated:
+        whole = once_a_task(whole)
     asked = dealt.select(*cell, F.col("a").alias("id"), F.col("b").alias("other"), F.lit(None).cast("binary").alias("text"))
     # Texts have no other document, and so come before the pairs of their cell.
     near = whole.unionByName(asked).repartition(*cell).sortWithinPartitions(*cell, F.col("other").asc_nulls_first())
@@ -248,7 +252,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 held.update(cell=(cluster, low, high), sets={})
             sets = held["sets"]
             if other is None:
-                sets.setdefault(doc, []).append(shingles(text))
+                own, known = shingles(text), sets.setdefault(doc, [])
+                if not any(np.array_equal(own, other) for other in known):
+                    known.append(own)
             else:
                 met = [overlap(x, y) for x in sets[doc] for y in sets[other]]
                 linked = any(DENOMINATOR * both >= NUMERATOR * either for both, either in met)
@@ -259,6 +265,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(near, rows, "a bigint, b bigint, linked boolean, far double")
 
 
+def once_a_task(rows_: DataFrame) -> DataFrame:
+    """``rows_`` without those that are equal to an earlier one of the same task."""
+    seen: set = set()
+
+    def rows(batch: dict[str, list]):
+        new = []
+        for place, row in enumerate(zip(*batch.values(), strict=True)):
+            key = tuple(xxhash.xxh3_128_digest(own) if isinstance(own, bytes) else own for own in row)
+            if key not in seen:
+                seen.add(key)
+                new.append(place)
+        yield {name: [column[place] for place in new] for name, column in batch.items()}
+
+    return map_rows(rows_, rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows_.schema))
+
+
 def overlap(first: np.ndarray, second: np.ndarray) -> tuple[int, int]:
     """Sizes of the intersection and of the union of two sorted sets."""
     both = len(np.intersect1d(first, second, assume_unique=True))
@@ -276,25 +298,32 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     the same set, and else none. An empty table gives no row; other columns are
     not read.
     """
+    return labelled(documents)
+
+
+def labelled(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """What ``near_duplicates`` gives, with the columns ``keep``."""
     counts = shingle_counts(documents)
-    full = shared_table(signatures(documents, counts))
-    signed = shared_table(full.select("doc_id", "n", "set_id"))
+    full = shared_table(signatures(documents, counts, keep))
+    signed = shared_table(full.select("doc_id", *keep, "n", "set_id"))
     # Copies meet as one sum per task; the row of the least id stands for its class.
     least = signed.where("n > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"))
     classes_of = shared_table(least)
     own = (F.col("doc_id") == F.col("id")) & (F.col("set_id") == F.col("class_set"))
     classes = shared_table(
         full.join(classes_of.withColumnRenamed("set_id", "class_set"), own)
-        .dropDuplicates(["id", "set_id"])
-        .select("id", "n", "matches", "prefix")
+        .groupBy("id", "set_id")
+        .agg(*[F.first(name).alias(name) for name in ("n", "matches", "prefix")], F.count("*").alias("copies"))
+        .select("id", "n", "matches", "prefix", "copies")
     )
+    repeated = not classes.where("copies > 1").isEmpty()
     drop_table(full)
     texts = documents.select(F.col("doc_id").alias("id"), "text")
     found = shared_table(postings(classes))
-    hubs = shared_table(verified(hub_pairs(found), texts))
+    hubs = shared_table(verified(hub_pairs(found), texts, repeated))
     linked = hubs.where("linked").select("a", "b")
     groups = components(linked)
-    more = verified(open_pairs(found, groups, hubs), texts).where("linked").select("a", "b")
+    more = verified(open_pairs(found, groups, hubs), texts, repeated).where("linked").select("a", "b")
     final = components(linked.unionByName(more))
     for table in (classes, found, hubs):
         drop_table(table)
@@ -302,15 +331,40 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return (
         signed.join(classes_of, "set_id", "left")
         .join(final, "id", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        .select("doc_id", *keep, F.col("n").alias("n_shingles"), component.alias("component_id"))
     )
 
 
+def row_key() -> Column:
+    """Tells rows apart by id and text, in 64 bits."""
+    return F.xxhash64("doc_id", "text")
+
+
 def one_of_each(documents: DataFrame) -> DataFrame:
     """Rows of ``documents``, all columns, of which each group of near duplicates keeps the one of least id.
 
-    Ids must be distinct. Rows without an id or without words stay.
+    Rows are linked each by its own text, whatever its id. Of a group the row with the
+    least id stays, null last, of one id that with the least hash of the
+    text, and of rows alike in id and text one. Rows without words stay.
     """
-    found = near_duplicates(documents)
-    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy_id"))
-    return documents.join(others, F.col("doc_id") == F.col("_copy_id"), "left_anti")
+    named = documents.select(row_key().alias("doc_id"), F.col("doc_id").alias("origin"), "text")
+    found = labelled(named, ["origin"]).where("n_shingles > 0")
+    keys = found.groupBy("component_id", "origin", F.col("doc_id").alias("key")).agg(F.count("*").alias("n"))
+    keys = shared_table(keys)
+    order = F.struct(F.col("origin").isNull().alias("none"), "origin", "key")
+    least = keys.groupBy("component_id").agg(F.min(order).alias("least"))
+    least = shared_table(least.select("component_id", F.col("least.origin").alias("stays"), F.col("least.key").alias("as")))
+    stays = F.col("origin").eqNullSafe(F.col("stays")) & (F.col("key") == F.col("as"))
+    # Keys whose rows do not all stay; of those that stay once, and of no others, ``once`` is true.
+    changed = keys.join(least, "component_id").where(~stays | (F.col("n") > 1))
+    changed = shared_table(changed.select(F.col("origin").alias("_copy_id"), F.col("key").alias("_copy_key"), stays.alias("_once")))
+    here = F.col("doc_id").eqNullSafe(F.col("_copy_id")) & (row_key() == F.col("_copy_key"))
+    result = documents.join(changed, here, "left_anti")
+    repeated = changed.where("_once")
+    if repeated.isEmpty():
+        return result
+    # Equal rows meet as one row for each task.
+    columns = [F.col(f"`{name}`") for name in documents.columns]
+    rows = documents.join(repeated, here).groupBy("_copy_id", "_copy_key")
+    first = rows.agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")).select("_row.*")
+    return result.unionByName(first)

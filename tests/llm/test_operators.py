@@ -487,6 +487,22 @@ def test_near_duplicates_of_repeated_and_no_rows(repeated, empty):
     assert kept.columns == repeated.columns
 
 
+def test_one_of_each_decides_by_row(spark):
+    a, b, c, d = (" ".join(passage(seed, 60)) for seed in (31, 32, 33, 34))
+    near = " ".join([*passage(31, 60)[:-1], "end"])
+    rows = [(1, a, 0)] * 3 + [(None, a, 1)] * 2 + [(None, near, 2), (5, a, 3)]  # of all these, one row of 1
+    rows += [(7, near, 4), (7, b, 5), (7, b, 6), (7, c, 7)]  # of one id, a copy and two of their own
+    rows += [(None, d, 8)] * 3 + [(None, " ".join([*passage(34, 60)[:-1], "end"]), 9)]  # one of them
+    rows += [(None, None, 10), (None, None, 10), (3, "", 11), (3, "", 11)]  # without words: all
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(5)
+    kept = sorted(map(tuple, jaccard.one_of_each(frame).collect()), key=str)
+    assert len(kept) == 8
+    assert (1, a, 0) in kept and (7, c, 7) in kept
+    assert [row[:2] for row in kept].count((7, b)) == 1
+    assert sum(row[2] in (8, 9) for row in kept) == 1
+    assert sum(row[2] in (10, 11) for row in kept) == 4
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(3)
     edges = [(n, n + 1) for n in range(40)] + [(100, n) for n in range(101, 160)] + [(7, 7), (None, 3), (205, 200)]
