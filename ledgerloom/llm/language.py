@@ -35,8 +35,12 @@ UNDETERMINED = "und"
 SEGMENT = 4096
 #: Characters that are stepped through side by side.
 BLOCK = 4_000_000
-#: Mean characters of a phrase in the best language below which a text is in none of them.
+#: Mean characters of a phrase in the best language below which a text is in none of them, if that language was
+#: learned from ``SAMPLE_CHARS`` characters. With fewer it is less by their logarithm: a phrase is as long as
+#: what is learned lets it be, and the bound on the cross entropy that follows is the same for all.
 LEAST_PHRASE = 2.0
+#: Whatever was learned, a text with shorter phrases is in none: nearly every character is a phrase by itself.
+SHORTEST_PHRASE = 1.1
 #: Names that clash with no column of the documents.
 _TEXT, _PRED, _SCORE, _LETTERS, _PHRASE = (f"_language_{n}" for n in ("text", "pred", "score", "letters", "phrase"))
 _OTHER = re.compile(r"[\W\d_]+")
@@ -250,8 +254,14 @@ def in_known_language(documents: DataFrame, folds: int = FOLDS, least_phrase: fl
 
     Rejected are texts without a letter, and those that even in the best
     language fall into phrases of under ``least_phrase`` characters on average,
-    as text in another script does.
+    as text in another script does. That is for a language learned from
+    ``SAMPLE_CHARS`` characters, and less for one learned from fewer.
     """
-    found = judged(documents, learn_outside_fold(documents, folds), documents.columns)
-    known = (F.col(_PRED) != UNDETERMINED) & (F.col(_PHRASE) >= least_phrase)
+    model = learn_outside_fold(documents, folds)
+    found = judged(documents, model, documents.columns)
+    least = F.lit(least_phrase)
+    for name, rate in zip(model.languages, model.rates.tolist(), strict=True):
+        own = max(least_phrase * rate / math.log2(SAMPLE_CHARS), min(least_phrase, SHORTEST_PHRASE))
+        least = F.when(F.col(_PRED) == name, own).otherwise(least)
+    known = (F.col(_PRED) != UNDETERMINED) & (F.col(_PHRASE) >= least)
     return found.where(known).select(*documents.columns)

@@ -503,6 +503,17 @@ def test_one_of_each_decides_by_row(spark):
     assert sum(row[2] in (10, 11) for row in kept) == 4
 
 
+def test_few_and_short_labelled_documents_reject_no_clean_text(spark):
+    labelled = [(2, "the old man went to the sea", "en"), (3, "der alte Mann ging an das Meer", "de")]
+    clean = [(20, "a long night in town", None), (21, "ein Haus an dem Bach", None)]
+    frame = spark.createDataFrame([*labelled, *clean, (22, "Привет мир", None)], "doc_id bigint, text string, lang string")
+    model = language.learn(frame.dropna())
+    phrases = by_id(language.judged(frame, model, ["doc_id"]))
+    assert min(phrases[n]["_language_phrase"] for n in (20, 21)) < language.LEAST_PHRASE
+    found = language.in_known_language(frame, folds=1 << 30)
+    assert {row["doc_id"] for row in found.collect()} == {2, 3, 20, 21}
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(3)
     edges = [(n, n + 1) for n in range(40)] + [(100, n) for n in range(101, 160)] + [(7, 7), (None, 3), (205, 200)]
