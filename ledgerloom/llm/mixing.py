@@ -167,6 +167,17 @@ def mix(
     )
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_mix_rank`` among those of one ``_mix_draw``, from 0, without one task for all of them."""
+    same = ["_mix_draw", "_mix_part"]
+    within = Window.partitionBy(*same).orderBy("_mix_draw")
+    before = Window.partitionBy("_mix_draw").orderBy("_mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = rows.groupBy(*same).agg(F.count("*").alias("n"))
+    starts = shares.select(*same, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_mix_first"))
+    ranked = rows.withColumn("_mix_local", F.row_number().over(within) - 1).join(starts, same)
+    return ranked.withColumn("_mix_rank", F.col("_mix_local") + F.col("_mix_first")).drop("_mix_local", "_mix_first")
+
+
 def repeated(
     documents: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -176,19 +187,19 @@ def repeated(
     """Rows of ``documents``, all columns, as often as the mix takes each.
 
     Rows alike in id, source and text share a draw, and what is taken of them
-    is dealt out evenly among them.
+    is dealt out evenly among them. They are ranked within the partitions that
+    they are read in, and the partitions by their counts.
     """
-    taken = mix(documents, weights, most_epochs, seed).where("taken > 0")
-    times = taken.groupBy(F.col("draw").alias("_mix_draw")).agg(
-        F.sum(F.col("taken") / F.col("size")).cast("long").alias("_mix_times")
-    )
-    same = Window.partitionBy("_mix_draw").orderBy("_mix_draw")
-    dealt = (
-        documents.withColumn("_mix_draw", document_draw())
-        .join(times, "_mix_draw")
-        .withColumn("_mix_rank", F.row_number().over(same) - 1)
-        .withColumn("_mix_count", F.count("*").over(Window.partitionBy("_mix_draw")))
+    mixed = mix(documents, weights, most_epochs, seed).where("size > 0")
+    times = mixed.groupBy(F.col("draw").alias("_mix_draw")).agg(
+        F.sum(F.col("taken") / F.col("size")).cast("long").alias("_mix_times"), F.count("*").alias("_mix_count")
     )
+    times = shared_table(times.where("_mix_times > 0"))
+    rows = documents.withColumns({"_mix_draw": document_draw(), "_mix_part": F.spark_partition_id()})
+    joined = rows.join(times, "_mix_draw")
+    dealt = joined.where("_mix_count = 1").withColumn("_mix_rank", F.lit(0).cast("long"))
+    if not times.where("_mix_count > 1").isEmpty():
+        dealt = dealt.unionByName(_ranked(shared_table(joined.where("_mix_count > 1"))))
     each = F.floor(F.col("_mix_times") / F.col("_mix_count"))
     own = each + (F.col("_mix_rank") < F.col("_mix_times") - each * F.col("_mix_count")).cast("long")
     several = dealt.withColumn("_mix_own", own).where("_mix_own > 0")

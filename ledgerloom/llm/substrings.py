@@ -145,7 +145,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     whole = found.join(kinds.where("n > 1").select("anchor", "run"), ["anchor", "run"])
     stretch = F.lit(WHOLE).bitwiseOR(F.shiftleft("start", 31)).bitwiseOR(F.col("windows") * F.col("times"))
     spans = whole.select(*_ROW, stretch.alias("span")).unionByName(in_part.select(*_ROW, mask.alias("span")))
-    return spans.groupBy(*_ROW).agg(F.collect_list("span").alias("spans"))
+    # Rows alike in id and text have the same spans; each task passes them on once.
+    return spans.groupBy(*_ROW).agg(F.collect_set("span").alias("spans"))
 
 
 def repeated_words(spans: list[int] | None, n_words: int) -> np.ndarray:

@@ -514,6 +514,25 @@ def test_few_and_short_labelled_documents_reject_no_clean_text(spark):
     assert {row["doc_id"] for row in found.collect()} == {2, 3, 20, 21}
 
 
+def test_spans_of_equal_rows_are_listed_once(spark):
+    text = " ".join(passage(71, 80))
+    frame = spark.createDataFrame([(None, text)] * 30, "doc_id bigint, text string").repartition(4)
+    (row,) = substrings.repeated_spans(frame).collect()
+    assert len(row["spans"]) == len(set(row["spans"])) > 0
+    assert all(row["n_removed"] == 80 for row in substrings.dedup_substrings(frame).collect())
+
+
+def test_equal_rows_of_the_mix_are_ranked_by_partition(spark):
+    rows = [(None, "one and the same", "s0")] * 40 + [(n, f"text number {n}", "s1") for n in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    result = mixing.repeated(frame)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_mix_part" in line for line in plan.splitlines() if "Window" in line)
+    taken = mixing.mix(frame).groupBy("doc_id").agg(F.sum(F.col("taken") / F.col("size")).alias("n")).where("n > 0")
+    wanted = {row["doc_id"]: int(row["n"]) for row in taken.collect()}
+    assert {row["doc_id"]: row["count"] for row in result.groupBy("doc_id").count().collect()} == wanted
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(3)
     edges = [(n, n + 1) for n in range(40)] + [(100, n) for n in range(101, 160)] + [(7, 7), (None, 3), (205, 200)]
