@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    centroids,
     counting,
+    divergence,
     jaccard,
     language,
     mixing,
@@ -16,6 +18,7 @@ from ledgerloom.llm import (
     pages,
     quality,
     shards,
+    simhash,
     substrings,
     topk,
 )
@@ -72,6 +75,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -84,6 +99,9 @@ def queries() -> dict[str, Query]:
         "op8_edited_counts": op8_edited_counts,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_main_text": op10_main_text,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_centroids": op12_centroids,
+        "op13_simhash": op13_simhash,
     }
 
 
@@ -133,7 +151,79 @@ _NEAR = f"""
     FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+_DIVERGENCE = r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+         g AS (SELECT DISTINCT lang, source FROM d),
+         o AS (SELECT doc_id, lang, source, unnest(w) AS term FROM d),
+         k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 30),
+         s AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+         c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+         t AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+         p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+                      1 + 1000000000 * (coalesce(c.n, 0) + 5) // (t.total + 5 * s.v) AS p,
+                      1 + 1000000000 * (k.n + 5) // (s.total + 5 * s.v) AS q
+               FROM t JOIN s USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+         x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+         f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                    LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+               UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+         r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM f)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def _centroid_sql(rounds: int = 5) -> str:
+    """Rounds spelled out one after the other; ``v`` has a row number, so that repeated ids are told apart."""
+    parts = [
+        """WITH v AS MATERIALIZED (
+               SELECT row_number() OVER () AS id, vec_id,
+                      list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+               FROM embeddings WHERE len(embedding) = 64
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+           c0 AS MATERIALIZED (
+               SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, e) - 1 AS cluster, e AS c
+               FROM v QUALIFY cluster < 40)"""
+    ]
+    for step in range(rounds + 1):
+        parts.append(
+            f"""a{step} AS MATERIALIZED (
+               SELECT v.id, v.vec_id, v.e, c.cluster,
+                      CAST(list_sum(list_transform(list_zip(v.e, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+               FROM v CROSS JOIN c{step} c QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY distance, c.cluster) = 1)"""
+        )
+        if step < rounds:
+            parts.append(
+                f"""s{step} AS MATERIALIZED (
+               SELECT cluster, place, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+               FROM (SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS place FROM a{step}) GROUP BY cluster, place),
+           c{step + 1} AS MATERIALIZED (
+               SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{step} c
+               LEFT JOIN (SELECT cluster, list(x ORDER BY place) AS c FROM s{step} GROUP BY cluster) m USING (cluster))"""
+            )
+    parts.append(
+        f"""t AS (SELECT cluster, sum(distance) AS inertia FROM a{rounds} GROUP BY cluster)"""
+    )
+    return (
+        ", ".join(parts)
+        + f"""
+    SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance, CAST(t.inertia AS BIGINT) AS cluster_inertia,
+           CAST((SELECT sum(inertia) FROM t) AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+    FROM a{rounds} a JOIN t USING (cluster) JOIN c{rounds} c USING (cluster)
+"""
+    )
+
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL; the other operators learn a model, encode tokens, draw hashes or parse HTML."""
-    return {"op4_substring_dedup": _SUBSTRINGS, "op6_exact_top": _TOP, "op9_near_duplicates": _NEAR}
+    return {
+        "op4_substring_dedup": _SUBSTRINGS,
+        "op6_exact_top": _TOP,
+        "op9_near_duplicates": _NEAR,
+        "op11_source_divergence": _DIVERGENCE,
+        "op12_centroids": _centroid_sql(),
+    }
