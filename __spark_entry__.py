@@ -19,11 +19,17 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ledgerloom.functions.casts import decimals_to_double, label_column, to_timestamp  # noqa: E402
-from ledgerloom.functions.dates import CLOCK_PARTS, date_part, date_parts, enrich_dates  # noqa: E402
+from ledgerloom.functions.dates import (  # noqa: E402
+    CLOCK_PARTS,
+    date_part,
+    date_parts,
+    enrich_dates,
+    zoned_date_parts,
+)
 from ledgerloom.operators import categories, confusion, ranges, splits  # noqa: E402
 from ledgerloom.operators.vectors import vector_entries  # noqa: E402
 from ledgerloom.plans import features, stages, training  # noqa: E402
-from ledgerloom.session import shared_dir  # noqa: E402
+from ledgerloom.session import shared_dir, shared_table  # noqa: E402
 from ledgerloom.sources.dictionary import (  # noqa: E402
     Field,
     dictionary_frame,
@@ -31,7 +37,8 @@ from ledgerloom.sources.dictionary import (  # noqa: E402
     read_dictionary,
     with_roles,
 )
-from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_model  # noqa: E402
+from ledgerloom.sources.outputs import load_latest, load_model, save_model  # noqa: E402
+from ledgerloom.sources.predicates import ask_frame, gapless, plan_parts  # noqa: E402
 
 # The operators for training data may be left out as a whole; what fails inside them is not hidden.
 LLM = None
@@ -76,6 +83,9 @@ LINEITEM_DOUBLES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # So many partitions on any cluster, as trees depend on them.
 TRAINING = training.TrainOptions(partitions=8)
 
+# Parts that the rows of a table are to be read in.
+JDBC_PARTS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -141,6 +151,14 @@ def date_parts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_dates(events, "ts").withColumn("ts_timestamp", stamp).drop("ts")
 
 
+def date_parts_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a year by the clock of New York, which is set forward and back in it."""
+    shifted = "timestampadd(DAY, event_id % 12 * 30, CAST(ts AS TIMESTAMP_NTZ))"
+    instant = f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {shifted})) AS ts"
+    events = zoned_date_parts(_table(spark, sf_dir, "events").selectExpr("event_id", instant), "ts", "America/New_York")
+    return events.drop("ts").withColumn("ts_local", F.date_format("ts_local", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def _order_date(part: str, alias: str, **options: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = _table(spark, sf_dir, "orders")
@@ -190,6 +208,39 @@ def split_random_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ranges, buckets, categories ---------------------------------------------
 
 
+def split_random_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with few different rows, of which each is drawn; how many of each go to either part."""
+    few = _table(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 20).alias("u"))
+    rows = splits.content_bucket(few, 42)
+    label = F.when(F.col(splits.BUCKET) < 80, "train").otherwise("test").alias("split")
+    return rows.groupBy("event_type", "u", label).agg(F.count("*").alias("n"))
+
+
+def split_by_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the part that their line items go to, a tenth of which are of one order."""
+    lines = _table(spark, sf_dir, "lineitem")
+    lines = lines.withColumn("l_orderkey", F.when(F.col("l_quantity") > 5, F.col("l_orderkey")).otherwise(77))
+    train, test = splits.row_share_split(lines, ["l_orderkey"])
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("l_orderkey", "split").agg(F.count("*").alias("n"))
+
+
+def jdbc_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by the condition that would read them, with a key of uneven gaps, a hot value and NULLs."""
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_quantity <= 15 THEN 7 WHEN l_quantity < 50 THEN l_orderkey * l_orderkey * l_orderkey END AS k",
+        "l_partkey AS other",
+    )
+    parts = plan_parts(ask_frame(lines), "k", JDBC_PARTS, spread=True)
+    conditions = [F.expr(text) for text in gapless(parts, "k", "other")]
+    met = F.array_compact(F.array(*[F.when(own, F.lit(place)) for place, own in enumerate(conditions)]))
+    rows = lines.select(F.explode(met).alias("part")).groupBy("part").agg(F.count("*").alias("n"))
+    planned = [(place, part.low, part.high, part.slice) for place, part in enumerate(parts)]
+    # One row for each part.
+    facts = F.broadcast(spark.createDataFrame(planned, "part int, low bigint, high bigint, slice int"))
+    return rows.join(facts, "part").select("part", "low", "high", "slice", "n")
+
+
 def numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.numeric_ranges(_table(spark, sf_dir, "orders"), ["o_totalprice"]).drop("field")
 
@@ -338,11 +389,6 @@ def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training ----------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> training.TrainResult:
-    orders = _orders(spark, sf_dir)
-    return training.train(orders, _orders_fields(spark), options=TRAINING)
-
-
 def hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that training never sees, with their label."""
     prepared = training.prepared_frame(_orders(spark, sf_dir), _orders_fields(spark))
@@ -362,17 +408,23 @@ def _ruled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumn("big", rule)
 
 
+def _kept(result: training.TrainResult, *columns: Column) -> DataFrame:
+    """Columns of the scored rows, written so that the job can be closed."""
+    with result:
+        return shared_table(result.scored.select(*columns))
+
+
 def gbt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the ruled target from price and priority."""
     fields = _without(_orders_fields(spark), "DATE")
     result = training.train(_ruled_orders(spark, sf_dir), fields, options=TRAINING)
-    return result.scored.select("o_orderkey", F.col("big").alias("label"), "prediction")
+    return _kept(result, F.col("o_orderkey"), F.col("big").alias("label"), F.col("prediction"))
 
 
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the date, of which the rule knows nothing, among the features."""
     result = training.train(_ruled_orders(spark, sf_dir), _orders_fields(spark), options=TRAINING)
-    return result.scored.select("o_orderkey", F.col("big").cast("int").alias("target"), "prediction")
+    return _kept(result, F.col("o_orderkey"), F.col("big").cast("int").alias("target"), F.col("prediction"))
 
 
 def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,6 +433,31 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         return result.metrics
 
 
+def score_and_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts taken while the scored rows are written, beside the same from the written rows."""
+    fields = _without(_orders_fields(spark), "DATE")
+    with training.train(_ruled_orders(spark, sf_dir), fields, options=TRAINING) as result:
+        path = f"{shared_dir(spark)}/scored-{uuid.uuid4()}"
+        rows = result.save_scored(path, ["o_orderkey", "big", "prediction"])
+        observed = [F.lit(result.counts[name]).cast("long").alias(name) for name in ("tp", "fp", "tn", "fn", "n")]
+    written = rows.agg(F.count("*").alias("rows"), F.sum("prediction").cast("long").alias("positive"))
+    return written.select("rows", "positive", *observed)
+
+
+def bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of odd orders that no feature can be built from, counted while the job reads and scores them."""
+    key = F.col("o_orderkey")
+    price = F.when(key % 11 == 0, F.lit(float("nan"))).when(key % 11 != 1, F.col("o_totalprice"))
+    date = F.when(key % 13 == 0, "no date").when(key % 13 != 1, F.col("o_orderdate").cast("string"))
+    rare = F.when(key % 500 == 7, F.concat(F.lit("rare "), key.cast("string"))).otherwise(F.col("o_orderpriority"))
+    odd = _orders(spark, sf_dir).withColumns({"o_totalprice": price, "o_orderdate": date, "o_orderpriority": rare})
+    options = training.TrainOptions(
+        partitions=8, reuse="table", features=features.FeatureOptions(handle_invalid="keep"), classifier={"maxIter": 2, "maxDepth": 2}
+    )
+    with training.train(odd, _orders_fields(spark), options=options) as result:
+        return result.bad_values
+
+
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows, and how many the saved and reloaded model scores differently."""
     result = training.train(_orders(spark, sf_dir), _orders_fields(spark), options=TRAINING)
@@ -389,10 +466,12 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = features.source_frame(_orders(spark, sf_dir), _orders_fields(spark)).columns
     before = result.scored.select(*inputs, F.col("prediction").alias("before"))
     after = load_model(path).transform(before)
-    return after.agg(
+    counts = after.agg(
         F.count("*").alias("n"),
         F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("n_mismatch"),
     )
+    with result:
+        return shared_table(counts)
 
 
 def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,12 +484,12 @@ def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = load_fields(read_dictionary(spark, f"{folder}/dictionary"))
     orders = _ruled_orders(spark, sf_dir)
     training.train(orders, fields, folder, TRAINING).close()
+    model, saved = load_latest(spark, folder)
     _, test_rows = training.split_frame(training.prepared_frame(orders, fields))
-    scored = load_model(model_path(folder)).transform(test_rows)
+    scored = model.transform(test_rows)
     wrong = F.count_if(~F.col("prediction").eqNullSafe(F.col("big")))
-    saved = spark.read.schema("accuracy double, f1Score double").json(metrics_path(folder))
     # One row each.
-    return scored.agg(F.count("*").alias("n"), wrong.alias("n_wrong")).join(F.broadcast(saved))
+    return scored.agg(F.count("*").alias("n"), wrong.alias("n_wrong")).join(F.broadcast(saved.select("accuracy", "f1Score")))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -438,12 +517,16 @@ def queries() -> dict[str, Query]:
         "date_parts_basic": date_parts_basic,
         "date_parts_extended": date_parts_extended,
         "date_parts_all": date_parts_all,
+        "date_parts_zoned": date_parts_zoned,
         "quarter_variants": quarter_variants,
         "week_number_iso": _order_date("weekNumber", "w", week_system="iso"),
         "week_number_us": _order_date("weekNumber", "w", week_system="us"),
         "field_roles": field_roles,
         "split_keyed": split_keyed,
         "split_random_check": split_random_check,
+        "split_random_rows": split_random_rows,
+        "split_by_rows": split_by_rows,
+        "jdbc_predicates": jdbc_predicates,
         "numeric_range": numeric_range,
         "numeric_range_all": numeric_range_all,
         "bucketize": bucketize,
@@ -468,6 +551,8 @@ def queries() -> dict[str, Query]:
         "gbt_rule": gbt_rule,
         "gbt_predictions": gbt_predictions,
         "gbt_metrics": gbt_metrics,
+        "score_and_measure": score_and_measure,
+        "bad_values": bad_values,
         "model_roundtrip": model_roundtrip,
         "job_outputs": job_outputs,
         **_llm_queries(),
@@ -583,6 +668,44 @@ def _roles_sql() -> str:
     """
 
 
+def _jdbc_sql(parts: int, levels: int = 16) -> str:
+    """The parts that ``jdbc_predicates`` plans: cells that hold too many rows are cut, level by level."""
+    found = [
+        """WITH l AS (SELECT CASE WHEN l_quantity <= 15 THEN 7 WHEN l_quantity < 50 THEN l_orderkey * l_orderkey * l_orderkey END AS k,
+                             l_partkey AS other FROM lineitem),""",
+        f"""b AS (SELECT count(*) AS total, min(k) AS lo, max(k) AS hi, (max(k) - min(k) + {parts * 64}) // {parts * 64} AS w FROM l),""",
+        "h0 AS (SELECT lo AS low, hi + 1 AS high, w, total FROM b),",
+    ]
+    for level in range(1, levels + 1):
+        found.append(
+            f"""c{level} AS MATERIALIZED (
+                SELECT k - (k - low) % w AS low, least(k - (k - low) % w + any_value(w), any_value(high)) AS high,
+                       greatest(1, (any_value(w) + 63) // 64) AS w, any_value(total) AS total, count(*) AS n
+                FROM l JOIN h{level - 1} ON k >= low AND k < high GROUP BY k - (k - low) % w),
+            h{level} AS (SELECT low, high, w, total FROM c{level} WHERE n * {parts * 4} > total AND high - low > 1),"""
+        )
+    light = " UNION ALL ".join(
+        f"SELECT low, high, n, total FROM c{level} WHERE NOT (n * {parts * 4} > total AND high - low > 1)" for level in range(1, levels + 1)
+    )
+    return "".join(found) + f"""
+        s AS (SELECT *, n * {parts} > total AS alone FROM ({light})),
+        o AS (SELECT *, coalesce(sum(CASE WHEN alone THEN 0 ELSE n END) OVER before, 0) * {parts} // total AS run,
+                     coalesce(sum(CASE WHEN alone THEN 1 ELSE 0 END) OVER before, 0) AS breaks
+              FROM s WINDOW before AS (ORDER BY low ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        p AS (SELECT min(low) AS low, max(high) AS high, sum(n) AS n, alone, any_value(total) AS total
+              FROM o GROUP BY alone, breaks, CASE WHEN alone THEN low ELSE run END),
+        q AS (SELECT low, CASE WHEN alone THEN high ELSE coalesce(lead(low) OVER (ORDER BY low), high) END AS high, n,
+                     CASE WHEN alone THEN (n * {parts} + total - 1) // total ELSE 1 END AS slices FROM p
+              UNION ALL SELECT NULL, NULL, count(*), greatest(1, (count(*) * {parts} + any_value(total) - 1) // any_value(total))
+              FROM l, b WHERE k IS NULL HAVING count(*) > 0),
+        e AS (SELECT low, high, n, slices, unnest(range(CAST(slices AS BIGINT))) AS slice FROM q)
+        SELECT CAST(row_number() OVER (ORDER BY low NULLS LAST, slice) - 1 AS INTEGER) AS part, CAST(low AS BIGINT) AS low,
+               CAST(high AS BIGINT) AS high, CAST(slice AS INTEGER) AS slice,
+               CASE WHEN slices = 1 THEN CAST(n AS BIGINT)
+                    ELSE (SELECT count(*) FROM l WHERE l.k IS NOT DISTINCT FROM e.low AND l.other % e.slices = e.slice) END AS n
+        FROM e"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that does not only train a model."""
     indexed_orders = f"""
@@ -644,6 +767,28 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, CASE WHEN {_KEY_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split FROM orders""",
         "split_random_check": """
             SELECT count(*) AS n_total, CAST(0 AS BIGINT) AS n_overlap FROM orders""",
+        "split_random_rows": """
+            SELECT event_type, u, CASE WHEN CAST('0x' || substr(md5(digest || ':' || copy), 1, 8) AS BIGINT) * (100 / 4294967296) < 80
+                                       THEN 'train' ELSE 'test' END AS split, count(*) AS n
+            FROM (SELECT event_type, u, sha256('42:' || CAST(to_json({'event_type': event_type, 'u': u}) AS VARCHAR)) AS digest,
+                         row_number() OVER (PARTITION BY event_type, u) - 1 AS copy
+                  FROM (SELECT event_type, user_id % 20 AS u FROM events))
+            GROUP BY ALL""",
+        "split_by_rows": """
+            WITH k AS (SELECT l_orderkey, count(*) AS n, CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 15) AS BIGINT) AS place
+                       FROM (SELECT CASE WHEN l_quantity > 5 THEN l_orderkey ELSE 77 END AS l_orderkey FROM lineitem) GROUP BY 1),
+                 s AS (SELECT *, sum(n) OVER (ORDER BY place) AS upto, 0.8 * sum(n) OVER () AS wanted FROM k),
+                 c AS (SELECT min(place) AS place FROM s WHERE upto >= wanted),
+                 l AS (SELECT c.place + CASE WHEN wanted - (upto - n) > upto - wanted THEN 1 ELSE 0 END AS border
+                       FROM c JOIN s ON s.place = c.place)
+            SELECT l_orderkey, CASE WHEN place < border THEN 'train' ELSE 'test' END AS split, n FROM k, l""",
+        "jdbc_predicates": _jdbc_sql(JDBC_PARTS),
+        "date_parts_zoned": f"""
+            SELECT event_id, strftime(c, '%Y-%m-%d %H:%M:%S.%f') AS ts_local,
+                   CAST(timezone('America/New_York', timezone('UTC', t - INTERVAL 1 HOUR)) = c AS INTEGER) AS ts_repeated,
+                   {_calendar_sql('c', 'INTEGER', 'ts_')}
+            FROM (SELECT event_id, t, timezone('America/New_York', timezone('UTC', t)) AS c
+                  FROM (SELECT event_id, ts + to_days(CAST(event_id % 12 * 30 AS INTEGER)) AS t FROM events))""",
         "numeric_range": """
             SELECT min(o_totalprice) AS mn, max(o_totalprice) AS mx,
                    (max(o_totalprice) - min(o_totalprice)) / 4 AS step FROM orders""",
@@ -724,6 +869,16 @@ def oracle_sql() -> dict[str, str]:
         "job_outputs": f"""
             SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_wrong, CAST(1 AS DOUBLE) AS accuracy,
                    sum(label) / nullif(sum(label), 0) AS "f1Score" FROM ({ruled})""",
+        "score_and_measure": f"""
+            SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS positive, CAST(sum(label) AS BIGINT) AS tp, CAST(0 AS BIGINT) AS fp,
+                   CAST(count(*) - sum(label) AS BIGINT) AS tn, CAST(0 AS BIGINT) AS fn, count(*) AS n FROM ({ruled})""",
+        "bad_values": f"""
+            SELECT unnest(['o_orderkey', 'o_totalprice', 'o_totalprice', 'o_orderdate', 'o_orderdate',
+                           'o_orderpriority', 'o_orderpriority', 'big']) AS field,
+                   unnest(['null', 'null', 'nan', 'null', 'unparsed', 'null', 'unseen', 'null']) AS kind,
+                   unnest([0, count_if(o_orderkey % 11 = 1), count_if(o_orderkey % 11 = 0), count_if(o_orderkey % 13 = 1),
+                           count_if(o_orderkey % 13 = 0), 0, count_if(o_orderkey % 500 = 7 AND {_KEY_BUCKET} >= 80), 0]) ::BIGINT AS n
+            FROM orders""",
         "model_roundtrip": f"""
             SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM orders WHERE {_KEY_BUCKET} >= 80""",
         **_llm_oracles(),

@@ -122,6 +122,58 @@ def enrich_dates(
     )
 
 
+def zone_clock(column: str, zone: str | Column) -> Column:
+    """What a clock in ``zone`` shows at the instant of a timestamp, as a timestamp without zone.
+
+    ``zone`` is a name or a column of names. The session's time zone does not matter.
+    Every instant has one clock time. When clocks are set back, an hour is shown
+    twice, and ``repeated_hour`` says which; the hour that is left out when they
+    are set forward is never shown. NULL for a NULL instant or zone.
+    """
+    name = F.lit(zone) if isinstance(zone, str) else zone
+    return F.convert_timezone(F.lit("UTC"), name, _utc_clock(column))
+
+
+def _utc_clock(column: str) -> Column:
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({quote(column)}), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+
+
+def zone_instant(clock: Column, zone: str | Column) -> Column:
+    """The instant, as UTC clock time without zone, at which a clock in ``zone`` shows ``clock``.
+
+    Of an hour that occurs twice it is the first. A time in the hour that does not
+    occur is that much after the last one that does, so 2:30 is read as 3:30.
+    """
+    name = F.lit(zone) if isinstance(zone, str) else zone
+    return F.convert_timezone(name, F.lit("UTC"), clock)
+
+
+def repeated_hour(column: str, zone: str | Column) -> Column:
+    """1 if the clock in ``zone`` showed the time of this instant before, as after clocks are set back, else 0."""
+    return (zone_instant(zone_clock(column, zone), zone) != _utc_clock(column)).cast("int")
+
+
+def zoned_date_parts(
+    df: DataFrame,
+    column: str,
+    zone: str | Column,
+    parts: Sequence[str] = CALENDAR_PARTS,
+    week_system: str = "iso",
+    quarter: str = "month_div_4",
+) -> DataFrame:
+    """``df`` plus ``<column>_local``, the clock time in ``zone``, its parts and ``<column>_repeated``.
+
+    ``column`` is a timestamp of an instant. The hour that occurs twice has the same
+    parts both times and ``<column>_repeated`` 1 the second time.
+    """
+    if not isinstance(df.schema[column].dataType, T.TimestampType):
+        raise ValueError(f"{column} is no instant; its clock time has no zone to be moved from")
+    local = f"{column}_local"
+    stamped = df.withColumns({local: zone_clock(column, zone), f"{column}_repeated": repeated_hour(column, zone)})
+    named = zip(part_columns(column, parts), parts, strict=True)
+    return stamped.withColumns({name: date_part(local, part, week_system, quarter) for name, part in named})
+
+
 def date_stage(
     columns: Sequence[str],
     parts: Sequence[str] = CLOCK_PARTS,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.casts import label_column
 from ledgerloom.functions.dates import quote
@@ -14,21 +15,26 @@ def prediction_target(scored: DataFrame, prediction: str, target: str) -> DataFr
     return scored.select(F.col(quote(prediction)), F.col(quote(target)))
 
 
-def confusion_counts(scored: DataFrame, prediction: str, target: str) -> DataFrame:
-    """One row ``(tp, fp, tn, fn, n)``.
+def count_columns(schema: T.StructType, prediction: str, target: str) -> list[Column]:
+    """The aggregates ``tp, fp, tn, fn, n``, to be computed or observed.
 
     Labels and predictions other than 0 and 1 are in no cell, but ``n`` counts
     every row.
     """
     predicted = F.col(quote(prediction)).cast("double")
-    actual = label_column(scored.schema, target)
-    return scored.agg(
+    actual = label_column(schema, target)
+    return [
         F.count_if((actual == 1.0) & (predicted == 1.0)).alias("tp"),
         F.count_if((actual == 0.0) & (predicted == 1.0)).alias("fp"),
         F.count_if((actual == 0.0) & (predicted == 0.0)).alias("tn"),
         F.count_if((actual == 1.0) & (predicted == 0.0)).alias("fn"),
         F.count("*").alias("n"),
-    )
+    ]
+
+
+def confusion_counts(scored: DataFrame, prediction: str, target: str) -> DataFrame:
+    """One row ``(tp, fp, tn, fn, n)``."""
+    return scored.agg(*count_columns(scored.schema, prediction, target))
 
 
 def metrics_from_counts(counts: DataFrame) -> DataFrame:

@@ -58,16 +58,24 @@ class FeatureOptions:
                 raise ValueError(f"{name} must be one of {words}, not {getattr(self, name)!r}")
 
 
-def source_frame(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Only the columns the job uses, in declared order, with decimals and text dates cast."""
-    wanted = set(keys_of(fields)) | set(features_of(fields, "DOUBLE", "DATE", "NOMINAL", "TARGET"))
+def used_columns(fields: Sequence[Field]) -> set[str]:
+    """Names of the columns the job uses."""
+    return set(keys_of(fields)) | set(features_of(fields, "DOUBLE", "DATE", "NOMINAL", "TARGET"))
+
+
+def source_frame(df: DataFrame, fields: Sequence[Field], strict: bool = True) -> DataFrame:
+    """Only the columns the job uses, in declared order, with decimals and text dates cast.
+
+    A text that is no date raises, or is NULL when not ``strict``.
+    """
+    wanted = used_columns(fields)
     missing = sorted(wanted - set(df.columns))
     if missing:
         raise ValueError(f"dictionary and table differ: not in the table: {', '.join(missing)}")
     dates = set(features_of(fields, "DATE"))
     pruned = df.select(*[F.col(quote(f.name)) for f in fields if f.name in wanted])
     text_dates = {
-        name: to_timestamp(name)
+        name: to_timestamp(name, strict)
         for name in pruned.columns
         if name in dates and isinstance(pruned.schema[name].dataType, T.StringType)
     }
@@ -168,6 +176,6 @@ def feature_frame(
     options: FeatureOptions = FeatureOptions(),
 ) -> DataFrame:
     """``df``'s used columns plus every feature column and ``features``, fitted on ``df``."""
-    source = source_frame(df, fields)
+    source = source_frame(df, fields, options.handle_invalid == "error")
     model = Pipeline(stages=feature_stages(fields, source, source, options)).fit(source)
     return complete_rows(model.transform(source))

@@ -7,15 +7,20 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.predicates import ask_database, even_predicates
+
 
 @dataclass(frozen=True)
 class JdbcTable:
     """Where the table is and how to split its read.
 
     ``partition_column`` splits the range of a number, date or timestamp evenly.
-    Where that column is unevenly filled, give ``predicates``: one WHERE
-    condition per task, together covering every row exactly once. A small table
-    may be read by one task if ``single_task`` says so.
+    Where that column is unevenly filled, ``even_rows`` has the database count its
+    rows by cells of the column, which must then be SQL for a whole number, and
+    splits the rows evenly; the rows of one key only if ``spread``, SQL for another
+    whole number that is not negative, tells them apart. Or give ``predicates``: one
+    WHERE condition per task, together covering every row exactly once. A small
+    table may be read by one task if ``single_task`` says so.
     """
 
     url: str
@@ -30,6 +35,8 @@ class JdbcTable:
     predicates: Sequence[str] | None = None
     fetch_size: int = 10_000
     single_task: bool = False
+    even_rows: bool = False
+    spread: str | None = None
 
     def __post_init__(self) -> None:
         if self.predicates is not None and self.partition_column is not None:
@@ -44,6 +51,10 @@ class JdbcTable:
             raise ValueError("lower_bound and upper_bound go together")
         if self.lower_bound is not None and self.partition_column is None:
             raise ValueError("bounds need a partition_column")
+        if self.even_rows and (self.partition_column is None or self.lower_bound is not None):
+            raise ValueError("even_rows needs a partition_column, and no bounds")
+        if self.spread is not None and not self.even_rows:
+            raise ValueError("spread needs even_rows")
 
 
 def connection_options(source: JdbcTable) -> dict[str, str]:
@@ -73,11 +84,13 @@ def read_jdbc(spark: SparkSession, source: JdbcTable) -> DataFrame:
     only set the split points: rows outside them, and NULLs, are still read.
     """
     options = connection_options(source)
-    if source.predicates is not None:
+    predicates = source.predicates
+    if source.even_rows:
+        ask = ask_database(spark, options, source.table)
+        predicates = even_predicates(ask, source.partition_column, source.num_partitions, source.spread)
+    if predicates is not None:
         url = options.pop("url")
-        return spark.read.jdbc(
-            url, source.table, predicates=list(source.predicates), properties=options
-        )
+        return spark.read.jdbc(url, source.table, predicates=list(predicates), properties=options)
     options["dbtable"] = source.table
     if source.partition_column is not None:
         lower, upper = source.lower_bound, source.upper_bound

@@ -1,7 +1,9 @@
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import (
     CALENDAR_PARTS,
@@ -11,6 +13,10 @@ from ledgerloom.functions.dates import (
     date_stage,
     enrich_dates,
     part_columns,
+    repeated_hour,
+    zone_clock,
+    zone_instant,
+    zoned_date_parts,
 )
 
 
@@ -111,3 +117,48 @@ def test_times_without_a_zone_are_not_shifted_by_summer_time(spark):
         assert dict(enrich_dates(df, "ts").dtypes)["ts_timestamp"] == "timestamp_ntz"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+ZONES = ["America/New_York", "Europe/Berlin", "Asia/Kolkata", "Australia/Lord_Howe", "UTC"]
+
+
+@pytest.fixture(params=["UTC", "America/Los_Angeles"])
+def session_zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _instants(spark, step=20 * 60):
+    """Every 20 minutes around the changes of clocks of two years, by zone."""
+    seconds = [at for start in (1711800000, 1709900000, 1730500000, 1729900000, 1743200000) for at in range(start, start + 400_000, step)]
+    rows = [(second, zone) for second in seconds for zone in ZONES]
+    return spark.createDataFrame(rows, "s bigint, zone string").withColumn("at", F.timestamp_seconds("s"))
+
+
+def test_clock_of_a_zone_by_row_whatever_the_session_zone(session_zone):
+    df = zoned_date_parts(_instants(session_zone), "at", F.col("zone"))
+    for row in df.withColumn("local", F.col("at_local").cast("string")).drop("at", "at_local").collect():
+        own = datetime.fromtimestamp(row.s, timezone.utc).astimezone(ZoneInfo(row.zone))
+        assert row.local == own.strftime("%Y-%m-%d %H:%M:%S")
+        assert (row.at_year, row.at_month, row.at_hour, row.at_minute) == (own.year, own.month, own.hour, own.minute)
+        assert row.at_weekDay == own.isoweekday()
+        assert row.at_repeated == own.fold
+
+
+def test_instants_of_the_hours_that_occur_twice_or_not_at_all(spark):
+    clocks = ["2024-03-10 01:59:59", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "2024-11-03 01:30:00", "2024-11-03 02:00:00"]
+    df = spark.createDataFrame([(text,) for text in clocks], "text string")
+    instant = zone_instant(F.col("text").cast("timestamp_ntz"), "America/New_York").cast("string").alias("utc")
+    assert [row.utc for row in df.select(instant).collect()] == [
+        "2024-03-10 06:59:59", "2024-03-10 07:30:00", "2024-03-10 07:00:00", "2024-11-03 05:30:00", "2024-11-03 07:00:00",
+    ]
+
+
+def test_null_instants_and_zones_have_no_clock(spark):
+    df = spark.createDataFrame([(None, "UTC"), (5, None)], "s bigint, zone string").withColumn("at", F.timestamp_seconds("s"))
+    columns = [zone_clock("at", F.col("zone")).alias("clock"), repeated_hour("at", F.col("zone")).alias("again")]
+    assert [tuple(row) for row in df.select(*columns).collect()] == [(None, None), (None, None)]
+    with pytest.raises(ValueError, match="no instant"):
+        zoned_date_parts(df.select(F.col("at").cast("timestamp_ntz").alias("at")), "at", "UTC")

@@ -3,7 +3,18 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.splits import key_bucket, keyed_split, random_split, split_label
+from ledgerloom.operators.splits import (
+    BUCKET,
+    content_bucket,
+    content_split,
+    key_bucket,
+    key_place,
+    keyed_split,
+    random_split,
+    row_share_limit,
+    row_share_split,
+    split_label,
+)
 
 
 def _ids(df):
@@ -72,3 +83,74 @@ def test_rows_without_a_key_are_spread(spark):
     assert 0.77 < train.count() / 4000 < 0.83
     assert train.count() + test.count() == 4000
     assert train.columns == ["id", "k"]
+
+
+def _copies(spark, rows=4000):
+    """Rows of which a third are equal, some come a few times, and some hold NULLs."""
+    n = F.col("id")
+    a = F.when(n % 3 == 0, "same").when(n % 3 == 1, (n % 700).cast("string"))
+    return spark.range(rows).select(a.alias("a"), F.when(n % 3 == 0, 1).otherwise((n % 5).cast("int")).alias("`b"))
+
+
+def _multiset(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_content_split_does_not_change_with_partitions(spark, parts):
+    df = _copies(spark)
+    train, test = content_split(df.repartition(4), 0.8, 5)
+    again, rest = content_split(df.orderBy(F.desc("a")).repartition(parts), 0.8, 5)
+    assert _multiset(train) == _multiset(again)
+    assert _multiset(test) == _multiset(rest)
+    assert sorted(_multiset(train) + _multiset(test)) == _multiset(df)
+    assert 0.77 < train.count() / 4000 < 0.83
+    same = "a = 'same'"
+    assert 0.75 < train.where(same).count() / df.where(same).count() < 0.85
+    assert train.columns == df.columns
+
+
+def test_content_split_changes_with_the_seed_and_takes_an_empty_frame(spark):
+    df = _copies(spark, 600)
+    assert _multiset(content_split(df, 0.5, 1)[0]) != _multiset(content_split(df, 0.5, 2)[0])
+    assert content_bucket(df.limit(0)).columns == [*df.columns, BUCKET]
+    assert content_split(df.limit(0))[0].count() == 0
+
+
+def test_copies_of_a_row_are_made_again_in_several_tasks(spark):
+    rows = content_bucket(spark.range(8000).select(F.lit(1).alias("x")).repartition(16))
+    tasks = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(row["count"] for row in tasks) == 8000
+    assert max(row["count"] for row in tasks) < 8000
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.8, 0.97])
+def test_share_is_met_over_rows_within_half_a_key(spark, share):
+    n = F.col("id")
+    key = F.when(n % 4 == 0, 5).when(n % 4 < 3, n % 301)
+    df = spark.range(6000).select(key.alias("key"), n).repartition(5)
+    train, test = row_share_split(df, ["key"], share)
+    sizes = {row["key"]: row["count"] for row in df.groupBy("key").count().collect()}
+    places = {row["key"]: row["place"] for row in df.select("key", key_place(["key"]).alias("place")).distinct().collect()}
+    limit = row_share_limit(df, ["key"], share)
+    assert train.count() == sum(size for own, size in sizes.items() if places[own] < limit)
+    # The best border of all.
+    borders = [0, *(place + 1 for place in places.values())]
+    far = min(abs(sum(s for own, s in sizes.items() if places[own] < border) - share * 6000) for border in borders)
+    assert abs(train.count() - share * 6000) == pytest.approx(far)
+    both = {row[0] for row in train.select("key").collect()} & {row[0] for row in test.select("key").collect()}
+    assert not both
+    assert train.count() + test.count() == 6000
+
+
+def test_row_share_takes_several_keys_one_key_and_no_rows(spark):
+    df = spark.range(500).select((F.col("id") % 7).alias("a"), (F.col("id") % 11).cast("string").alias("b"))
+    train, test = row_share_split(df, ["a", "b"], 0.6)
+    assert abs(train.count() - 300) <= 4 and train.count() + test.count() == 500
+    one = df.select(F.lit("k").alias("a"))
+    assert row_share_split(one, ["a"], 0.8)[0].count() == 500
+    assert row_share_split(one, ["a"], 0.3)[0].count() == 0
+    assert row_share_split(df.limit(0), ["a"])[0].count() == 0
+    for keys, share in ((["a"], 1.0), ([], 0.5)):
+        with pytest.raises(ValueError):
+            row_share_split(df, keys, share)

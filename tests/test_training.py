@@ -9,7 +9,7 @@ from ledgerloom.plans.features import FeatureOptions
 from ledgerloom.plans.training import METRICS, TrainOptions, run_job, score, split_frame, train
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 from ledgerloom.sources.jdbc import JdbcTable
-from ledgerloom.sources.outputs import load_model, metrics_path, model_path, save_metrics
+from ledgerloom.sources.outputs import latest_run, load_latest, load_model, metrics_path, model_path, save_metrics, scored_path
 
 
 def _attr(name, data, value, usage="feature"):
@@ -60,7 +60,8 @@ def test_metrics_are_those_of_the_scored_hold_out(trained):
 def test_saved_model_scores_the_same(trained):
     _, _, result, out = trained
     inputs = result.scored.select("id", "amount", "cur", F.col("prediction").alias("before"))
-    again = load_model(model_path(out)).transform(inputs)
+    again = load_model(model_path(result.run)).transform(inputs)
+    assert latest_run(inputs.sparkSession, out) == result.run
     assert again.where("NOT before <=> prediction").count() == 0
 
 
@@ -68,7 +69,7 @@ def test_source_rows_are_scored_with_or_without_a_target(trained):
     table, fields, result, out = trained
     want = {row.id: row.prediction for row in result.scored.collect()}
     for source in (table, table.drop("fraud", "other")):
-        scored = score(load_model(model_path(out)), source, fields)
+        scored = score(load_model(model_path(result.run)), source, fields)
         assert scored.count() == table.count()
         got = {row.id: row.prediction for row in scored.select("id", "prediction").collect()}
         assert {key: got[key] for key in want} == want
@@ -97,7 +98,7 @@ def test_keyed_split_needs_a_key_in_the_dictionary(spark, trained):
 def test_saved_metrics_are_one_json_object(trained):
     _, _, result, out = trained
     lines = [
-        line for file in Path(metrics_path(out)).glob("*.json") for line in file.read_text().splitlines()
+        line for file in Path(metrics_path(result.run)).glob("*.json") for line in file.read_text().splitlines()
     ]
     assert [json.loads(line) for line in lines] == [result.metrics.first().asDict()]
 
@@ -138,7 +139,7 @@ def test_whole_job_from_table_and_dictionary_file(spark, tmp_path, monkeypatch):
     result = run_job(spark, source, str(dictionary), str(tmp_path / "out"), options)
     assert asked == [source]
     assert tuple(result.metrics.first()) == pytest.approx(_brute_metrics(result.scored), rel=1e-12)
-    load_model(model_path(str(tmp_path / "out")))
+    load_model(model_path(latest_run(spark, str(tmp_path / "out"))))
     # The scored frame reads the written table, not the source.
     assert any("/table-" in file for file in result.scored.inputFiles())
 
@@ -154,7 +155,7 @@ def test_classifier_parameters_reach_the_saved_model(spark, tmp_path):
     fields = load_fields(dictionary_frame(spark, ATTRS))
     options = TrainOptions(classifier={"maxDepth": 2, "maxIter": 3, "seed": 9})
     train(_table(spark, 600), fields, str(tmp_path), options).close()
-    trees = load_model(model_path(str(tmp_path))).stages[-1]
+    trees = load_latest(spark, str(tmp_path))[0].stages[-1]
     assert trees.getNumTrees == 3 and trees.getMaxDepth() == 2 and trees.getSeed() == 9
 
 
@@ -182,7 +183,7 @@ def test_missing_values_are_kept(spark, tmp_path):
         )
         assert len(bucket["vals"]) == 7
         scored = result.scored.select("id", F.col("prediction").alias("before")).toPandas()
-    again = score(load_model(model_path(str(tmp_path))), _with_missing(spark), fields).select("id", "prediction").toPandas()
+    again = score(load_latest(spark, str(tmp_path))[0], _with_missing(spark), fields).select("id", "prediction").toPandas()
     both = scored.merge(again, on="id")
     assert len(both) == len(scored) and (both.before == both.prediction).all()
 
@@ -198,7 +199,7 @@ def test_skipped_rows_are_not_trained_on_but_counted(spark, tmp_path):
         assert result.scored.where(f"({missing}) <> (prediction IS NULL)").count() == 0
         right = result.scored.where("prediction = fraud").count()
         assert result.metrics.first()["accuracy"] == pytest.approx(right / test_rows.count())
-    again = score(load_model(model_path(str(tmp_path))), table, fields)
+    again = score(load_latest(spark, str(tmp_path))[0], table, fields)
     assert again.count() == 1400 and again.where("prediction IS NULL").count() == table.where(missing).count()
 
 
@@ -229,3 +230,123 @@ def test_a_closed_job_leaves_nothing_in_the_shared_folder(spark):
 def test_unknown_options_are_refused(options):
     with pytest.raises(ValueError, match="must be one of"):
         TrainOptions(**options)
+
+
+SMALL = {"maxIter": 2, "maxDepth": 2}
+
+
+def test_a_failure_between_model_and_metrics_leaves_the_pair_of_the_last_run(spark, tmp_path, monkeypatch):
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    out = str(tmp_path / "job")
+    with pytest.raises(FileNotFoundError, match="no run"):
+        latest_run(spark, out)
+    with train(_table(spark, 600), fields, out, TrainOptions(classifier=SMALL)) as first:
+        before = first.metrics.first()
+
+    def fail(*_):
+        raise OSError("the disk is full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(training, "save_metrics", fail)
+        with pytest.raises(OSError, match="full"):
+            train(_table(spark, 900), fields, out, TrainOptions(classifier={**SMALL, "maxIter": 3}))
+    model, metrics = load_latest(spark, out)
+    assert model.stages[-1].getNumTrees == 2
+    assert {name: metrics.first()[name] for name in METRICS} == before.asDict()
+    with train(_table(spark, 900), fields, out, TrainOptions(classifier={**SMALL, "maxIter": 3})) as last:
+        assert latest_run(spark, out) == last.run
+    assert load_latest(spark, out)[0].stages[-1].getNumTrees == 3
+
+
+def _jobs(spark, name, work):
+    """Spark jobs that ``work`` runs."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_rows_are_scored_and_measured_in_one_pass(spark, tmp_path):
+    """Once the rows are written nothing is left to compute, so metrics need no job."""
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    found = {}
+    with train(_table(spark), fields, options=TrainOptions(classifier=SMALL)) as result:
+        rows = result.save_scored(str(tmp_path / "scored"), ["id", "prediction", "fraud"])
+        assert _jobs(spark, "metrics", lambda: found.update(metrics=result.metrics, counts=result.counts)) == 0
+        assert rows.columns == ["id", "prediction", "fraud"]
+        assert tuple(found["metrics"].first()) == pytest.approx(_brute_metrics(rows), rel=1e-12)
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, result.scored.select(*rows.columns).collect()))
+
+
+def test_a_job_may_keep_its_scored_rows(spark, tmp_path):
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    options = TrainOptions(classifier=SMALL, keep_scored=True, reuse="table")
+    with train(_table(spark, 900), fields, str(tmp_path), options) as result:
+        kept = spark.read.parquet(scored_path(latest_run(spark, str(tmp_path))))
+        assert kept.count() == result.scored.count()
+        assert result.scored.columns == kept.columns
+
+
+def _odd(spark, rows=1100):
+    table = _with_missing(spark, rows)
+    at = F.when(F.col("id") % 10 == 3, "soon").otherwise(F.col("at").cast("string"))
+    cur = F.when(F.col("id") % 50 == 9, F.concat(F.lit("X"), F.col("id").cast("string"))).otherwise(F.col("cur"))
+    return table.withColumns({"at": at, "cur": cur})
+
+
+@pytest.mark.parametrize("reuse", ["table", "persist", "none"])
+@pytest.mark.parametrize("invalid", ["keep", "skip"])
+def test_bad_values_are_counted_by_field(spark, reuse, invalid):
+    fields = load_fields(dictionary_frame(spark, DATED))
+    options = TrainOptions(reuse=reuse, classifier=SMALL, features=FeatureOptions(handle_invalid=invalid))
+    table = _odd(spark)
+    with train(table, fields, options=options) as result:
+        found = {(row.field, row.kind): row.n for row in result.bad_values.collect()}
+        unseen = result.scored.where("cur LIKE 'X%'").count()
+        if reuse == "table":
+            assert _jobs(spark, f"bad {invalid}", result._source_values) == 0
+    rows = table.toPandas()
+    numbers = [row.amount for row in table.select("amount").collect()]
+    assert found == {
+        ("id", "null"): 0, ("fraud", "null"): sum(row.fraud is None for row in table.select("fraud").collect()),
+        ("amount", "null"): sum(x is None for x in numbers), ("amount", "nan"): sum(x is not None and x != x for x in numbers),
+        ("at", "null"): int(rows["at"].isna().sum()), ("at", "unparsed"): int((rows["at"] == "soon").sum()),
+        ("cur", "null"): int(rows["cur"].isna().sum()), ("cur", "unseen"): unseen,
+    }
+    assert unseen > 0
+
+
+def test_a_text_that_is_no_date_is_an_error_unless_such_rows_are_kept(spark):
+    fields = load_fields(dictionary_frame(spark, DATED))
+    clean = _odd(spark).where("id % 10 = 3 AND amount > 0 AND cur IS NOT NULL")
+    with pytest.raises(Exception, match="soon"):
+        train(clean, fields, options=TrainOptions(classifier=SMALL))
+
+
+def test_counting_reads_no_more_columns_and_adds_no_scan(spark, tmp_path):
+    path = str(tmp_path / "source")
+    _odd(spark).withColumn("unused", F.lit("wide")).write.parquet(path)
+    fields = load_fields(dictionary_frame(spark, DATED))
+    options = TrainOptions(reuse="table", features=FeatureOptions(handle_invalid="keep"))
+    used = spark.read.parquet(path).select("id", "amount", "at", "cur", "fraud")
+    seen = training.Observation()
+    values = training.source_counts(used.schema, used.columns, ["at"])
+    prepared = training.prepared_frame(used.observe(seen, *values), fields, options)
+    plan = prepared._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "unused" not in plan
+
+
+def test_a_content_split_trains_the_same_under_any_partitioning(spark):
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    options = TrainOptions(split="content", reuse="table", classifier=SMALL)
+    ids = []
+    for parts in (2, 5):
+        before = set(Path(training.shared_dir(spark)).glob("table-*"))
+        with train(_table(spark, 900).repartition(parts), fields, options=options) as result:
+            ids.append(sorted(row.id for row in result.scored.select("id").collect()))
+        assert set(Path(training.shared_dir(spark)).glob("table-*")) == before
+    assert ids[0] == ids[1]
+    assert 0.15 < len(ids[0]) / 900 < 0.25
