@@ -18,18 +18,25 @@ pairs of classes that are not yet in one group are verified, all of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.words import (
+    BYTES_AT_ONCE,
+    arrow_schema,
+    empty_stores,
     list_array,
     map_rows,
+    parted,
+    ship_package,
     text_bytes,
+    to_batch,
     window_hashes,
     word_hashes,
 )
@@ -53,13 +60,21 @@ EARLY_SHARE = 20
 ROUNDING = 1e-9
 #: Documents of a cluster that are verified together, about, with as many others.
 BLOCK = 256
+#: Classes of either side that meet in one cell, about.
+COUNT_BLOCK = 128
+#: Meetings that a task holds at once.
+HELD_MEETINGS = 400_000
 #: Rows of four numbers that may be broadcast to the texts.
 BROADCAST_ROWS = 500_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def shingles(text: bytes | None, size: int = SIZE) -> np.ndarray:
-    """Hashes of the distinct runs of ``size`` words in lower case (A-Z only), sorted.
+#: What work here keeps of the words a worker has met.
+_KEPT = ("hashes",)
+
+
+def repeated_shingles(text: bytes | None, size: int = SIZE) -> np.ndarray:
+    """Hashes of the runs of ``size`` words in lower case (A-Z only), in their order, each as often as it occurs.
 
     A text with fewer words has its whole sequence as one; one without words, none.
     """
@@ -70,26 +85,37 @@ def shingles(text: bytes | None, size: int = SIZE) -> np.ndarray:
         return np.empty(0, np.uint64)
     short = len(hashes) < size
     # The length is mixed in, so that a short text is no shingle of a longer one.
-    found = window_hashes(hashes, len(hashes)) + np.uint64(len(hashes)) if short else window_hashes(hashes, size)
-    return np.unique(found)
+    return window_hashes(hashes, len(hashes)) + np.uint64(len(hashes)) if short else window_hashes(hashes, size)
+
+
+def shingles(text: bytes | None, size: int = SIZE) -> np.ndarray:
+    """The distinct ``repeated_shingles``, sorted."""
+    return np.unique(repeated_shingles(text, size))
 
 
 def shingle_counts(documents: DataFrame, slots: int = SLOTS) -> np.ndarray:
-    """Estimated number of documents for the shingles of each slot, 0 where it is not above the usual.
+    """Estimated occurrences of the shingles of each slot, 0 where they are not above the usual.
 
     Over all documents. Tasks report the slots that stand out in their part; only
     frequent shingles make a slot stand out, and at most ``slots`` sums reach the
     driver. The order built from it is the same for all documents, which is what
     results depend on; how well it is estimated decides on the cost alone.
     """
-
-    def rows(batch: dict[str, list]):
-        sets = [shingles(text) % np.uint64(slots) for text in batch["text"]]
-        counts = np.bincount(np.concatenate([*sets, np.empty(0, np.uint64)]).astype(np.int64), minlength=slots)
+    schema = "slot int, n bigint"
+    ship_package(documents.sparkSession)
+    arrow = arrow_schema(documents.sparkSession, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_stores(_KEPT)
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            for part in parted(batch, BYTES_AT_ONCE):
+                found = np.concatenate([*map(repeated_shingles, part.column("text").to_pylist()), np.empty(0, np.uint64)])
+                counts += np.bincount((found % np.uint64(slots)).astype(np.int64), minlength=slots)
         slot = np.flatnonzero(counts > STANDS_OUT * counts.mean() + STANDS_OUT)
-        yield {"slot": slot, "n": counts[slot]}
+        yield to_batch({"slot": slot, "n": counts[slot]}, arrow)
 
-    parts = map_rows(documents.select(text_bytes().alias("text")), rows, "slot int, n bigint")
+    parts = documents.select(text_bytes().alias("text")).mapInArrow(run, schema)
     sums = parts.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     found = np.zeros(slots, np.int32)
     found[sums["slot"].to_numpy(np.int64)] = np.minimum(sums["n"].to_numpy(np.int64), np.iinfo(np.int32).max)
@@ -131,7 +157,8 @@ def signatures(documents: DataFrame, counts: np.ndarray, keep: Sequence[str] = (
 
     frame = documents.select("doc_id", *keep, text_bytes().alias("text"))
     kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    return map_rows(frame, rows, f"doc_id bigint{kept}, n bigint, set_id binary, matches int, prefix array<bigint>")
+    schema = f"doc_id bigint{kept}, n bigint, set_id binary, matches int, prefix array<bigint>"
+    return map_rows(frame, rows, schema, BYTES_AT_ONCE, _KEPT)
 
 
 def linkable(a: str, b: str) -> str:
@@ -167,6 +194,20 @@ def hub_pairs(found: DataFrame) -> DataFrame:
     return best.select(F.col("hub").alias("cluster"), F.col("hub").alias("a"), F.col("id").alias("b"))
 
 
+def _in_groups(found: DataFrame, groups: DataFrame) -> DataFrame:
+    labels = groups.select("id", F.col("component").alias("group_id"))
+    return found.join(labels, "id", "left").withColumn("group_id", F.coalesce("group_id", "id"))
+
+
+def _main_groups(labelled: DataFrame) -> DataFrame:
+    """``shingle, main``: the group that most classes of a shingle are in, where they are in several."""
+    sums = labelled.groupBy("shingle", "group_id").agg(F.count("*").alias("n_own"))
+    several = sums.groupBy("shingle").agg(
+        F.count("*").alias("n_groups"), F.max_by("group_id", F.struct("n_own", "group_id")).alias("main")
+    )
+    return several.where("n_groups > 1").select("shingle", "main")
+
+
 def open_pairs(found: DataFrame, groups: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs ``cluster, a, b`` of classes in different groups that pass all filters.
 
@@ -176,40 +217,136 @@ def open_pairs(found: DataFrame, groups: DataFrame, hubs: DataFrame) -> DataFram
     all that resemble it. ``hubs`` is what ``verified`` found for each class and its
     hub: two classes whose distances from the same hub differ by more than a link
     allows are not linked, as the Jaccard distance obeys the triangle inequality.
+
+    Classes meet in cells: those outside the main group and those of its shingles
+    are dealt into blocks, and a cell has one block of each with their shingles.
+    A task counts the matches of its cells, so that a pair is passed on once, with
+    a sum, and not once for each shingle; and only if the sum, and what the two may
+    share in other cells, is as much as is asked for.
     """
-    labels = groups.select("id", F.col("component").alias("group_id"))
     known = hubs.select(F.col("b").alias("id"), F.col("a").alias("hub"), "far")
-    labelled = found.join(labels, "id", "left").join(known, "id", "left")
-    labelled = labelled.withColumn("group_id", F.coalesce("group_id", "id"))
-    sums = labelled.groupBy("shingle", "group_id").agg(F.count("*").alias("n_own"))
-    several = sums.groupBy("shingle").agg(
-        F.count("*").alias("n_groups"), F.max_by("group_id", F.struct("n_own", "group_id")).alias("main")
+    labelled = _in_groups(found, groups).join(known, "id", "left")
+    open_ = shared_table(
+        labelled.join(shared_table(_main_groups(labelled)), "shingle").select(
+            "main", "shingle", "id", "n", "matches", "place", "group_id",
+            F.coalesce("hub", "id").alias("hub"), F.coalesce("far", F.lit(float("nan"))).alias("far"),
+        )
+    )
+    own = open_.groupBy("main", "id").agg(F.count("*").alias("here"), F.max(F.col("group_id") != F.col("main")).alias("outside"))
+    own = shared_table(own)
+    whole = shared_table(own.groupBy("id").agg(F.sum("here").alias("all")))
+    sizes = own.groupBy("main").agg(F.count_if("outside").alias("x"), F.count("*").alias("y"))
+    blocks = [F.ceil(F.col(side) / COUNT_BLOCK).cast("int").alias(f"{side}_blocks") for side in "xy"]
+    sizes = shared_table(sizes.select("main", *blocks))
+    placed = own.join(sizes, "main").join(whole, "id")
+    own_block = [F.pmod(F.xxhash64("id"), f"{side}_blocks").cast("int").alias(f"{side}_own") for side in "xy"]
+    placed = shared_table(
+        placed.select("main", "id", "outside", (F.col("all") - F.col("here")).alias("others"), "x_blocks", "y_blocks", *own_block)
     )
-    open_ = labelled.join(shared_table(several.where("n_groups > 1").select("shingle", "main")), "shingle")
-    names = ("id", "n", "matches", "place", "group_id", "main", "hub", "far")
-    x = open_.where("group_id <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in names])
-    y = open_.select("shingle", *[F.col(c).alias(f"y_{c}") for c in names])
-    both = F.col("x_n") + F.col("y_n")
+    rows = open_.join(placed, ["main", "id"])
+
+    def every(side: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(f"{side}_blocks") - 1))
+
+    kept = ["main", "shingle", "id", "n", "matches", "place", "group_id", "hub", "far", "others"]
+    x = rows.where("outside").select(*kept, F.lit(True).alias("first"), F.col("x_own").alias("low"), every("y").alias("high"))
+    y = rows.select(*kept, F.lit(False).alias("first"), F.col("y_own").alias("high"), every("x").alias("low"))
+    cell = ["main", "low", "high"]
+    dealt = x.unionByName(y).repartition(*cell).sortWithinPartitions(*cell)
+    counts = _counted(dealt).groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), F.min("asked").alias("asked"), F.min("main").alias("cluster")
+    )
+    return counts.where("shared >= asked").select("cluster", "a", "b")
+
+
+def _counted(cells: DataFrame) -> DataFrame:
+    """``main, a, b, shared, asked``: matches of the pairs of each cell, whose rows adjoin."""
+    schema = "main bigint, a bigint, b bigint, shared bigint, asked bigint"
+    ship_package(cells.sparkSession)
+    arrow = arrow_schema(cells.sparkSession, schema)
+    names = cells.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_stores()
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            new = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in names}
+            held = {name: np.concatenate([held[name], new[name]]) if held else new[name] for name in names}
+            changes = np.any([np.diff(held[name]) != 0 for name in ("main", "low", "high")], axis=0)
+            if changes.any():
+                cut = int(np.flatnonzero(changes)[-1]) + 1
+                yield to_batch(count_matches({name: column[:cut] for name, column in held.items()}), arrow)
+                held = {name: column[cut:] for name, column in held.items()}
+        if held:
+            yield to_batch(count_matches(held), arrow)
+
+    return cells.mapInArrow(run, schema)
+
+
+def count_matches(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Matches that count of each pair of whole cells; of pairs that cannot reach what is asked of them, none."""
+    changes = np.any([np.diff(rows[name], prepend=rows[name][:1]) != 0 for name in ("main", "low", "high")], axis=0)
+    cell = np.cumsum(changes)
+    ids, number = np.unique(rows["id"], return_inverse=True)
+    # Rows of one shingle of one cell have one number.
+    order = np.lexsort([rows["shingle"], cell])
+    steps = (np.diff(rows["shingle"][order]) != 0) | (np.diff(cell[order]) != 0)
+    met = np.empty(len(order), np.int64)
+    met[order] = np.concatenate([[0], np.cumsum(steps)]) if len(order) else []
+    left, right = np.flatnonzero(rows["first"]), np.flatnonzero(~rows["first"])
+    right = right[np.argsort(met[right], kind="stable")]
+    begin, end = (np.searchsorted(met[right], met[left], side) for side in ("left", "right"))
+    sizes = end - begin
+    keys, sums, asks = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    upto = np.cumsum(sizes)
+    at = 0
+    while at < len(left):
+        # So many rows that they meet about ``HELD_MEETINGS`` others, one at least.
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + HELD_MEETINGS)))
+        x = np.repeat(left[at:stop], sizes[at:stop])
+        offset = np.arange(len(x)) - np.repeat(np.cumsum(sizes[at:stop]) - sizes[at:stop], sizes[at:stop])
+        y = right[np.repeat(begin[at:stop], sizes[at:stop]) + offset]
+        x, y, asked = _counting(rows, x, y)
+        found, place, n = np.unique((cell[x] * len(ids) + number[x]) * len(ids) + number[y], return_index=True, return_counts=True)
+        keys.append(found)
+        sums.append(n)
+        asks.append(asked[place])
+        at = stop
+    key, place, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    shared = np.bincount(which, np.concatenate(sums), len(key)).astype(np.int64)
+    asked = np.concatenate(asks)[place]
+    both, other = np.divmod(key, max(len(ids), 1))
+    where, one = np.divmod(both, max(len(ids), 1))
+    # What else a class has in other cells is the same in all rows of it in a cell.
+    classes, row = np.unique(cell * len(ids) + number, return_index=True)
+    rest = [rows["others"][row[np.searchsorted(classes, where * len(ids) + end)]] for end in (one, other)]
+    enough = shared + np.minimum(*rest) >= asked
+    a, b = ids[one[enough]], ids[other[enough]]
+    main = rows["main"][np.searchsorted(cell, where[enough])]
+    return {"main": main, "a": np.minimum(a, b), "b": np.maximum(a, b), "shared": shared[enough], "asked": asked[enough]}
+
+
+def _counting(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The meetings of rows ``x`` and ``y`` that count as matches, and how many are asked of their pair."""
+    once = rows["group_id"][x] != rows["group_id"][y]
+    once &= (rows["group_id"][y] == rows["main"][y]) | (rows["id"][x] < rows["id"][y])
+    x, y = x[once], y[once]
+    x_n, y_n = rows["n"][x], rows["n"][y]
+    least = np.minimum(x_n, y_n)
     # Linked sets share so many; what a prefix leaves out of its set is the most that they share beyond it.
-    overlap = F.ceil(NUMERATOR * both / (NUMERATOR + DENOMINATOR))
-    beyond = F.greatest(*[F.ceil(NUMERATOR * F.col(f"{s}_n") / DENOMINATOR) - F.col(f"{s}_matches") for s in "xy"])
-    asked = F.greatest(F.least("x_matches", "y_matches"), overlap - beyond)
+    overlap = -(-NUMERATOR * (x_n + y_n) // (NUMERATOR + DENOMINATOR))
+    beyond = np.maximum(*[-(-NUMERATOR * n // DENOMINATOR) - rows["matches"][z] for n, z in ((x_n, x), (y_n, y))])
+    asked = np.maximum(np.minimum(rows["matches"][x], rows["matches"][y]), overlap - beyond)
     # Fewer are asked for where many would let late matches count, which large groups have many of.
-    asked = F.least(asked, EARLY_MATCHES + F.floor(F.least("x_n", "y_n") / EARLY_SHARE))
+    asked = np.minimum(asked, EARLY_MATCHES + least // EARLY_SHARE)
     # The k-th match leaves at most this many shingles and the k - 1 before it.
-    still = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) + asked - 1
-    once = (F.col("y_group_id") == F.col("y_main")) | (F.col("x_id") < F.col("y_id"))
-    close = F.abs(F.col("x_far") - F.col("y_far")) <= 1 - NUMERATOR / DENOMINATOR + ROUNDING
-    close = F.coalesce((F.col("x_hub") != F.col("y_hub")) | close, F.lit(True))
-    new = ~F.col("x_hub").eqNullSafe(F.col("y_id")) & ~F.col("y_hub").eqNullSafe(F.col("x_id"))
-    met = x.join(y, "shingle").where(
-        (F.col("x_group_id") != F.col("y_group_id"))
-        & once & close & new & F.expr(linkable("x_n", "y_n")) & (still >= overlap)
-    )
-    pairs = met.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
-        F.count("*").alias("shared"), F.min(asked).alias("asked"), F.min("x_main").alias("cluster")
-    )
-    return pairs.where("shared >= asked").select("cluster", "a", "b")
+    still = np.minimum(x_n - rows["place"][x], y_n - rows["place"][y]) + asked - 1
+    counts = (still >= overlap) & (DENOMINATOR * least >= NUMERATOR * np.maximum(x_n, y_n))
+    # Comparisons with a distance that is not known are false.
+    far = np.abs(rows["far"][x] - rows["far"][y]) > 1 - NUMERATOR / DENOMINATOR + ROUNDING
+    counts &= ~(far & (rows["hub"][x] == rows["hub"][y]))
+    counts &= (rows["hub"][x] != rows["id"][y]) & (rows["hub"][y] != rows["id"][x])
+    return x[counts], y[counts], asked[counts]
 
 
 def verified(pairs: DataFrame, texts: DataFrame, repeated: bool = False) -> DataFrame:
@@ -262,7 +399,7 @@ def verified(pairs: DataFrame, texts: DataFrame, repeated: bool = False) -> Data
         names = ("a", "b", "linked", "far")
         yield {name: [row[place] for row in found] for place, name in enumerate(names)}
 
-    return map_rows(near, rows, "a bigint, b bigint, linked boolean, far double")
+    return map_rows(near, rows, "a bigint, b bigint, linked boolean, far double", BYTES_AT_ONCE, _KEPT)
 
 
 def once_a_task(rows_: DataFrame) -> DataFrame:
@@ -278,7 +415,8 @@ def once_a_task(rows_: DataFrame) -> DataFrame:
                 new.append(place)
         yield {name: [column[place] for place in new] for name, column in batch.items()}
 
-    return map_rows(rows_, rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows_.schema))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows_.schema)
+    return map_rows(rows_, rows, schema, BYTES_AT_ONCE, _KEPT)
 
 
 def overlap(first: np.ndarray, second: np.ndarray) -> tuple[int, int]:

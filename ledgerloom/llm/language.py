@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.words import map_rows
+from ledgerloom.llm.words import BYTES_AT_ONCE, map_rows
 
 #: Characters of labelled text that a language's automaton is built over, at most.
 SAMPLE_CHARS = 30_000
@@ -53,7 +53,13 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 
 def letters_only(text: str) -> str:
     """Lower case, with one space for each run of what is no letter; empty without a letter."""
-    found = _OTHER.sub(" ", text.lower()).strip()
+    found = _OTHER.sub(" ", text.lower())
+    if not found.isascii():
+        # Numbers that are no decimal digits, and marks, are word characters of the pattern, but no letters.
+        odd = {char for char in set(found) if not char.isalpha()} - {" "}
+        if odd:
+            found = found.translate(dict.fromkeys(map(ord, odd), " "))
+    found = " ".join(found.split())
     return f" {found} " if found else ""
 
 
@@ -188,11 +194,13 @@ def judged(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     ``und`` with score 0; so is every text if nothing was learned.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    frame = documents.select(*keep, F.col("text").alias(_TEXT))
+    # A text that is kept anyway is sent once.
+    source = "text" if "text" in keep else _TEXT
+    frame = documents.select(*keep, *([] if "text" in keep else [F.col("text").alias(_TEXT)]))
 
     def blocks(batch: dict[str, list]):
         texts, begin, held = [], 0, 0
-        for text in batch[_TEXT]:
+        for text in batch[source]:
             texts.append(shared.value.codes(letters_only(text or "")))
             held += len(texts[-1])
             if held >= BLOCK:
@@ -222,7 +230,7 @@ def judged(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema]
     found = [f"{_PRED} string", f"{_SCORE} double", f"{_LETTERS} bigint", f"{_PHRASE} double"]
-    return map_rows(frame, blocks, ", ".join(kept + found))
+    return map_rows(frame, blocks, ", ".join(kept + found), BYTES_AT_ONCE, stores=())
 
 
 def learn_outside_fold(documents: DataFrame, folds: int = FOLDS) -> Model:

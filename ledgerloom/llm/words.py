@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 from typing import Any
 
@@ -22,17 +22,32 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words whose hash a worker keeps; beyond it the store starts anew.
 KEPT_WORDS = 400_000
+#: Bytes of a batch of texts that are turned into Python lists at once.
+BYTES_AT_ONCE = 8 << 20
 #: Odd factor of the rolling combination of word hashes.
 _FACTOR = 0x9E3779B97F4A7C15
 
 
+#: The stores of this worker, by what they hold.
+_STORES: dict[str, list[WordStore]] = {}
+
+
+def empty_stores(kept: Sequence[str] = ()) -> None:
+    """Give up what a worker holds from work of another kind, but for the stores named in ``kept``."""
+    for name, stores in _STORES.items():
+        if name not in kept:
+            for store in stores:
+                store.clear()
+
+
 class WordStore(dict):
     """Value per word, computed once; emptied when ``limit`` words are held."""
 
-    def __init__(self, value: Callable[[bytes], Any], limit: int = KEPT_WORDS) -> None:
+    def __init__(self, value: Callable[[bytes], Any], limit: int = KEPT_WORDS, name: str = "tokens") -> None:
         super().__init__()
         self._value = value
         self._limit = limit
+        _STORES.setdefault(name, []).append(self)
 
     def __missing__(self, word: bytes) -> Any:
         if len(self) >= self._limit:
@@ -42,7 +57,7 @@ class WordStore(dict):
 
 
 #: One per Python worker, which Spark reuses from task to task.
-_HASHES = WordStore(xxhash.xxh3_64_intdigest)
+_HASHES = WordStore(xxhash.xxh3_64_intdigest, name="hashes")
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -110,23 +125,40 @@ def map_rows(
     frame: DataFrame,
     rows: Callable[[dict[str, list]], Iterable[dict[str, Any]]],
     schema: str,
+    at_once: int | None = None,
+    stores: Sequence[str] | None = None,
 ) -> DataFrame:
     """``mapInArrow`` for a function from the lists of one batch to column arrays.
 
     ``rows`` gets a dict of Python lists and yields dicts of equally long
-    columns, so a large batch may answer in several small ones.
+    columns, so a large batch may answer in several small ones. With ``at_once`` it
+    gets parts of a batch of about so many bytes, one row at least. ``stores`` names
+    the word stores that the work uses; the worker empties the others first.
     """
     ship_package(frame.sparkSession)
     arrow = arrow_schema(frame.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if stores is not None:
+            empty_stores(stores)
         for batch in batches:
-            for found in rows(batch.to_pydict()):
-                yield to_batch(found, arrow)
+            for part in parted(batch, at_once) if at_once else [batch]:
+                for found in rows(part.to_pydict()):
+                    yield to_batch(found, arrow)
 
     return frame.mapInArrow(run, schema)
 
 
+def parted(batch: pa.RecordBatch, at_once: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``at_once`` bytes, or of one row."""
+    if batch.num_rows < 2 or batch.nbytes <= at_once:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from parted(batch.slice(0, half), at_once)
+        yield from parted(batch.slice(half), at_once)
+
+
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     """Arrow form of a schema given as text."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -750,3 +750,105 @@ def test_sha_of_the_query_is_that_of_the_kept_words(spark):
     kept = dict(zip([row["doc_id"] for row in texts_], brute_kept([row["text"] for row in texts_]), strict=True))
     for row in rows:
         assert row["kept_sha256"] == hashlib.sha256(kept[row["doc_id"]].encode()).hexdigest()
+
+
+def test_matches_of_cells_are_those_counted_one_by_one():
+    """Also where few meetings are held at once, and where a pair has matches in several cells."""
+    draw = np.random.default_rng(7)
+    size, classes = 4000, 60
+    n = draw.integers(20, 60, classes)
+    matches, group = draw.integers(1, 5, classes), draw.integers(0, 40, classes)
+    hub, far = draw.integers(0, 5, classes), draw.random(classes)
+    far[draw.random(classes) < 0.3] = np.nan
+    postings = {(int(main), int(shingle), int(own)) for main, shingle, own in draw.integers(0, [3, 12, classes], (size, 3))}
+    place = {row: int(draw.integers(0, 8)) for row in postings}
+    all_of = Counter(own for _, _, own in postings)
+    here = Counter((main, own) for main, _, own in postings)
+    rows = []
+    for main, shingle, own in postings:
+        fixed = (shingle, own, n[own], matches[own], place[main, shingle, own], group[own], hub[own], far[own], all_of[own] - here[main, own])
+        for first in {group[own] != main, False}:
+            rows.append((main, 0, 0, bool(first), *fixed))
+    rows.sort(key=lambda row: row[0])
+    names = ["main", "low", "high", "first", "shingle", "id", "n", "matches", "place", "group_id", "hub", "far", "others"]
+    columns = {name: np.array([row[at] for row in rows]) for at, name in enumerate(names)}
+    slow, asks, limits = Counter(), {}, {}
+    for main, shingle, x in postings:
+        for other_main, other_shingle, y in postings:
+            if (main, shingle) != (other_main, other_shingle) or group[x] == main or group[x] == group[y]:
+                continue
+            both, least = n[x] + n[y], min(n[x], n[y])
+            overlap = -(-75 * both // 175)
+            beyond = max(-(-75 * n[z] // 100) - matches[z] for z in (x, y))
+            asked = min(max(min(matches[x], matches[y]), overlap - beyond), 4 + least // 20)
+            still = min(n[z] - place[main, shingle, z] for z in (x, y)) + asked - 1
+            apart = hub[x] == hub[y] and abs(far[x] - far[y]) > 0.25 + 1e-9
+            if (group[y] == main or x < y) and still >= overlap and 100 * least >= 75 * max(n[x], n[y]) and not apart and hub[x] != y and hub[y] != x:
+                key = (main, min(x, y), max(x, y))
+                slow[key] += 1
+                asks[key] = asked
+                limits[key] = min(all_of[z] - here[main, z] for z in (x, y))
+    expected = {(*key, count, asks[key]) for key, count in slow.items() if count + limits[key] >= asks[key]}
+    assert len(expected) > 20
+    for held in (1, 50, 400_000):
+        jaccard.HELD_MEETINGS, kept = held, jaccard.HELD_MEETINGS
+        try:
+            found = jaccard.count_matches(columns)
+        finally:
+            jaccard.HELD_MEETINGS = kept
+        assert set(zip(*(found[name].tolist() for name in ("main", "a", "b", "shared", "asked")), strict=True)) == expected
+
+
+def test_near_duplicates_in_a_group_of_many_blocks(spark, monkeypatch):
+    """Copies of one text with so many changes that most are not linked to the middle one."""
+    monkeypatch.setattr(jaccard, "COUNT_BLOCK", 16)
+    draw = random.Random(9)
+    base = passage(20, 150)
+    rows = []
+    for doc in range(260):
+        own = list(base)
+        for _ in range(draw.randrange(1, 11)):
+            own[draw.randrange(150)] = f"n{draw.randrange(10**6)}"
+        rows.append((doc, " ".join(own)))
+    sets = [{tuple(text.split()[at : at + 5]) for at in range(146)} for _, text in rows]
+    least = list(range(260))
+    for a in range(260):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((least[a], least[b]))
+                least = [low if own == high else own for own in least]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    found = {row["doc_id"]: row["component_id"] for row in jaccard.near_duplicates(frame).collect()}
+    assert found == dict(enumerate(least))
+    assert len(set(least)) > 5
+
+
+def test_numbers_that_are_no_letters_are_undetermined(spark):
+    assert language.letters_only("½ ² ³ Ⅷ ① 12 _") == ""
+    assert language.letters_only("a²b Ünï 東京 x_y 3z") == " a b ünï 東京 x y z "
+    rows = [(n, "plain words of one tongue", "en") for n in range(1, 20)] + [(50, "½ ² ³ Ⅷ ①", None), (51, "٣ ٤ ५", None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {row["doc_id"]: (row["lang_pred"], row["score"]) for row in language.identify_languages(frame).collect()}
+    assert found[50] == found[51] == ("und", 0.0)
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from ledgerloom.llm import words
+
+    batch = pa.RecordBatch.from_pydict({"text": [b"x" * n for n in (10, 5000, 3, 0, 200_000, 7, 7)]})
+    parts = list(words.parted(batch, 1000))
+    assert sum((part.column("text").to_pylist() for part in parts), []) == batch.column("text").to_pylist()
+    assert all(part.num_rows == 1 or part.nbytes <= 1000 for part in parts)
+    assert list(words.parted(batch, 10**6)) == [batch]
+
+
+def test_stores_of_other_work_are_emptied():
+    from ledgerloom.llm import words
+
+    words.word_hashes([b"one", b"two"])
+    words.empty_stores(("hashes",))
+    assert len(words._HASHES) >= 2
+    words.empty_stores()
+    assert len(words._HASHES) == 0
