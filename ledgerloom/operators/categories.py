@@ -114,11 +114,12 @@ def string_index(
 ) -> DataFrame:
     """``df`` plus the category's rank as double; NULL for NULL or for an unranked category.
 
-    A small rank table is broadcast. Beyond ``broadcast_bytes`` the rows are
-    shuffled to the ranks, once and from one scan. Categories that alone would
-    fill a shuffle partition are counted on ``df`` itself, so there are fewer of
-    them than partitions; they, ranked or not, are looked up by digest in a
-    broadcast and, like NULLs, spread over all partitions.
+    A small rank table is broadcast. Beyond ``broadcast_bytes`` categories that
+    alone would fill a shuffle partition are counted on ``df`` itself, so there are
+    fewer of them than partitions; they, ranked or not, are looked up by digest in
+    a broadcast, and their rows, like those of NULL, are not shuffled. The other
+    rows, in a scan of their own, are shuffled to the ranks. So ``df`` must give the
+    same rows each time it is read.
     """
     output = output or f"{column}_idx"
     if output in df.columns:
@@ -141,17 +142,11 @@ def string_index(
     )
     marked = keyed.join(F.broadcast(hot), ["_rank_first", "_rank_second"], "left")
     settled = F.col("_rank_hot").isNotNull() | F.col(quote(column)).isNull()
-    # Settled rows get no value to join on, and a number of their own, which spreads them.
-    ready = marked.withColumns(
-        {
-            "_rank_key": F.when(~settled, F.col(quote(column))),
-            "_rank_spread": F.when(settled, F.monotonically_increasing_id()).otherwise(F.col("_rank_first")),
-        }
-    )
-    table = lookup.withColumn("_rank_at", _digest("_rank_value")[0])
-    same = (F.col("_rank_key") == F.col("_rank_value")) & (F.col("_rank_spread") == F.col("_rank_at"))
-    joined = ready.join(table, same, "left")
-    return joined.select(*columns, F.coalesce("_rank_hot_idx", "_rank_idx").alias(output))
+    # Settled rows stay where they are; the others are read once more, and no value is frequent among them.
+    done = marked.where(settled).select(*columns, F.col("_rank_hot_idx").alias(output))
+    same = F.col(quote(column)) == F.col("_rank_value")
+    rest = marked.where(~settled).join(lookup, same, "left")
+    return done.unionByName(rest.select(*columns, F.col("_rank_idx").alias(output)))
 
 
 def _hot_values(df: DataFrame, column: str) -> DataFrame:

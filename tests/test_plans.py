@@ -76,8 +76,11 @@ def test_small_ranks_are_broadcast(plans):
     assert "SortMergeJoin" not in plans["string_index"]
 
 
-def test_large_ranks_are_joined_in_one_scan(no_auto_broadcast):
-    plan = _plan(QUERIES["string_index_shuffled"](no_auto_broadcast, SF_DIR))
-    rows, hot = plan.split("BroadcastExchange", 1)
-    assert rows.count("SortMergeJoin") == 1
-    assert "Union" not in plan
+@pytest.mark.parametrize("name", ["string_index_shuffled", "string_index_skewed"])
+def test_settled_rows_are_not_shuffled_to_large_ranks(no_auto_broadcast, name):
+    plan = _plan(QUERIES[name](no_auto_broadcast, SF_DIR))
+    settled = plan.split("Union", 1)[1].split("BroadcastExchange", 1)[0]
+    assert "FileScan parquet" in settled and "BroadcastHashJoin" in settled
+    assert "Exchange" not in settled and "SortMergeJoin" not in settled
+    rest = plan.split("Union", 1)[1].split("\n   +- ", 1)[1]
+    assert rest.split("BroadcastExchange", 1)[0].count("SortMergeJoin") == 1
