@@ -34,6 +34,7 @@ from ledgerloom.llm.words import (
     list_array,
     map_rows,
     parted,
+    shielded,
     ship_package,
     text_bytes,
     to_batch,
@@ -483,8 +484,10 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
     Rows are linked each by its own text, whatever its id. Of a group the row with the
     least id stays, null last, of one id that with the least hash of the
-    text, and of rows alike in id and text one. Rows without words stay.
+    text, and of rows alike in id and text one. Rows without words stay. An empty
+    table gives no row; other columns, of any name, are kept as they are.
     """
+    documents, renamed = shielded(documents, ("doc_id", "text"))
     named = documents.select(row_key().alias("doc_id"), F.col("doc_id").alias("origin"), "text")
     found = labelled(named, ["origin"]).where("n_shingles > 0")
     keys = found.groupBy("component_id", "origin", F.col("doc_id").alias("key")).agg(F.count("*").alias("n"))
@@ -500,9 +503,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     result = documents.join(changed, here, "left_anti")
     repeated = changed.where("_once")
     if repeated.isEmpty():
-        return result
+        return renamed(result)
     # Equal rows meet as one row for each task.
     columns = [F.col(f"`{name}`") for name in documents.columns]
     rows = documents.join(repeated, here).groupBy("_copy_id", "_copy_key")
     first = rows.agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")).select("_row.*")
-    return result.unionByName(first)
+    return renamed(result.unionByName(first))

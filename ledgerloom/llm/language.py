@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.words import BYTES_AT_ONCE, map_rows
+from ledgerloom.llm.words import BYTES_AT_ONCE, map_rows, shielded
 
 #: Characters of labelled text that a language's automaton is built over, at most.
 SAMPLE_CHARS = 30_000
@@ -41,7 +41,7 @@ BLOCK = 4_000_000
 LEAST_PHRASE = 2.0
 #: Whatever was learned, a text with shorter phrases is in none: nearly every character is a phrase by itself.
 SHORTEST_PHRASE = 1.1
-#: Names that clash with no column of the documents.
+#: Names of columns that are added.
 _TEXT, _PRED, _SCORE, _LETTERS, _PHRASE = (f"_language_{n}" for n in ("text", "pred", "score", "letters", "phrase"))
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -164,18 +164,21 @@ def learn(
 
     Of each language, the ``sample_documents`` ids with the smallest hash are
     picked, and their texts taken in that order until they have ``sample_chars``
-    letters and spaces. That bounds what reaches the driver for each language.
+    letters and spaces. An id that comes with several languages is of the first
+    one, and one with several texts has the least of them. So what reaches the
+    driver is bounded for each language, however often an id is repeated.
     """
     first = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    keys = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
-    picked = keys.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample_documents)
+    ids = labelled.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("draw", F.xxhash64("doc_id"))
+    picked = ids.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample_documents)
     # A language at most `sample_documents` rows, each of at most `sample_chars` characters.
     rows = (
-        labelled.select("doc_id", F.substring("text", 1, sample_chars).alias("text"))
-        .join(F.broadcast(picked.dropDuplicates(["doc_id"])), "doc_id")
-        .select("lang", "place", "text")
+        labelled.select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text"))
+        .join(F.broadcast(picked.select("doc_id", "lang", "place")), ["doc_id", "lang"])
+        .groupBy("lang", "place")
+        .agg(F.min("text").alias("text"))
         .toPandas()
-        .sort_values(["lang", "place", "text"])
+        .sort_values(["lang", "place"])
     )
     texts: dict[str, str] = {}
     for lang, text in zip(rows["lang"], rows["text"], strict=True):
@@ -263,8 +266,11 @@ def in_known_language(documents: DataFrame, folds: int = FOLDS, least_phrase: fl
     Rejected are texts without a letter, and those that even in the best
     language fall into phrases of under ``least_phrase`` characters on average,
     as text in another script does. That is for a language learned from
-    ``SAMPLE_CHARS`` characters, and less for one learned from fewer.
+    ``SAMPLE_CHARS`` characters, and less for one learned from fewer. A null or empty
+    text is rejected; repeated rows have the same answer; an empty table gives no
+    row; other columns, of any name, are kept as they are.
     """
+    documents, named = shielded(documents, ("doc_id", "text", "lang"))
     model = learn_outside_fold(documents, folds)
     found = judged(documents, model, documents.columns)
     least = F.lit(least_phrase)
@@ -272,4 +278,4 @@ def in_known_language(documents: DataFrame, folds: int = FOLDS, least_phrase: fl
         own = max(least_phrase * rate / math.log2(SAMPLE_CHARS), min(least_phrase, SHORTEST_PHRASE))
         least = F.when(F.col(_PRED) == name, own).otherwise(least)
     known = (F.col(_PRED) != UNDETERMINED) & (F.col(_PHRASE) >= least)
-    return found.where(known).select(*documents.columns)
+    return named(found.where(known))

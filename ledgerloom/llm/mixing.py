@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.words import map_rows, text_bytes
+from ledgerloom.llm.words import map_rows, shielded, text_bytes
 from ledgerloom.session import shared_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -188,8 +188,11 @@ def repeated(
 
     Rows alike in id, source and text share a draw, and what is taken of them
     is dealt out evenly among them. They are ranked within the partitions that
-    they are read in, and the partitions by their counts.
+    they are read in, and the partitions by their counts. A null or empty text has
+    no size and is not taken; a null source is one of its own; an empty table gives
+    no row; other columns, of any name, are kept as they are.
     """
+    documents, named = shielded(documents, ("doc_id", "text", "source"))
     mixed = mix(documents, weights, most_epochs, seed).where("size > 0")
     times = mixed.groupBy(F.col("draw").alias("_mix_draw")).agg(
         F.sum(F.col("taken") / F.col("size")).cast("long").alias("_mix_times"), F.count("*").alias("_mix_count")
@@ -203,6 +206,4 @@ def repeated(
     each = F.floor(F.col("_mix_times") / F.col("_mix_count"))
     own = each + (F.col("_mix_rank") < F.col("_mix_times") - each * F.col("_mix_count")).cast("long")
     several = dealt.withColumn("_mix_own", own).where("_mix_own > 0")
-    return several.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_own")))).select(
-        *documents.columns
-    )
+    return named(several.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_own")))))

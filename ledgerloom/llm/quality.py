@@ -187,18 +187,19 @@ def labelled_sample(labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def fit(documents: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Trees:
-    """Trees fitted on a bounded sample of the labelled documents."""
+    """Trees fitted on a bounded sample of the labelled documents, ``most`` rows however often an id is repeated."""
     names = list(FEATURES)
 
     def rows(batch: dict[str, list]):
         found = np.array([statistics(text)[1] for text in batch["text"]]).reshape(-1, len(names))
-        yield {"quality": batch["quality"]} | {name: found[:, place] for place, name in enumerate(names)}
-
-    # The sample has at most `most` rows of two numbers, and so has what comes to the driver.
-    texts = documents.select("doc_id", text_bytes().alias("text"))
-    joined = texts.join(F.broadcast(labelled_sample(labels, most)), "doc_id").select("text", "quality")
-    schema = "quality double, " + ", ".join(f"{name} double" for name in names)
-    table = map_rows(joined, rows, schema).toPandas().sort_values(["quality", *names])
+        yield {"quality": batch["quality"], "draw": batch["draw"]} | {name: found[:, place] for place, name in enumerate(names)}
+
+    texts = documents.select("doc_id", text_bytes().alias("text"), F.xxhash64("doc_id", "text").alias("draw"))
+    joined = texts.join(F.broadcast(labelled_sample(labels, most)), "doc_id").select("text", "quality", "draw")
+    schema = "quality double, draw bigint, " + ", ".join(f"{name} double" for name in names)
+    # Rows, not ids, are counted, as a label meets every row of its id.
+    table = map_rows(joined, rows, schema).orderBy("draw", "quality", *names).limit(most).drop("draw").toPandas()
+    table = table.sort_values(["quality", *names])
     return grow(table[names].to_numpy(float), table["quality"].to_numpy(float), list(FEATURES.values()))
 
 

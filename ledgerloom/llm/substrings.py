@@ -26,6 +26,7 @@ from ledgerloom.llm.words import (
     list_array,
     map_rows,
     mixed,
+    shielded,
     text_bytes,
     window_hashes,
     word_hashes,
@@ -207,12 +208,15 @@ def dedup_substrings(documents: DataFrame) -> DataFrame:
 def without_repeats(documents: DataFrame) -> DataFrame:
     """``documents``, all rows and columns, with the kept words as ``text`` where any are removed.
 
-    ``n_chars``, if there is such a column, is the length of the new text.
+    ``n_chars``, if there is such a column, is the length of the new text. A null or
+    empty text stays as it is; repeated rows lose the same words; an empty table
+    gives no row; other columns, of any name, are kept as they are.
     """
+    documents, named = shielded(documents, ("doc_id", "text", "n_chars"))
     found = removed(documents, documents.columns)
     text = F.when(F.col("_substrings_removed") > 0, F.col("_substrings_kept").cast("string")).otherwise(F.col("text"))
     result = found.withColumn("text", text)
     if "n_chars" in documents.columns:
         length = F.when(F.col("_substrings_removed") > 0, F.length("text").cast(documents.schema["n_chars"].dataType))
         result = result.withColumn("n_chars", F.coalesce(length, "n_chars"))
-    return result.select(*documents.columns)
+    return named(result)

@@ -101,6 +101,20 @@ def text_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary")
 
 
+def shielded(documents: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``documents`` with all but the ``needed`` columns under names of no meaning, and what names them as before.
+
+    So no column that work adds meets one of the caller's, whatever that is called.
+    """
+    names = [name if name in needed else f"_column_{place}" for place, name in enumerate(documents.columns)]
+    before = list(documents.columns)
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select(*names).toDF(*before)
+
+    return documents.toDF(*names), named
+
+
 _SHIPPED: set[str] = set()
 
 

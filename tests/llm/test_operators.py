@@ -852,3 +852,30 @@ def test_stores_of_other_work_are_emptied():
     assert len(words._HASHES) >= 2
     words.empty_stores()
     assert len(words._HASHES) == 0
+
+
+def test_repeated_ids_do_not_enlarge_the_samples(spark, monkeypatch):
+    """What reaches the driver stays within the stated rows, and reruns agree."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    sizes, real = [], DataFrame.toPandas
+
+    def counted(frame):
+        found = real(frame)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(DataFrame, "toPandas", counted)
+    rows = [(7, f"the text of number {n % 50} and some words", "de" if n % 2 else "en") for n in range(3000)]
+    rows += [(n + 100, f"other words {n} of a tongue", "en") for n in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learn(frame, 5000, 10)
+    again = language.learn(frame.repartition(5), 5000, 10)
+    assert max(sizes) <= 20
+    assert model.rates.tolist() == again.rates.tolist()
+    labels = spark.createDataFrame([(7, 1), (7, 0), (100, 1), (101, 0)], "doc_id bigint, quality int")
+    sizes.clear()
+    trees = [quality.fit(own, labels, 10) for own in (frame, frame.repartition(3))]
+    assert max(sizes) <= 10
+    draw = np.random.default_rng(1).random((5, len(quality.FEATURES)))
+    assert trees[0].score(draw).tolist() == trees[1].score(draw).tolist()

@@ -108,3 +108,30 @@ def test_an_empty_corpus_passes_through(spark):
         found = stage(spark, docs, "")
         assert found.count() == 0
     assert jaccard.one_of_each(docs).count() == substrings.without_repeats(docs).count() == 0
+
+
+RESERVED = [
+    "_language_text", "_language_pred", "_language_score", "_language_phrase", "_language_letters", "_substrings_text",
+    "_substrings_id", "_substrings_key", "_substrings_spans", "_substrings_kept", "_copy_id", "_copy_key", "_once", "_row",
+    "_mix_draw", "_mix_part", "_mix_rank", "_mix_own", "_mix_copy", "_mix_times", "_mix_count", "_column_0", "origin", "a.b`c",
+]
+
+
+@pytest.mark.parametrize("place", range(4))
+def test_columns_of_any_name_are_kept_by_every_stage(spark, corpus, tmp_path, place):
+    """Null and repeated ids and rows among them, and an empty table."""
+    rows = [*corpus, corpus[3], corpus[3], (None, corpus[5][1], "en", "s1", 1), (None, None, None, None, None)]
+    wide = [(*row, *[f"{n}-{at}" for at in range(len(RESERVED))]) for n, row in enumerate(rows)]
+    extra = ", ".join(f"`{name.replace('`', '``')}` string" for name in RESERVED)
+    docs = spark.createDataFrame(wide, f"{SCHEMA}, {extra}")
+    stage = corpus_pipeline.STAGES[place][1]
+    found = stage(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    got = found.collect()
+    assert got
+    names = {row[len(SCHEMA.split(", "))].split("-")[0] for row in wide}
+    for row in got:
+        own = row[5].split("-")[0]
+        assert own in names
+        assert list(row[5:]) == [f"{own}-{at}" for at in range(len(RESERVED))]
+    assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
