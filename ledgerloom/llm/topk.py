@@ -39,7 +39,7 @@ _EXACT = float(1 << 53)
 def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id, vector``: components ``floor(scale * x)``; vectors with a null or non-finite one are left out.
 
-    So are those with a component that does not fit into 64 bits.
+    A component that does not fit into 64 bits is an error.
     """
 
     def rows(batch: dict[str, list]):
@@ -47,10 +47,15 @@ def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
         for vec_id, vector in zip(batch["vec_id"], batch["embedding"], strict=True):
             if vec_id is None or vector is None or any(x is None for x in vector):
                 continue
-            scaled = np.floor(scale * np.array(vector, np.float64))
-            if np.isfinite(scaled).all() and (np.abs(scaled) < 2.0**63).all():
-                ids.append(vec_id)
-                vectors.append(scaled.astype(np.int64))
+            plain = np.array(vector, np.float64)
+            if not np.isfinite(plain).all():
+                continue
+            with np.errstate(over="ignore"):
+                scaled = np.floor(scale * plain)
+            if not (np.abs(scaled) < 2.0**63).all():
+                raise ValueError(f"vector {vec_id}: a component does not fit into 64 bits")
+            ids.append(vec_id)
+            vectors.append(scaled.astype(np.int64))
         flat = np.concatenate(vectors) if vectors else np.empty(0, np.int64)
         yield {"vec_id": ids, "vector": list_array(flat, map(len, vectors))}
 
@@ -79,7 +84,10 @@ class SortedLists:
     def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         if self._largest * float(np.abs(query).max(initial=0)) * max(1, len(query)) < _EXACT:
             return (self._floats[rows] @ query.astype(np.float64)).astype(np.int64)
-        return (self.vectors[rows] * query).sum(1)
+        found = (self.vectors[rows].astype(object) * query.astype(object)).sum(1)
+        if any(abs(score) >> 63 for score in found):
+            raise ValueError("a score does not fit into 64 bits")
+        return found.astype(np.int64)
 
     def top(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best vectors but those of ``own_id``, ties to the smaller id."""
@@ -134,7 +142,8 @@ def exact_top(
     part, as queries or as candidates; nor do rows without an id. Of a repeated
     id every row is a candidate of other queries, and each is a query with the
     same answers, given once if the vectors are equal. An empty table gives no
-    row; other columns are not read. Scores must fit into 64 bits.
+    row; other columns are not read. A component or a score that does not fit into
+    64 bits is an error.
     """
     ship_package(embeddings.sparkSession)
     vectors = integer_vectors(embeddings, scale)

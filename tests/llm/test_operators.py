@@ -879,3 +879,16 @@ def test_repeated_ids_do_not_enlarge_the_samples(spark, monkeypatch):
     assert max(sizes) <= 10
     draw = np.random.default_rng(1).random((5, len(quality.FEATURES)))
     assert trees[0].score(draw).tolist() == trees[1].score(draw).tolist()
+
+
+def test_vectors_and_scores_beyond_64_bits_are_errors(spark):
+    def top(*vectors):
+        frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+        return [tuple(row) for row in topk.exact_top(frame, every=1).orderBy("query_id", "rank").collect()]
+
+    exact = top([2.0**32 + 1 / 256, 1.0], [2.0**10 + 1 / 256, 1.0])
+    assert exact[0] == (0, 1, 1, (2**40 + 1) * (2**18 + 1) + 65536)
+    with pytest.raises(Exception, match="component does not fit"):
+        top([1e30], [1.0])
+    with pytest.raises(Exception, match="score does not fit"):
+        top([2.0**40], [2.0**40])
