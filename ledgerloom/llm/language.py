@@ -7,9 +7,11 @@ is a phrase by itself. A language in which the text falls into few phrases is
 close to it: with ``c`` phrases in ``m`` characters and ``n`` characters of
 labelled text the cross entropy is about ``c * log2(n) / m``, and the least wins.
 
-The automata are one table from (state, character) to the next state, with a
-bit that says whether a phrase ended. Segments of texts, one for each language,
-step through it side by side.
+The automata are one array from (state, character) to the next state, with a
+bit that says whether a phrase ended, in which each state has room for the
+characters it knows alone. Segments of texts, one for each language, step
+through it side by side, and what a phrase has matched is carried over from one
+to the next.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ SAMPLE_CHARS = 30_000
 SAMPLE_DOCUMENTS = 100
 FOLDS = 5
 UNDETERMINED = "und"
-#: Characters of a text that are parsed in one go; a phrase ends where a segment does.
+#: Characters of a text that are parsed in one go; phrases go on from one segment to the next.
 SEGMENT = 4096
+#: Slots tried for a row, beyond which the search for later ones begins where it found room.
+SLOT_TRIES = 8
 #: Characters that are stepped through side by side.
 BLOCK = 4_000_000
 #: Mean characters of a phrase in the best language below which a text is in none of them, if that language was
@@ -63,9 +67,8 @@ def letters_only(text: str) -> str:
     return f" {found} " if found else ""
 
 
-def suffix_automaton(text: str, codes: dict[str, int]) -> np.ndarray:
-    """Next state for each state and character code, 0 where there is none; the start is state 1."""
-    width = len(codes) + 1
+def suffix_automaton(text: str, codes: dict[str, int]) -> list[dict[int, int]]:
+    """Next state by character code for each state; the start is state 1, and state 0 is none."""
     nexts: list[dict[int, int]] = [{}, {}]
     links, lengths = [0, 0], [0, 0]
     last = 1
@@ -93,48 +96,116 @@ def suffix_automaton(text: str, codes: dict[str, int]) -> np.ndarray:
                     at = links[at]
                 links[to] = links[new] = clone
         last = new
-    table = np.zeros((len(nexts), width), np.int32)
-    for state, found in enumerate(nexts):
-        table[state, list(found)] = list(found.values())
-    return table
+    return nexts
+
+
+class Slots:
+    """Gives each state a base such that the slots ``base + code`` of its codes are its own.
+
+    So rows of few steps lie within each other, and room is needed for the steps
+    alone, whatever the number of characters. No two states have the same base.
+    """
+
+    def __init__(self, width: int) -> None:
+        self._width = width
+        self._taken = bytearray(2 * width + 1)
+        self._bases: set[int] = set()
+        self._starts = [width, width]  # where rows of one code, and of several, are tried first
+
+    def _grown(self, size: int) -> None:
+        if size >= len(self._taken):
+            self._taken.extend(bytes(size))
+
+    def base(self, codes: list[int]) -> int:
+        least = codes[0] if codes else 0
+        several = len(codes) > 1
+        slot = self._starts[several]
+        tries = 0
+        while True:
+            slot = self._taken.find(0, slot)
+            if slot < 0:
+                slot = len(self._taken)
+            self._grown(slot + self._width + 1)
+            base = slot - least
+            if base not in self._bases and not any(self._taken[base + code] for code in codes):
+                break
+            slot += 1
+            tries += 1
+        if tries > SLOT_TRIES:
+            self._starts[several] = slot
+        self._bases.add(base)
+        for code in codes:
+            self._taken[base + code] = 1
+        return base
+
+    @property
+    def size(self) -> int:
+        return max(self._bases, default=0) + self._width + 1
 
 
 class Model:
-    """One table of steps for all languages.
+    """The steps of all languages in one array.
 
-    ``steps[base + code]`` is twice the base of the next state, plus 1 if the
-    character begins a new phrase.
+    A state is its base. ``steps[base + code]`` holds the base that owns the slot
+    in its upper half, and in its lower one twice the base of the next state. In
+    a slot of another owner there is no such step: the character begins a phrase,
+    and leads to ``begins[language, code]``, which has 1 added to say so. The start
+    owns no slot, as there every character begins a phrase.
     """
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.languages = sorted(texts)
         chars = sorted({char for text in texts.values() for char in text})
         codes = {char: place for place, char in enumerate(chars, 1)}
-        self._codes = np.zeros(max(map(ord, chars), default=0) + 2, np.uint8 if len(chars) < 256 else np.int32)
+        self._codes = np.zeros(max(map(ord, chars), default=0) + 2, np.uint16 if len(chars) < 1 << 16 else np.int32)
         for char, code in codes.items():
             self._codes[ord(char)] = code
         width = len(chars) + 1
-        tables, self.starts, size = [], [], 0
+        slots, placed = Slots(width), []
         for language in self.languages:
             nexts = suffix_automaton(texts[language], codes)
-            begin = np.where(nexts[1] > 0, nexts[1], 1)  # a character that occurs nowhere leads to the start
-            steps = np.where(nexts > 0, 2 * (size + nexts * width), 2 * (size + begin * width) + 1)
-            steps[1] = 2 * (size + begin * width) + 1  # at the start, every character begins a phrase
-            tables.append(steps.astype(np.int32).ravel())
-            self.starts.append(size + width)
-            size += nexts.size
-        if size >= 1 << 30:
+            start, nexts[1] = nexts[1], {}
+            bases = [0] * len(nexts)
+            for state in sorted(range(1, len(nexts)), key=lambda at: -len(nexts[at])):
+                bases[state] = slots.base(sorted(nexts[state]))
+            placed.append((start, nexts, bases))
+        if slots.size >= 1 << 30:
             raise ValueError("the sample is too large for one table")
-        self._steps = np.concatenate(tables) if tables else np.empty(0, np.int32)
+        self._steps = np.full(slots.size, -1, np.int64)
+        self._begins = np.zeros((len(placed), width), np.int64)
+        self.starts = np.array([bases[1] for _, _, bases in placed], np.int64)
+        for place, (start, nexts, bases) in enumerate(placed):
+            self._begins[place] = 2 * bases[1] + 1  # a character that occurs nowhere leads to the start
+            for code, to in start.items():
+                self._begins[place, code] = 2 * bases[to] + 1
+            for base, row in zip(bases, nexts, strict=True):
+                for code, to in row.items():
+                    self._steps[base + code] = base << 32 | 2 * bases[to]
         self.rates = np.array([math.log2(max(2, len(texts[language]))) for language in self.languages])
 
+    @property
+    def nbytes(self) -> int:
+        return self._steps.nbytes + self._begins.nbytes + self._codes.nbytes
+
     def codes(self, text: str) -> np.ndarray:
         """Code of each character; 0 for those no language has."""
         points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
         return self._codes[np.minimum(points, len(self._codes) - 1)]
 
+    def _step(self, state: np.ndarray, codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Twice the next state, plus 1 where the character begins a phrase and so follows ``begins``."""
+        found = self._steps.take(state + codes)
+        return np.where(found >> 32 == state, found & 0xFFFFFFFF, begins)
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Number of phrases of each text in each language."""
+        """Number of phrases of each text in each language.
+
+        Segments of a text are parsed side by side, each as if a phrase began
+        with it. One that follows another is then parsed again from the state in
+        which that ended, until both ways are in the same state, from where on
+        they are one. If they are not until its end, the next has to follow anew.
+        So the counts are those of the whole text, wherever segments end.
+        """
         cuts = [codes[at : at + SEGMENT] for codes in texts for at in range(0, len(codes), SEGMENT)]
         owner = np.repeat(np.arange(len(texts)), [-(-len(codes) // SEGMENT) for codes in texts])
         order = np.argsort([-len(cut) for cut in cuts], kind="stable")
@@ -144,16 +215,58 @@ class Model:
         for place, at in enumerate(order):
             grid[: len(cuts[at]), place] = cuts[at]
         active = len(cuts) - np.searchsorted(lengths[::-1], np.arange(longest), side="right")
-        found = np.zeros((len(self.languages), len(cuts)), np.int32)
-        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(cuts), 1)
+        found = np.zeros((len(self.languages), len(cuts)), np.int64)
+        state = np.repeat(self.starts[:, None], len(cuts), 1)
         for row, width in zip(grid, active.tolist(), strict=True):
-            step = self._steps[state[:, :width] + row[:width]]
+            codes = row[:width]
+            step = self._step(state[:, :width], codes, self._begins.take(codes, axis=1))
             found[:, :width] += step & 1
             state[:, :width] = step >> 1
+        column = np.empty(len(cuts), np.int64)
+        column[order] = np.arange(len(cuts))
+        follows = np.flatnonzero(owner[1:] == owner[:-1])
+        if len(follows):
+            self._carry(grid, lengths, column[follows], column[follows + 1], found, state)
         counts = np.zeros((len(texts), len(self.languages)), np.int64)
         np.add.at(counts, owner[order], found.T)
         return counts
 
+    def _carry(
+        self,
+        grid: np.ndarray,
+        lengths: np.ndarray,
+        before: np.ndarray,
+        after: np.ndarray,
+        found: np.ndarray,
+        ends: np.ndarray,
+    ) -> None:
+        """Correct ``found`` and ``ends`` of columns ``after``, which go on where columns ``before`` end."""
+        begun = np.repeat(self.starts[:, None], len(after), 1)
+        while True:
+            language, pair = np.nonzero(begun != ends[:, before])
+            if not len(language):
+                return
+            own, new = begun[language, pair], ends[language, before[pair]]
+            begun[language, pair] = new
+            column = after[pair]
+            for place in range(len(grid)):
+                apart = own != new
+                ended = lengths[column] <= place
+                done = apart & ended
+                ends[language[done], column[done]] = new[done]
+                going = apart & ~ended
+                if not going.all():
+                    language, column, own, new = language[going], column[going], own[going], new[going]
+                if not len(language):
+                    break
+                codes = grid[place, column]
+                begins = self._begins[language, codes]
+                own, new = self._step(own, codes, begins), self._step(new, codes, begins)
+                np.add.at(found, (language, column), (new & 1) - (own & 1))
+                own, new = own >> 1, new >> 1
+            apart = own != new
+            ends[language[apart], column[apart]] = new[apart]
+
 
 def learn(
     labelled: DataFrame,

@@ -1,6 +1,7 @@
 """Operators for training data on small tables, against brute force where there is one."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -173,12 +174,67 @@ def test_phrases_are_longest_matches():
         assert row.tolist() == [naive_phrases(text, samples[name]) for name in ("a", "b")]
 
 
-def test_long_texts_are_parsed_in_segments():
-    model = language.Model({"a": " abcab "})
-    codes = model.codes("ab" * 5000)
-    cuts = range(0, 10_000, language.SEGMENT)
-    whole = sum(naive_phrases(("ab" * 5000)[at : at + language.SEGMENT], " abcab ") for at in cuts)
-    assert model.phrases([codes])[0, 0] == whole
+@pytest.mark.parametrize("segment", [1, 2, 7, 50, language.SEGMENT])
+def test_segments_change_no_count(monkeypatch, segment):
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    draw = random.Random(segment)
+    for _ in range(20):
+        samples = {name: "".join(draw.choices("abcd", k=draw.randrange(1, 200))) for name in "xyz"}
+        model = language.Model(samples)
+        asked = ["".join(draw.choices("abcdq", k=draw.randrange(1, 300))) for _ in range(6)]
+        found = model.phrases([model.codes(text) for text in asked])
+        assert found.tolist() == [[naive_phrases(text, samples[name]) for name in "xyz"] for text in asked]
+
+
+def test_long_texts_are_parsed_whole():
+    sample = " the cat sat on the mat and ate the rat "
+    draw = random.Random(0)
+    model = language.Model({"a": sample, "b": " abcab "})
+    periodic = "ab" * 10_000  # phrases never meet those of a segment parsed from its start
+    mixed = "".join(draw.choice(["the cat ", "on the ", "q", "mat and a", "rat "]) for _ in range(4000))
+    for text in (periodic, mixed):
+        assert len(text) >= 20_000 - 2000
+        found = model.phrases([model.codes(text)])[0].tolist()
+        assert found == [naive_phrases(text, sample), naive_phrases(text, " abcab ")]
+
+
+def test_models_of_large_alphabets_are_small():
+    draw = random.Random(3)
+    chars = [chr(0x4E00 + place) for place in range(3000)]
+    weights = [1 / (place + 1) for place in range(3000)]
+    samples = {f"l{n:02d}": "".join(draw.choices(chars, weights, k=10_000)) for n in range(12)}
+    model = language.Model(samples)
+    assert model.nbytes < 40 << 20
+    text = samples["l03"][500:520] + "x" + samples["l07"][:30]
+    found = model.phrases([model.codes(text)])[0].tolist()
+    assert found == [naive_phrases(text, samples[name]) for name in model.languages]
+
+
+def test_prediction_and_score_match_brute_force(spark):
+    rows = [
+        (n, text, lang)
+        for n, (text, lang) in enumerate(
+            [("the cat sat on the mat", "en"), ("le chat est sur le tapis", "fr"), ("die katze auf der matte", "de")] * 4
+            + [("the chat", None), ("Der TAPIS, der 12!", "fr"), ("12 --", "en"), (None, "de"), ("zzz qqq", None)]
+        )
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples: dict[str, str] = {}
+    labelled = frame.where("text is not null and lang is not null").where(language.fold(F.col("doc_id")) != 0)
+    order = labelled.withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id")
+    for row in order.collect():
+        samples[row["lang"]] = samples.get(row["lang"], "") + language.letters_only(row["text"])
+    found = by_id(language.identify_languages(frame))
+    for doc_id, text, _ in rows:
+        letters = language.letters_only(text or "")
+        if not letters:
+            assert (found[doc_id]["lang_pred"], found[doc_id]["score"]) == ("und", 0)
+            continue
+        entropy = sorted(
+            (naive_phrases(letters, known) * math.log2(len(known)) / len(letters), name) for name, known in samples.items()
+        )
+        assert found[doc_id]["lang_pred"] == entropy[0][1]
+        assert found[doc_id]["score"] == pytest.approx(1 - entropy[0][0] / entropy[1][0])
 
 
 def test_language_of_held_out_documents(spark):
