@@ -121,14 +121,19 @@ def write_shards(
 
     Columns ``doc_id, copy, shard, first, n_tokens``: ``first`` counts ids of
     the shard, ``copy`` numbers rows of the same id within it. Null ids come first.
+    Rows of one id are in order of a hash of their text, and may be in several
+    shards, so that many of them, equal or not, are several tasks.
     """
     store, path = _open(folder)
     store.create_dir(path, recursive=True)
-    order = ["doc_id", "text"]
+    order = ["doc_id", "draw", "row"]
+    text = text_bytes()
     ranged = (
-        documents.select("doc_id", text_bytes().alias("text"))
-        .repartitionByRange("doc_id")
+        documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("draw"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .select("doc_id", "text")
     )
     schema = arrow_schema(documents.sparkSession, _PLACES)
 
@@ -162,12 +167,27 @@ def write_shards(
     return ranged.mapInArrow(run, _PLACES)
 
 
+def marked(places: DataFrame) -> DataFrame:
+    """``places`` with ``indexed``: whether the row is the first of a key that is not null.
+
+    A key that goes on in another shard has a row of ``copy`` 0 in each. It is
+    then the least key of the later shard and the greatest of one before.
+    """
+    bounds = places.groupBy("shard").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    before = F.max("high").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    # At most one row for each shard, of which there are as many as partitions.
+    goes_on = bounds.withColumn("before", before).where("low = before").select(F.col("shard").alias("of"), "low")
+    here = (F.col("shard") == F.col("of")) & (F.col("doc_id") == F.col("low"))
+    indexed = F.col("doc_id").isNotNull() & (F.col("copy") == 0) & F.col("low").isNull()
+    return places.join(F.broadcast(goes_on), here, "left").select(*places.columns, indexed.alias("indexed"))
+
+
 def write_index(places: DataFrame, folder: str, bucket_keys: int = BUCKET_KEYS) -> int:
     """Index files over the keys of ``places``; returns the number of buckets.
 
     Only the first row of a key is indexed, and no null key.
     """
-    keyed = places.where(F.col("doc_id").isNotNull() & (F.col("copy") == 0))
+    keyed = marked(places).where("indexed")
     buckets = max(1, math.ceil(keyed.count() / bucket_keys))
 
     def with_bucket(batch: dict[str, list]):
@@ -313,9 +333,9 @@ def write_and_read(
         .parquet(f"{folder}/shards.parquet")
         .select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("shard_start"))
     )
-    keyed = F.col("doc_id").isNotNull() & (F.col("copy") == 0)
-    by_key = locate(written.where(keyed).select("doc_id"), folder, buckets)
-    by_place = written.where(~keyed).select(*by_key.columns)
+    known = marked(written)
+    by_key = locate(known.where("indexed").select("doc_id"), folder, buckets)
+    by_place = known.where("not indexed").select(*by_key.columns)
     read = read_checks(by_key.unionByName(by_place), folder)
     # One row for each shard, and a shard holds many documents.
     return read.join(starts, "shard").select(
