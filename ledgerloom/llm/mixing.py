@@ -97,9 +97,13 @@ def exponential_key(draw: Column, quality: Column, seed: int) -> Column:
 
 
 def sorted_sums(keyed: DataFrame) -> DataFrame:
-    """Rows ranged by source and key, with the sum of sizes up to and with the row in its partition."""
-    order = [F.col("source").asc_nulls_last(), F.col("key"), F.col("draw"), F.col("doc_id")]
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Rows ranged by source and key, with the sum of sizes up to and with the row in its partition.
+
+    Equal rows are told apart by a number, so that many of them are several tasks.
+    """
+    order = [F.col("source").asc_nulls_last(), F.col("key"), F.col("draw"), F.col("doc_id"), F.col("row")]
+    numbered = keyed.withColumn("row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema)
     arrow_columns = keyed.columns
     state: dict[tuple[int, str | None], int] = {}
