@@ -19,6 +19,7 @@ Pairing shuffles hashes of lines; the pages themselves are read twice instead.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter
 
@@ -33,8 +34,9 @@ from pyspark.sql.window import Window
 from ledgerloom.llm.words import list_array, map_rows
 from ledgerloom.session import shared_table
 
-#: Rows of deleted lines that may be broadcast to the pages.
+#: Rows of deleted lines, and places in them, of 4 bytes each, that may be broadcast to the pages.
 BROADCAST_ROWS = 200_000
+BROADCAST_PLACES = 8_000_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -275,27 +277,55 @@ def _lines(tokens: list[re.Match], holding: set[int]) -> tuple[list[tuple[str, i
 
 
 def common_lines(first: list[int], second: list[int]) -> list[int]:
-    """Places in ``first`` of a longest common subsequence, found bit by bit in parallel."""
+    """Places in ``first`` of a longest common subsequence, found bit by bit in parallel.
+
+    Of ``n`` rows of bits, one for each line, every ``sqrt(n)``-th is kept, and
+    those between are found again on the way back. The bits of a line are kept
+    only if it occurs as often. So memory grows with ``n * sqrt(n)`` bits.
+    """
     known = set(second)
     places = [place for place, line in enumerate(first) if line in known]
     own = set(first)
     other = [line for line in second if line in own]
-    masks: dict[int, int] = {}
+    spots: dict[int, list[int]] = {}
     for place, line in enumerate(other):
-        masks[line] = masks.get(line, 0) | 1 << place
+        spots.setdefault(line, []).append(place)
+    often = math.isqrt(len(other)) + 1
+    stride = math.isqrt(len(places)) + 1
     everything = (1 << len(other)) - 1
-    state, states = everything, []
-    for place in places:
-        matched = state & masks[first[place]]
-        state = ((state + matched) | (state - matched)) & everything
-        states.append(state)
+
+    def bits(line: int) -> int:
+        found = bytearray(len(other) // 8 + 1)
+        for place in spots[line]:
+            found[place >> 3] |= 1 << (place & 7)
+        return int.from_bytes(found, "little")
+
+    masks = {line: bits(line) for line, found in spots.items() if len(found) >= often}
+
+    def after(state: int, line: int) -> int:
+        mask = masks.get(line)
+        matched = state & (bits(line) if mask is None else mask)
+        return ((state + matched) | (state - matched)) & everything
+
+    state, kept = everything, []
+    for row, place in enumerate(places):
+        if row % stride == 0:
+            kept.append(state)
+        state = after(state, first[place])
     shared, row, column = [], len(places), len(other)
+    # `block` holds the state before row `begin` and those after it and the next ones.
+    begin, block = len(places), [state]
     while row and column:
-        if states[row - 1] >> (column - 1) & 1:
+        if row == begin:
+            begin = (row - 1) // stride * stride
+            block = [kept[begin // stride]]
+            for place in places[begin:row]:
+                block.append(after(block[-1], first[place]))
+        if block[row - begin] >> (column - 1) & 1:
             column -= 1
             continue
         row -= 1
-        if not row or states[row - 1] >> (column - 1) & 1:
+        if not row or block[row - begin] >> (column - 1) & 1:
             shared.append(places[row])
             column -= 1
     return shared[::-1]
@@ -365,11 +395,13 @@ def line_hashes(pages: DataFrame) -> DataFrame:
 def with_neighbours(hashed: DataFrame) -> DataFrame:
     """``hashed`` with ``before`` and ``after``, structs of the pages next to it by host and path.
 
-    Pages are ranged, so that a large host is dealt out to many tasks. The two
-    pages at the ends of a range meet those of the ranges beside it.
+    Pages are ranged, so that a large host, or many equal rows, are dealt out to
+    many tasks. The two pages at the ends of a range meet those of the ranges
+    beside it.
     """
     order = ["host", "path", "page_id", "row_key"]
-    ranged = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = hashed.withColumn("row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(*order, "row").sortWithinPartitions(*order, "row").drop("row")
     state = {"place": 0}
 
     def number(batch: dict[str, list]):
@@ -426,7 +458,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             found["shared"].append(common_lines(lines, nearest["lines"]))
         yield found
 
-    near = with_neighbours(line_hashes(pages))
+    # Ranging reads its rows twice, and a page is parsed once.
+    near = with_neighbours(shared_table(line_hashes(pages)))
     return map_rows(near, rows, "page_id bigint, row_key bigint, shared array<int>")
 
 
@@ -444,7 +477,8 @@ def extract(pages: DataFrame) -> DataFrame:
     once = shared.dropDuplicates(["page_id", "row_key"]).select(
         F.col("page_id").alias("at_id"), F.col("row_key").alias("at_key"), "shared"
     )
-    if shared.count() <= BROADCAST_ROWS:
+    size = shared.select(F.count("*").alias("n"), F.sum(F.size("shared")).alias("places")).first()
+    if size["n"] <= BROADCAST_ROWS and (size["places"] or 0) <= BROADCAST_PLACES:
         once = F.broadcast(once)
     frame = pages.select("page_id", "url", "html", row_key().alias("row_key"))
     here = F.col("page_id").eqNullSafe(F.col("at_id")) & (F.col("row_key") == F.col("at_key"))
