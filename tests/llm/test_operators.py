@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -149,6 +150,15 @@ def test_quality_on_held_out_labels(spark):
     assert right.first()[0] > 0.97
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Small partitions stay apart, as large ones do."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 # --- language ----------------------------------------------------------------
 
 
@@ -319,6 +329,26 @@ def test_shards_of_repeated_and_no_rows(spark, repeated, empty):
     assert shards.write_and_read(empty, shards.new_folder(spark)).count() == 0
 
 
+def test_many_rows_of_one_id_are_many_shards(spark, uncoalesced):
+    rows = [(None, "none")] * 4000 + [(5, "same words")] * 4000 + [(n, f"text {n}") for n in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    folder = shards.new_folder(spark)
+    written = shards.shared_table(shards.write_shards(frame, folder))
+    assert written.groupBy("shard").count().agg(F.max("count")).first()[0] < 3000
+    assert written.where("doc_id = 5 and copy = 0").count() > 1
+    keyed = shards.marked(written).where("indexed")
+    assert sorted(row["doc_id"] for row in keyed.collect()) == list(range(20))
+    found = shards.write_and_read(frame, shards.new_folder(spark)).orderBy("start").collect()
+    start, ids = 0, []
+    for row in found:
+        text = {None: "none", 5: None}.get(row["doc_id"], f"text {row['doc_id']}")
+        expected = {crc([*whole_ids(t), shards.END_ID]) for t in ([text] if text else ["same words", "text 5"])}
+        assert row["start"] == start and row["ids_crc32"] in expected
+        start += row["n_tokens"]
+        ids.append(-1 if row["doc_id"] is None else row["doc_id"])
+    assert len(ids) == len(rows) and ids == sorted(ids)
+
+
 def test_perfect_hash_is_minimal():
     keys = np.random.default_rng(0).choice(1 << 40, 5000, replace=False)
     found = shards.PerfectHash.over(keys)
@@ -473,6 +503,15 @@ def test_better_documents_are_taken_more_often(spark):
     assert good > 1.1 * bad
 
 
+def test_many_equal_rows_of_the_mix_are_many_ranges(spark, uncoalesced):
+    frame = spark.createDataFrame([(1, "a b c", "s")] * 4000, "doc_id bigint, text string, source string")
+    keyed = mixing.sized(frame.repartition(8)).withColumn("key", F.lit(0.5))
+    summed = mixing.sorted_sums(keyed)
+    assert summed.groupBy("part").count().agg(F.max("count")).first()[0] < 2000
+    found = mixing.mix(frame.repartition(8)).collect()
+    assert len(found) == 4000 and sum(row["taken"] for row in found) == 12_000
+
+
 def test_mix_of_odd_rows(documents, repeated, empty):
     found = by_id(mixing.mix(documents))
     assert len(found) == 17
@@ -687,6 +726,27 @@ def test_common_lines_are_a_longest_common_subsequence():
         assert len(found) == table[-1][-1] and all(a[at] in rest for at in found)
 
 
+def test_long_pages_are_compared_in_little_memory():
+    lines = list(range(20_000))
+    tracemalloc.start()
+    assert pages.common_lines(lines, lines) == lines
+    assert len(pages.common_lines([7] * 3000, [7] * 2000)) == 2000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
+def test_many_equal_pages_are_many_ranges(spark, uncoalesced):
+    row = (None, "http://a.example/x", "<p>one</p><p>two</p>")
+    frame = spark.createDataFrame([row] * 2000, "page_id bigint, url string, html string").repartition(8)
+    placed = pages.with_neighbours(pages.line_hashes(frame))
+    assert placed.count() == 2000
+    assert placed.where("before is null").count() == placed.where("after is null").count() == 1
+    ranged = placed.withColumn("part", F.spark_partition_id()).groupBy("part").count().agg(F.max("count")).first()[0]
+    assert ranged < 1000
+    assert pages.extract(frame).groupBy("text").count().collect()[0]["count"] == 2000
+
+
 def test_lines_that_neighbours_share_are_deleted(spark):
     def page(text):
         return f"<div>Daily News</div><div>Home</div><p>{text}</p><div>Imprint</div>"
@@ -772,6 +832,42 @@ def test_tree_follows_edits(monkeypatch):
             assert tree.n_tokens == len(encode.ids(text.encode())) // 2
 
 
+def test_long_leaves_are_split_alone(monkeypatch):
+    encode = tokens.encoder()
+    tree = counting.CountTree("a word " * 3000, encode)
+    held = {id(leaf) for leaf in tree.leaves()}
+    inserted = "new words " * 1000
+    tree.apply(counting.Edit(9000, 0, inserted))
+    assert len(held - {id(leaf) for leaf in tree.leaves()}) == 1
+    assert tree.reencoded < 2 * 2000 + 2 * counting.SPLIT * counting.LEAF_CHARS
+    text = ("a word " * 3000)[:9000] + inserted + ("a word " * 3000)[9000:]
+    assert tree.text() == text and tree.n_tokens == len(encode.ids(text.encode())) // 2
+    monkeypatch.setattr(counting, "LEAF_CHARS", 4)
+    deep = counting.CountTree("", encode)
+    for _ in range(400):
+        deep.apply(counting.Edit(0, 0, "ab cd " * 8))
+    assert deep.text() == "ab cd " * 3200 and deep.n_tokens == len(encode.ids(deep.text().encode())) // 2
+    leaves = list(deep.leaves())
+    levels = []
+    for leaf in leaves:
+        levels.append(0)
+        while leaf.above:
+            leaf, levels[-1] = leaf.above, levels[-1] + 1
+    assert max(levels) <= 2 * len(leaves).bit_length() + counting.MORE_LEVELS
+
+
+def test_long_words_are_encoded_where_they_are_edited():
+    encode = tokens.encoder()
+    text = " ".join(["x" * 5000] * 40)
+    tree = counting.CountTree(text, encode)
+    for n in range(30):
+        tree.apply(counting.Edit(5001 * n + 2, 1, "y"))
+        at = 5001 * n + 2
+        text = text[:at] + "y" + text[at + 1 :]
+    assert tree.text() == text and tree.reencoded == 2 * 30
+    assert tree.n_tokens == len(encode.ids(text.encode())) // 2
+
+
 def test_edited_counts(documents, empty):
     edits = documents.sparkSession.createDataFrame(
         [(3, 2, 0, 3, "ten"), (3, 1, 0, 0, "twenty"), (0, 1, 5, 5, "new text"), (6, 1, None, None, None)],
