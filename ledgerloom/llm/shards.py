@@ -183,11 +183,11 @@ def marked(places: DataFrame) -> DataFrame:
 
 
 def write_index(places: DataFrame, folder: str, bucket_keys: int = BUCKET_KEYS) -> int:
-    """Index files over the keys of ``places``; returns the number of buckets.
+    """Index files over the keys of ``places`` that are ``indexed``; returns the number of buckets.
 
-    Only the first row of a key is indexed, and no null key.
+    Only the first row of a key is, and no null key.
     """
-    keyed = marked(places).where("indexed")
+    keyed = places.where("indexed")
     buckets = max(1, math.ceil(keyed.count() / bucket_keys))
 
     def with_bucket(batch: dict[str, list]):
@@ -323,7 +323,7 @@ def write_and_read(
     not read.
     """
     spark = documents.sparkSession
-    written = shared_table(write_shards(documents, folder, end_id, tokenizer))
+    written = shared_table(marked(shared_table(write_shards(documents, folder, end_id, tokenizer))))
     buckets = write_index(written, folder)
     shards = written.groupBy("shard").agg(F.sum("n_tokens").alias("n_ids"), F.count("*").alias("n_documents"))
     shards.write.parquet(f"{folder}/shards.parquet")
@@ -333,9 +333,8 @@ def write_and_read(
         .parquet(f"{folder}/shards.parquet")
         .select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("shard_start"))
     )
-    known = marked(written)
-    by_key = locate(known.where("indexed").select("doc_id"), folder, buckets)
-    by_place = known.where("not indexed").select(*by_key.columns)
+    by_key = locate(written.where("indexed").select("doc_id"), folder, buckets)
+    by_place = written.where("not indexed").select(*by_key.columns)
     read = read_checks(by_key.unionByName(by_place), folder)
     # One row for each shard, and a shard holds many documents.
     return read.join(starts, "shard").select(
