@@ -39,12 +39,15 @@ def text_quality(text: bytes) -> float:
 
 
 def document_draw() -> Column:
-    """Hash of a row, the same for repeated rows."""
-    return F.xxhash64("doc_id", "source", "text")
+    """Digest of id, source and text, the same for repeated rows."""
+    source = F.coalesce("source", F.lit(""))
+    size = F.coalesce(F.octet_length("source"), F.lit(-1)).cast("string")
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", doc_id, size, source, F.coalesce("text", F.lit(""))).cast("binary"))
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """``doc_id, source, size, quality, draw``: words of the whole text, its quality, a hash of row and text."""
+    """``doc_id, source, size, quality, draw``: words of the whole text, its quality, a digest of the row."""
     keys = documents.select(
         "doc_id",
         "source",
@@ -58,7 +61,7 @@ def sized(documents: DataFrame) -> DataFrame:
         batch["quality"] = [text_quality(text) for text in texts]
         yield batch
 
-    return map_rows(keys, rows, "doc_id bigint, source string, size bigint, quality double, draw bigint")
+    return map_rows(keys, rows, "doc_id bigint, source string, size bigint, quality double, draw string")
 
 
 def source_targets(
@@ -91,8 +94,8 @@ def source_targets(
 
 
 def exponential_key(draw: Column, quality: Column, seed: int) -> Column:
-    """``-ln(u) / w`` with ``u`` in (0, 1) from 52 bits of a hash."""
-    bits = F.shiftrightunsigned(F.xxhash64(draw, F.lit(seed)), 12)
+    """``-ln(u) / w`` with ``u`` in (0, 1) from 52 bits of a digest."""
+    bits = F.conv(F.substring(F.md5(F.concat(draw, F.lit(f":{seed}")).cast("binary")), 1, 13), 16, 10).cast("long")
     return -F.log((bits + 0.5) / F.lit(float(1 << 52))) / quality
 
 

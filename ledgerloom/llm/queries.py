@@ -123,6 +123,37 @@ _SUBSTRINGS = f"""
     FROM d LEFT JOIN s USING (doc_id)
 """
 
+_MIX = f"""
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text,
+                      md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(coalesce(strlen(source), -1) AS VARCHAR),
+                                    coalesce(source, ''), coalesce(text, ''))) AS draw FROM documents),
+         c AS (SELECT doc_id, source, draw, len({_WORDS.format(text="text")}) AS size,
+                      strlen(regexp_replace(text, '[\\x09-\\x0D\\x20]', '', 'g')) AS seen,
+                      strlen(regexp_replace(text, '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]', '', 'g')) AS letters,
+                      string_split(text, chr(10)) AS lines FROM d),
+         q AS (SELECT doc_id, source, draw, size,
+                      CASE WHEN seen = 0 THEN CAST(0.05 AS DOUBLE) ELSE greatest(CAST(0.05 AS DOUBLE),
+                          letters / seen * len(list_distinct(lines)) / len(lines)) END AS quality FROM c),
+         k AS (SELECT *, -ln((CAST(CAST('0x' || substr(md5(draw || ':0'), 1, 13) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE))
+                             / CAST(4503599627370496 AS DOUBLE)) / quality AS key FROM q),
+         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM k GROUP BY source),
+         w AS (SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+                      CAST(3 * source_size AS DOUBLE) AS most FROM s),
+         r AS (SELECT *, most / weight AS full_at,
+                      (sum(source_size) OVER () - coalesce(sum(most) OVER before, 0)) / sum(weight) OVER onward AS rate
+               FROM w WINDOW
+                   before AS (ORDER BY most / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   onward AS (ORDER BY most / weight, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+         t AS (SELECT source, source_size, least(most, coalesce(weight *
+                      (SELECT rate FROM r WHERE rate <= full_at ORDER BY full_at, rate LIMIT 1), most)) AS target FROM r),
+         x AS (SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY key, draw, doc_id
+                      ROWS UNBOUNDED PRECEDING) - CAST(size AS DOUBLE) / 2 AS middle FROM k)
+    SELECT x.doc_id, CAST(x.size AS BIGINT) AS size, t.source_size, t.target,
+           CAST(CASE WHEN x.size = 0 THEN 0 ELSE x.size * (floor(t.target / t.source_size) + CASE WHEN
+               x.middle <= t.target - floor(t.target / t.source_size) * t.source_size THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+    FROM x JOIN t ON x.source IS NOT DISTINCT FROM t.source
+"""
+
 _TOP = """
     WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
                FROM embeddings
@@ -219,9 +250,10 @@ def _centroid_sql(rounds: int = 5) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL; the other operators learn a model, encode tokens, draw hashes or parse HTML."""
+    """DuckDB SQL; the other operators learn a model, encode tokens, make other hashes or parse HTML."""
     return {
         "op4_substring_dedup": _SUBSTRINGS,
+        "op5_mixing": _MIX,
         "op6_exact_top": _TOP,
         "op9_near_duplicates": _NEAR,
         "op11_source_divergence": _DIVERGENCE,
