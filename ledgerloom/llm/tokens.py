@@ -26,6 +26,8 @@ _SPECIAL = "<|"
 _HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
 _BYTE_LEVEL = {byte: 0x100 + place for place, byte in enumerate(_HIDDEN)}
 _ENCODERS: dict[str, Encoder] = {}
+#: Each id as it is written.
+_WRITTEN = [number.to_bytes(2, "little") for number in range(1 << 16)]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -47,15 +49,17 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
-        self._model = self._tokenizer.model
+        self._tokenize = self._tokenizer.model.tokenize
         self._parts = WordStore(self._part)
         self._words = WordStore(self._word, 600_000)
 
     def _part(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        return np.array([token.id for token in self._model.tokenize(shown)], "<u2").tobytes()
+        return b"".join([_WRITTEN[token.id] for token in self._tokenize(shown)])
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters, which are one part
+            return self._part(word.decode("ascii").lower())
         text = word.decode("utf-8", "replace")
         if _PLAIN.fullmatch(text) and _SPECIAL not in text:
             parts = self._parts
