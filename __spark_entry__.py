@@ -85,6 +85,8 @@ TRAINING = training.TrainOptions(partitions=8)
 
 # Parts that the rows of a table are to be read in.
 JDBC_PARTS = 8
+# The largest whole number whose cube has 64 bits.
+LAST_CUBED = 2_097_151
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,9 +228,15 @@ def split_by_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items by the condition that would read them, with a key of uneven gaps, a hot value and NULLs."""
+    """Line items by the condition that would read them, with a key of uneven gaps, a hot value and NULLs.
+
+    The key is a cube. Beyond ``LAST_CUBED``, where a cube does not fit in 64 bits and SQL
+    gives none, keys go on from the last cube without gaps, so each order keeps its own.
+    """
+    beyond = f"{LAST_CUBED**3} + (l_orderkey - {LAST_CUBED})"
+    uneven = f"CASE WHEN l_orderkey > {LAST_CUBED} THEN {beyond} ELSE l_orderkey * l_orderkey * l_orderkey END"
     lines = _table(spark, sf_dir, "lineitem").selectExpr(
-        "CASE WHEN l_quantity <= 15 THEN 7 WHEN l_quantity < 50 THEN l_orderkey * l_orderkey * l_orderkey END AS k",
+        f"CASE WHEN l_quantity <= 15 THEN 7 WHEN l_quantity < 50 THEN {uneven} END AS k",
         "l_partkey AS other",
     )
     parts = plan_parts(ask_frame(lines), "k", JDBC_PARTS, spread=True)

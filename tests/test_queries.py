@@ -63,3 +63,17 @@ def test_entry_gives_one_row_of_metrics(spark):
     metrics = entry_module.entry(spark)
     assert metrics.columns == ["precision", "recall", "f1Score", "accuracy"]
     assert metrics.count() == 1
+
+
+def test_line_items_of_large_keys_are_planned_too(spark, tmp_path):
+    """Cubes of keys beyond 64 bits: the rows stay, and no part is too large."""
+    last = entry_module.LAST_CUBED
+    assert last**3 < 2**63 <= (last + 1) ** 3
+    keys = [1, 2, last - 1, last, *range(last + 1, last + 401), 9_000_000, None]
+    rows = [(key, n, float(n % 50 + 1)) for n, key in enumerate(keys)]
+    table = spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_quantity double")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = entry_module.jdbc_predicates(spark, str(tmp_path)).collect()
+    assert sum(row.n for row in found) == len(rows)
+    assert max(row.n for row in found) <= 2 * len(rows) / entry_module.JDBC_PARTS
+    assert max(row.high for row in found if row.high is not None) > last**3
