@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 from typing import Any
 
@@ -51,6 +51,9 @@ from ledgerloom.sources.outputs import (
 # Names of the metrics, as they are saved.
 METRICS = ("precision", "recall", "f1Score", "accuracy")
 
+#: Rows that one partition holds at most, about: a job of more rows has more partitions than it states.
+PARTITION_ROWS = 250_000
+
 _CHOICES = {
     "split": ("keyed", "random", "content", None),
     "stats_from": ("all", "train"),
@@ -72,7 +75,9 @@ class TrainOptions:
     in the pass that measures it.
     ``partitions``: shuffle the used columns into so many, None to leave them as
     they are. Trees depend on how rows are parted, so give a number to have the
-    same model on every cluster. ``classifier``: parameters of ``GBTClassifier``.
+    same model on every cluster. ``train`` takes more where partitions would hold over
+    ``PARTITION_ROWS`` rows; how many follows from the number of rows alone, which is
+    counted for it. ``classifier``: parameters of ``GBTClassifier``.
     """
 
     seed: int = 42
@@ -196,6 +201,11 @@ def prepared_frame(
     return with_random_bucket(labelled, options.seed) if options.reuse == "table" else labelled
 
 
+def partitions_for(rows: int, stated: int) -> int:
+    """Partitions of a job of ``rows``: as many as stated, and more where those would hold over ``PARTITION_ROWS`` each."""
+    return max(stated, -(-rows // PARTITION_ROWS))
+
+
 def split_frame(prepared: DataFrame, options: TrainOptions = TrainOptions()) -> tuple[DataFrame, DataFrame]:
     """Train and test part of a prepared frame."""
     if BUCKET in prepared.columns:
@@ -263,24 +273,38 @@ def train(
     values = source_counts(df.schema, used, features_of(fields, "DATE"))
     seen = Observation()
     observed = options.reuse == "table" and bool(values)
-    prepared = drawn = prepared_frame(df.observe(seen, *values) if observed else df, fields, options)
-    written: list[DataFrame] = [drawn] if options.split == "content" else []  # its counted rows
-    if options.reuse == "table":
-        prepared = shared_table(drawn)
-        written.append(prepared)
-    elif options.reuse == "persist":
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    source = df.observe(seen, *values) if observed else df
+    written: list[DataFrame] = []
+    kept: list[DataFrame] = []
 
     def source_values() -> Mapping[str, int]:
         return seen.get if observed else df.agg(*values).first().asDict()
 
     def release() -> None:
-        if options.reuse == "persist":
-            prepared.unpersist()
+        while kept:
+            kept.pop().unpersist()
         while written:
             drop_table(written.pop())
 
     try:
+        if options.partitions is not None:
+            if options.reuse == "table":
+                # The source is read once: its rows are counted where they are written, unless it is not as declared.
+                labelled_frame(df, fields)
+                source = shared_table(source)
+                written.append(source)
+            options = replace(options, partitions=partitions_for(source.count(), options.partitions))
+        prepared = drawn = prepared_frame(source, fields, options)
+        if options.split == "content":
+            written.append(drawn)  # its counted rows
+        if options.reuse == "table":
+            prepared = shared_table(drawn)
+            if options.partitions is not None:
+                drop_table(written.pop(0))
+            written.append(prepared)
+        elif options.reuse == "persist":
+            prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(prepared)
         train_rows, test_rows = split_frame(prepared, options)
         model = fit(prepared, train_rows, fields, options)
         written += [stage.ranks for stage in model.stages if isinstance(stage, CategoryModel)]

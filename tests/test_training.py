@@ -151,6 +151,33 @@ def test_partitions_are_those_asked_for(spark):
         assert prepared.rdd.getNumPartitions() == partitions
 
 
+@pytest.mark.parametrize(("reuse", "split"), [("persist", None), ("none", "random"), ("table", None), ("table", "content")])
+def test_partitions_follow_the_rows(spark, monkeypatch, reuse, split):
+    """No task takes a share of the rows that grows with the table."""
+    monkeypatch.setattr(training, "PARTITION_ROWS", 100)
+    asked, plain = [], training.prepared_frame
+
+    def noted(df, fields, options):
+        asked.append((options.partitions, df.inputFiles()))
+        return plain(df, fields, options)
+
+    def stop(prepared, *_):
+        assert prepared.count() > 0
+        raise InterruptedError("enough")
+
+    monkeypatch.setattr(training, "prepared_frame", noted)
+    monkeypatch.setattr(training, "fit", stop)
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    before = set(Path(training.shared_dir(spark)).glob("table-*"))
+    for rows in (250, 2150):
+        with pytest.raises(InterruptedError):
+            train(_table(spark, rows), fields, options=TrainOptions(partitions=3, reuse=reuse, split=split))
+    assert [parts for parts, _ in asked] == [3, 22]
+    # Where the source may be read once only, what is counted is the written rows.
+    assert all(bool(files) == (reuse == "table") for _, files in asked)
+    assert set(Path(training.shared_dir(spark)).glob("table-*")) == before
+
+
 def test_classifier_parameters_reach_the_saved_model(spark, tmp_path):
     fields = load_fields(dictionary_frame(spark, ATTRS))
     options = TrainOptions(classifier={"maxDepth": 2, "maxIter": 3, "seed": 9})
