@@ -21,12 +21,16 @@ from ledgerloom.functions.dates import (
     quote,
 )
 from ledgerloom.operators.ranges import fit_split_points
-from ledgerloom.plans.stages import MISSING, BucketModel, CategoryModel, MissingModel
+from ledgerloom.plans.stages import MISSING, BucketModel, CategoryModel, MissingModel, WideCategoryModel
 from ledgerloom.sources.dictionary import Field, check_schema, features_of, keys_of
 
 FEATURES = "features"
 # Date part of a missing date where rows with missing values are kept.
 MISSING_PART = -1
+#: Categories of a text column up to which each has a position of its own in the vector that trees are grown on.
+WIDE = 512
+#: Categories, the most frequent, that have one in a column of more; the others are told apart by a binary code.
+OWN = 32
 
 _CHOICES = {
     "date_parts": tuple(PART_SETS),
@@ -107,9 +111,14 @@ def feature_stages(
     statistics: DataFrame,
     train_rows: DataFrame,
     options: FeatureOptions = FeatureOptions(),
+    for_trees: bool = False,
 ) -> list[Estimator | Transformer]:
     """Stages from source columns to ``features``.
 
+    Trees hold every position of every row, zeros too, so the rows of a column with a
+    category for every so many of them would take memory and time by the square of
+    their number. ``for_trees`` gives a column of more than ``WIDE`` categories few positions:
+    one for each of the ``OWN`` most frequent, and a binary code for each of the others.
     ``statistics`` is the frame that value ranges are taken from; categories are
     those of ``train_rows``. It takes one pass for all ranges and one for all
     categories, however many columns there are. SKIP and TEXT fields add nothing.
@@ -129,6 +138,7 @@ def feature_stages(
     if doubles:
         stages.append(BucketModel(fit_split_points(statistics, doubles), keep))
     without_positions: set[str] = set()
+    wide: dict[str, int] = {}
     known: dict[str, int] = {}
     if nominals:
         categories = CategoryModel.fit_on(train_rows, nominals, keep)
@@ -138,16 +148,24 @@ def feature_stages(
         # the encoder refuses; a kept row adds a category for what is unknown.
         encoded = [name for name in nominals if categories.values_of(name) > 1]
         without_positions = {f"{name}_vec" for name in nominals if name not in encoded}
+        wide = {name: categories.values_of(name) for name in encoded if for_trees and known[name] > WIDE}
+        if wide:
+            taken = [f"{name}_{part}" for name in wide for part in ("head", "code")]
+            if twice := sorted({*taken} & {*train_rows.columns}):
+                raise ValueError(f"feature columns that would have the name of another column: {', '.join(twice)}")
+            stages.append(WideCategoryModel(wide, OWN))
         if encoded:
             stages.append(
                 OneHotEncoder(
-                    inputCols=[f"{name}_idx" for name in encoded],
+                    inputCols=[f"{name}_head" if name in wide else f"{name}_idx" for name in encoded],
                     outputCols=[f"{name}_vec" for name in encoded],
                 )
             )
     if options.handle_invalid == "skip":
         stages.append(MissingModel(doubles, dates, known))
     columns = [name for name in feature_columns(fields, options) if name not in without_positions]
+    coded = {f"{name}_vec": [f"{name}_vec", f"{name}_code"] for name in wide}
+    columns = [own for name in columns for own in coded.get(name, [name])]
     if not columns:
         raise ValueError("no field gives a feature: every text column holds one category only")
     stages.append(VectorAssembler(inputCols=columns, outputCol=FEATURES))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,6 +147,42 @@ class CategoryModel(_Stage):
         return dataset
 
 
+class WideCategoryModel(_Stage):
+    """Adds ``<c>_head`` and ``<c>_code`` for indexed columns of many categories.
+
+    ``<c>_head`` is the index of one of the ``own`` most frequent categories, or ``own``
+    for another. ``<c>_code`` is a vector that has zeros for the former, and else the
+    binary digits of the index less ``own``, counted from 1. So every category is told apart
+    from every other, and the width grows by one when their number doubles.
+    """
+
+    def __init__(self, values: Mapping[str, int], own: int) -> None:
+        super().__init__()
+        self.values = dict(values)
+        self.own = own
+
+    def spec(self) -> dict:
+        return {"values": self.values, "own": self.own}
+
+    @classmethod
+    def from_spec(cls, spec: dict, spark, path: str) -> WideCategoryModel:  # noqa: ANN001
+        return cls(spec["values"], spec["own"])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        added = {}
+        for name, values in self.values.items():
+            index, head, code = F.col(quote(f"{name}_idx")), f"{name}_head", f"{name}_code"
+            nominal = {"ml_attr": {"type": "nominal", "name": head, "num_vals": self.own + 1}}
+            added[head] = F.least(index, F.lit(float(self.own))).alias(head, metadata=nominal)
+            rest = F.greatest(index.cast("long") - (self.own - 1), F.lit(0))
+            width = (values - self.own).bit_length()
+            digits = [F.shiftright(rest, place).bitwiseAND(F.lit(1)).cast("double") for place in range(width)]
+            binary = [{"idx": place, "name": str(place), "vals": ["0", "1"]} for place in range(width)]
+            group = {"ml_attr": {"attrs": {"binary": binary}, "num_attrs": width}}
+            added[code] = array_to_vector(F.array(*digits)).alias(code, metadata=group)
+        return dataset.withColumns(added)
+
+
 class MissingModel(_Stage):
     """Adds ``MISSING``: whether a number or date is NULL or NaN, or a category NULL or unknown."""
 

@@ -225,7 +225,10 @@ def fit(
     skipped, and the model gives them a NULL prediction.
     """
     statistics = {"all": prepared, "train": train_rows}[options.stats_from]
-    built = Pipeline(stages=feature_stages(fields, statistics, train_rows, options.features)).fit(train_rows)
+    built = Pipeline(stages=feature_stages(fields, statistics, train_rows, options.features, for_trees=True)).fit(train_rows)
+    if options.partitions is not None and options.reuse == "table":
+        # A table is read in parts by its bytes, of which rows need more once they are vectors.
+        train_rows = train_rows.repartition(options.partitions)
     parameters = {"seed": options.seed, **options.classifier}
     classifier = GBTClassifier(featuresCol=FEATURES, labelCol=target_of(fields), **parameters)
     trees = classifier.fit(complete_rows(built.transform(train_rows)))

@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ledgerloom.plans import features
 from ledgerloom.plans.features import FeatureOptions, feature_columns, feature_frame, source_frame
 from ledgerloom.sources.dictionary import dictionary_frame, load_fields
 
@@ -199,3 +201,31 @@ def test_a_feature_is_needed(spark):
     fields = load_fields(dictionary_frame(spark, [ATTRS[6], ATTRS[-1]]))
     with pytest.raises(ValueError, match="no field that a feature"):
         feature_frame(spark.createDataFrame([("a", True)], "payer string, fraud boolean"), fields)
+
+
+def _kinds(spark, rows, kinds):
+    """Rows of as many categories as stated, the first of which are the most frequent."""
+    kind = F.when(F.col("id") < kinds, F.col("id")).otherwise(F.col("id") % 40)
+    table = spark.range(rows).select("id", F.format_string("c%05d", kind).alias("cur"), (F.col("id") % 2 == 0).alias("fraud"))
+    return table, load_fields(dictionary_frame(spark, [ATTRS[0], ATTRS[3], ATTRS[-1]]))
+
+
+@pytest.mark.parametrize("kinds", [features.WIDE, features.WIDE + 1, 5000])
+def test_trees_get_few_positions_and_tell_every_category_apart(spark, tmp_path, kinds):
+    table, fields = _kinds(spark, 6000, kinds)
+    options = FeatureOptions(handle_invalid="keep")
+    built = Pipeline(stages=features.feature_stages(fields, table, table, options, for_trees=True)).fit(table)
+    built.write().overwrite().save(str(tmp_path / "model"))
+    odd = table.unionByName(table.limit(1).withColumn("cur", F.lit("never seen")))
+    seen = None
+    for model in (built, PipelineModel.load(str(tmp_path / "model"))):
+        rows = model.transform(odd).select("cur", features.FEATURES).distinct().collect()
+        vectors = {tuple(row[1].toArray()) for row in rows}
+        assert len(rows) == len(vectors) == kinds + 1
+        assert seen in (None, vectors)
+        seen = vectors
+    width = len(next(iter(seen)))
+    assert width == (kinds if kinds <= features.WIDE else features.OWN + (kinds + 1 - features.OWN).bit_length())
+    # Positions of the other features do not depend on what trees need.
+    plain = Pipeline(stages=features.feature_stages(fields, table, table, options)).fit(table).transform(table)
+    assert plain.first()[features.FEATURES].size == kinds

@@ -178,6 +178,24 @@ def test_partitions_follow_the_rows(spark, monkeypatch, reuse, split):
     assert set(Path(training.shared_dir(spark)).glob("table-*")) == before
 
 
+def test_trees_over_a_written_table_have_the_stated_partitions(spark, monkeypatch):
+    found = []
+
+    class Noted:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            found.append(rows.rdd.getNumPartitions())
+            raise InterruptedError("enough")
+
+    monkeypatch.setattr(training, "GBTClassifier", Noted)
+    fields = load_fields(dictionary_frame(spark, ATTRS))
+    with pytest.raises(InterruptedError):
+        train(_table(spark, 600), fields, options=TrainOptions(partitions=11, reuse="table"))
+    assert found == [11]
+
+
 def test_classifier_parameters_reach_the_saved_model(spark, tmp_path):
     fields = load_fields(dictionary_frame(spark, ATTRS))
     options = TrainOptions(classifier={"maxDepth": 2, "maxIter": 3, "seed": 9})
