@@ -31,6 +31,7 @@ from ledgerloom.llm.words import (
     BYTES_AT_ONCE,
     arrow_schema,
     empty_stores,
+    give_back,
     list_array,
     map_rows,
     parted,
@@ -115,6 +116,8 @@ def shingle_counts(documents: DataFrame, slots: int = SLOTS) -> np.ndarray:
                 counts += np.bincount((found % np.uint64(slots)).astype(np.int64), minlength=slots)
         slot = np.flatnonzero(counts > STANDS_OUT * counts.mean() + STANDS_OUT)
         yield to_batch({"slot": slot, "n": counts[slot]}, arrow)
+        del counts
+        give_back()
 
     parts = documents.select(text_bytes().alias("text")).mapInArrow(run, schema)
     sums = parts.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
@@ -280,6 +283,8 @@ def _counted(cells: DataFrame) -> DataFrame:
                 held = {name: column[cut:] for name, column in held.items()}
         if held:
             yield to_batch(count_matches(held), arrow)
+        held = {}
+        give_back()
 
     return cells.mapInArrow(run, schema)
 

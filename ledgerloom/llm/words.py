@@ -24,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 KEPT_WORDS = 400_000
 #: Bytes of a batch of texts that are turned into Python lists at once.
 BYTES_AT_ONCE = 8 << 20
+#: Bytes of the batches in which Spark hands rows to Python and holds them outside its heap, where the session does not say.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Odd factor of the rolling combination of word hashes.
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -40,6 +43,17 @@ def empty_stores(kept: Sequence[str] = ()) -> None:
                 store.clear()
 
 
+def give_back() -> None:
+    """Leave little in a worker that has done its task: idle ones stay beside work that needs the memory.
+
+    Hashes of words are given up, as they are soon found again; tokens are kept.
+    """
+    for store in _STORES.get("hashes", []):
+        store.clear()
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 class WordStore(dict):
     """Value per word, computed once; emptied when ``limit`` words are held."""
 
@@ -122,7 +136,10 @@ def ship_package(spark: SparkSession) -> None:
     """Send this library to the executors, once for each application.
 
     The archive is a driver's local file, which Spark serves to the executors.
+    Where the session has no bound on the bytes of its Arrow batches, it gets ``BATCH_BYTES``.
     """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     application = spark.sparkContext.applicationId
     if application in _SHIPPED:
         return
@@ -155,10 +172,13 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if stores is not None:
             empty_stores(stores)
-        for batch in batches:
-            for part in parted(batch, at_once) if at_once else [batch]:
-                for found in rows(part.to_pydict()):
-                    yield to_batch(found, arrow)
+        try:
+            for batch in batches:
+                for part in parted(batch, at_once) if at_once else [batch]:
+                    for found in rows(part.to_pydict()):
+                        yield to_batch(found, arrow)
+        finally:
+            give_back()
 
     return frame.mapInArrow(run, schema)
 

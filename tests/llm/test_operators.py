@@ -25,6 +25,7 @@ from ledgerloom.llm import (
     substrings,
     tokens,
     topk,
+    words,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -1044,3 +1045,33 @@ def test_vectors_and_scores_beyond_64_bits_are_errors(spark):
         top([1e30], [1.0])
     with pytest.raises(Exception, match="score does not fit"):
         top([2.0**40], [2.0**40])
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    frame = spark.range(0, 8000, 1, 1).select(F.expr("cast(repeat('x', 2000) as binary)").alias("text"))
+    sizes = words.map_rows(frame, lambda batch: [{"n": [len(batch["text"])]}], "n bigint").collect()
+    assert sum(row.n for row in sizes) == 8000
+    assert max(row.n for row in sizes) * 2000 <= 1.1 * words.BATCH_BYTES
+
+
+def test_a_bound_of_the_session_stays(spark):
+    before = spark.conf.get(words._BATCH_SETTING, None)
+    try:
+        spark.conf.set(words._BATCH_SETTING, 1 << 20)
+        words.ship_package(spark)
+        assert spark.conf.get(words._BATCH_SETTING) == str(1 << 20)
+    finally:
+        spark.conf.set(words._BATCH_SETTING, before) if before else spark.conf.unset(words._BATCH_SETTING)
+
+
+def test_a_worker_keeps_no_hashes_from_task_to_task(spark):
+    """Workers that are idle hold memory beside what Spark itself works with."""
+
+    def rows(batch):
+        held = len(words._HASHES)
+        words.word_hashes([b"a", b"b"])
+        yield {"held": [held], "n": [len(batch["id"])]}
+
+    # More tasks than workers.
+    found = words.map_rows(spark.range(0, 64, 1, 64).select("id"), rows, "held bigint, n bigint").collect()
+    assert {row.held for row in found} == {0} and sum(row.n for row in found) == 64
