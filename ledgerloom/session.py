@@ -53,14 +53,28 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+#: Has Spark delete what a query shuffled once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_table(df: DataFrame) -> DataFrame:
     """``df`` written once as parquet under the shared folder, read from there.
 
     Later passes prune columns, and lost executors never go back to the source.
+    What the write shuffled is deleted with its end, as nothing else reads it.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4()}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_table(df: DataFrame) -> None:

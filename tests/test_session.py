@@ -1,4 +1,8 @@
+import time
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_dir, shared_table
 
@@ -50,3 +54,21 @@ def test_shared_table_is_read_back_whole(spark):
     assert table.count() == 100
     assert table.schema == df.schema or table.dtypes == df.dtypes
     assert all(shared_dir(spark) in file for file in table.inputFiles())
+
+
+def test_what_a_table_shuffled_is_deleted_with_its_end(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    folders = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {path for folder in folders for path in Path(folder).rglob("shuffle_*")}
+
+    there = shuffled()
+    table = shared_table(spark.range(1000).groupBy((F.col("id") % 7).alias("r")).count())
+    until = time.time() + 20
+    while shuffled() - there and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - there
+    assert sorted(map(tuple, table.collect())) == [(n, 143 if n < 6 else 142) for n in range(7)]
+    assert spark.conf.get(setting, None) == before
