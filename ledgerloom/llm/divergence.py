@@ -14,6 +14,8 @@ terms of a strip, which single precision holds exactly.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.words import map_rows, ship_package, text_bytes
+from ledgerloom.llm.words import (
+    BYTES_AT_ONCE,
+    arrow_schema,
+    empty_stores,
+    give_back,
+    parted,
+    ship_package,
+    text_bytes,
+    to_batch,
+)
 from ledgerloom.session import drop_table, shared_table
 
 #: Documents of a language in which a term must be.
@@ -37,8 +48,10 @@ CELL_TERMS = 1024
 CELL_GROUPS = 16
 #: Terms of a strip.
 STRIP = 32
-#: Terms whose counts a task holds before it hands them on.
-HELD_TERMS = 200_000
+#: Terms of groups whose counts a task holds before it hands them on.
+HELD_TERMS = 400_000
+#: What no term has.
+GROUP_MARK = " "
 #: A-Z to lower case; what is no letter and no byte of a character beyond ASCII becomes a space.
 _TERMS = bytes(
     byte + 32 if 65 <= byte <= 90 else byte if 97 <= byte <= 122 or byte >= 128 else 32 for byte in range(256)
@@ -50,40 +63,75 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_TERMS).split()
 
 
-def term_counts(documents: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences, and documents that have the term; nulls are empty.
+def term_parts(documents: DataFrame) -> DataFrame:
+    """``lang, term, sources, n, docs``: for each term that a task has counted, lists by source; ``term_counts`` sums them up.
 
-    Each group has a row with a null term besides, so that none is lost.
+    A task counts on from batch to batch until it holds ``HELD_TERMS`` terms of its groups. A term leaves it once for
+    all sources, so a row of it is keyed, copied and shuffled once and not for each of them. Each group has a row of
+    its own besides, of a term that is no term: ``GROUP_MARK`` and the source.
     """
+    plain = [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source")]
+    frame = documents.select(*plain, F.coalesce(text_bytes(), F.lit(b"")).alias("text"))
+    schema = "lang string, term string, sources array<string>, n array<bigint>, docs array<bigint>"
+    ship_package(frame.sparkSession)
+    arrow = arrow_schema(frame.sparkSession, schema)
 
-    def rows(batch: dict[str, list]):
-        found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_stores()
+        found: dict[str, dict[str, tuple[Counter, Counter]]] = {}
         held = 0
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-            n, docs = found.setdefault((lang, source), (Counter(), Counter()))
-            own = Counter(terms(text))
-            held += len(own)
-            n.update(own)
-            docs.update(own.keys())
-            if held > HELD_TERMS:
-                yield flat(found)
-                found, held = {}, 0
-        yield flat(found)
-
-    def flat(found: dict[tuple[str, str], tuple[Counter, Counter]]) -> dict[str, list]:
-        columns: dict[str, list] = {"lang": [], "source": [], "term": [], "n": [], "docs": []}
-        for (lang, source), (n, docs) in found.items():
-            columns["lang"] += [lang] * (len(n) + 1)
-            columns["source"] += [source] * (len(n) + 1)
-            columns["term"] += [None, *(term.decode() for term in n)]
-            columns["n"] += [0, *n.values()]
-            columns["docs"] += [0, *(docs[term] for term in n)]
-        return columns
+        for batch in batches:
+            for part in parted(batch, BYTES_AT_ONCE):
+                for lang, source, text in zip(*(part.column(name).to_pylist() for name in ("lang", "source", "text")), strict=True):
+                    n, docs = found.setdefault(lang, {}).setdefault(source, (Counter(), Counter()))
+                    held -= len(n)
+                    own = terms(text)
+                    n.update(own)
+                    docs.update(set(own))
+                    held += len(n)
+                    if held > HELD_TERMS:
+                        yield from map(listed, found.items())
+                        found, held = {}, 0
+        yield from map(listed, found.items())
+        found = {}
+        give_back()
+
+    def listed(found: tuple[str, dict[str, tuple[Counter, Counter]]]) -> pa.RecordBatch:
+        lang, groups = found
+        counts = [n for n, _ in groups.values()]
+        sizes, at_end = [len(n) for n in counts], np.arange(len(groups))
+        place = dict.fromkeys(chain.from_iterable(counts))
+        place = dict(zip(place, range(len(place)), strict=True))
+        at = np.fromiter(map(place.__getitem__, chain.from_iterable(counts)), np.int64, sum(sizes))
+        n = np.fromiter(chain.from_iterable(n.values() for n in counts), np.int64, sum(sizes))
+        docs = np.fromiter(chain.from_iterable(map(docs.__getitem__, n) for n, docs in groups.values()), np.int64, sum(sizes))
+        # The rows of the groups come last.
+        at, source = np.append(at, len(place) + at_end), np.append(np.repeat(at_end, sizes), at_end)
+        order = np.argsort(at, kind="stable")
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(at))).astype(np.int32))
+        names = [*place, *((GROUP_MARK + source).encode() for source in groups)]
+        lists = [np.append(values, np.zeros(len(groups), np.int64))[order] for values in (n, docs)]
+        columns = {
+            "lang": [lang] * len(names),
+            "term": pa.array(names, pa.binary()),
+            "sources": pa.ListArray.from_arrays(offsets, pa.array(list(groups), pa.string()).take(pa.array(source[order]))),
+        }
+        columns |= {name: pa.ListArray.from_arrays(offsets, values) for name, values in zip(("n", "docs"), lists, strict=True)}
+        return to_batch(columns, arrow)
+
+    return frame.mapInArrow(run, schema)
 
-    plain = [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source")]
-    frame = documents.select(*plain, F.coalesce(text_bytes(), F.lit(b"")).alias("text"))
-    parts = map_rows(frame, rows, "lang string, source string, term string, n bigint, docs bigint")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+def term_counts(documents: DataFrame) -> DataFrame:
+    """``lang, source, term, n, docs``: occurrences, and documents that have the term; nulls are empty.
+
+    Each group has a row with a null term besides, so that none is lost.
+    """
+    # Tasks give few rows of one term, so one task can take them all.
+    parts = term_parts(documents).repartition("lang", "term").select("*", F.posexplode("n").alias("at", "n_own"))
+    flat = parts.select("lang", F.col("sources")[F.col("at")].alias("source"), "term", "n_own", F.col("docs")[F.col("at")].alias("docs"))
+    sums = flat.groupBy("lang", "source", "term").agg(F.sum("n_own").alias("n"), F.sum("docs").alias("docs"))
+    return sums.withColumn("term", F.when(~F.col("term").startswith(GROUP_MARK), F.col("term")))
 
 
 def probability(count: Column, total: Column, kept: Column) -> Column:

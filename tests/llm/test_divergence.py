@@ -99,6 +99,30 @@ def test_counts_are_handed_on_before_they_are_many(spark, monkeypatch):
     assert {tuple(row) for row in divergence.term_counts(frame(spark, rows)).collect()} == whole
 
 
+def test_a_term_leaves_a_task_once_whatever_the_batches_and_sources(spark):
+    rows = corpus(6, 200, 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        parts = divergence.term_parts(frame(spark, rows).coalesce(1)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = [(row["lang"], row["term"]) for row in parts]
+    assert len(found) == len(set(found))
+    groups = {(lang, divergence.GROUP_MARK + source) for _, lang, source in rows}
+    assert set(found) == {(lang, term) for text, lang, _ in rows for term in text.split()} | groups
+
+
+def test_sources_of_any_name_are_groups_of_their_own(spark):
+    """Among them names with a space before, and such as are terms."""
+    rows = [("some words", lang, source) for lang in (None, "de") for source in (" s", "s", "", " ", None, "some", "é\n")]
+    found = divergence.term_counts(frame(spark, [*rows, (None, "fr", " s")])).collect()
+    groups = [tuple(row[:2]) for row in found if row["term"] is None]
+    assert sorted(groups) == sorted({(lang or "", source or "") for _, lang, source in rows} | {("fr", " s")})
+    assert {(row["n"], row["docs"]) for row in found if row["term"] is None} == {(0, 0)}
+    assert sum(row["n"] for row in found) == 2 * len(rows)
+    checked(spark, rows)
+
+
 def test_joint_tables(spark):
     rows = corpus(5, 120, 4)
     found = {tuple(row[:5]): row[5] for row in divergence.joint_tables(frame(spark, rows), 2).collect()}
